@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 _SNAP = DecimalType(38, 10)
-_CENT = F.lit(Decimal("0.01"))
+_CENT = Decimal("0.01")
 
 
 def col(c) -> Column:
@@ -33,7 +33,7 @@ def col(c) -> Column:
 
 def net(quantity, price="price", discount="discount") -> Column:
     """quantity * price * (1 - discount / 100), as an exact decimal."""
-    return col(quantity) * col(price) * (F.lit(1) - col(discount) * _CENT)
+    return col(quantity) * col(price) * (F.lit(1) - col(discount) * F.lit(_CENT))
 
 
 def rnd(c, scale: int = 2) -> Column:
