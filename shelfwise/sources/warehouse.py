@@ -13,6 +13,7 @@ prunes whole months and Parquet min/max statistics skip row groups.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import tempfile
 from dataclasses import dataclass, field
@@ -39,21 +40,22 @@ class Warehouse:
     fact: DataFrame
     staging: DataFrame | None = None
     location: str | None = None
+    # MAX(date) of a written (immutable) fact, recorded when it was written
+    latest: datetime.date | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------
     def latest_date(self) -> Column:
-        """MAX(date) of the fact as a scalar subquery (evaluated once per query).
+        """MAX(date) of the fact.
 
-        On the partitioned fact only the last month is read for it.
+        For a written fact this is the value recorded at write time, a
+        literal: month pruning and Parquet row-group skipping are then
+        static.  For a lazy fact it is a scalar subquery over the fact.
         """
+        if self.latest is not None:
+            return F.lit(self.latest)
         if "latest" not in self._cache:
-            f = self.fact
-            if MONTH_KEY in f.columns:
-                last_month = f.agg(F.max(MONTH_KEY)).scalar()
-                self._cache["latest"] = f.filter(F.col(MONTH_KEY) == last_month).agg(F.max("date")).scalar()
-            else:
-                self._cache["latest"] = f.agg(F.max("date")).scalar()
+            self._cache["latest"] = self.fact.agg(F.max("date")).scalar()
         return self._cache["latest"]
 
     def between(self, start: Column, end: Column) -> DataFrame:
@@ -129,7 +131,16 @@ def materialize(wh: Warehouse, location: str) -> Warehouse:
         .parquet(f"{location}/inventory_data")
     )
     fact_r = spark.read.parquet(f"{location}/inventory_data")
-    return Warehouse(spark, stores, products, fact_r, staging=wh.staging, location=location)
+    return Warehouse(spark, stores, products, fact_r, staging=wh.staging, location=location,
+                     latest=read_latest_date(fact_r))
+
+
+def read_latest_date(fact: DataFrame) -> datetime.date | None:
+    """MAX(date) of a month-partitioned fact, reading only its last month."""
+    last_month = fact.agg(F.max(MONTH_KEY)).first()[0]
+    if last_month is None:
+        return None
+    return fact.filter(F.col(MONTH_KEY) == last_month).agg(F.max("date")).first()[0]
 
 
 _REGISTRY: dict[tuple, Warehouse] = {}
