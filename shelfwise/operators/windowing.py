@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# largest table broadcast on a checked bound (rows of a few small columns)
+BROADCAST_MAX_ROWS = 1_000_000
+
 
 def latest_per_key(df: DataFrame, key: Sequence[str], time_col: str = "date") -> DataFrame:
     """The row with the greatest ``time_col`` for every key.
@@ -47,6 +50,7 @@ def group_rank(
     order: Sequence[Column],
     rank_col: str = "_rank",
     size_col: str = "_size",
+    max_groups: int | None = None,
 ) -> DataFrame:
     """1-based rank inside ``group`` under a total ``order``, computed in parallel.
 
@@ -56,7 +60,8 @@ def group_rank(
     large group over many tasks), sort inside partitions, number rows by
     position, and add the row count of the same group in earlier partitions.
     The offsets table has at most (#partitions + #groups) rows; it is
-    broadcast.
+    broadcast when the caller gives a bound on the number of groups that
+    keeps it under ``BROADCAST_MAX_ROWS``, else joined by the planner.
     """
     keys = [F.col(g) for g in group] + list(order)
     # A fixed partition count keeps adaptive execution from coalescing the
@@ -79,17 +84,26 @@ def group_rank(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*group)).alias(size_col),
     )
-    out = ranked.join(F.broadcast(offsets), ["_pid", *group])
+    # offsets rows <= partitions + groups; broadcast only under a checked bound
+    if max_groups is not None and n_parts + max_groups <= BROADCAST_MAX_ROWS:
+        offsets = F.broadcast(offsets)
+    out = ranked.join(offsets, ["_pid", *group])
     return out.withColumn(rank_col, F.col("_before") + (F.col("_pos") - F.col("_first")) + 1).drop(
         "_pid", "_pos", "_first", "_before"
     )
 
 
 def ntile_in_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], out_col: str, n: int = 4, distributed: bool = True
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    out_col: str,
+    n: int = 4,
+    distributed: bool = True,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """Add NTILE(n) over (PARTITION BY group ORDER BY order) as ``out_col``."""
     if not distributed:
         return df.withColumn(out_col, quartile(group, order, n))
-    ranked = group_rank(df, group, order, "_rank", "_size")
+    ranked = group_rank(df, group, order, "_rank", "_size", max_groups=max_groups)
     return ranked.withColumn(out_col, ntile_from_rank("_rank", "_size", n)).drop("_rank", "_size")

@@ -57,13 +57,26 @@ def _units() -> F.Column:
 
 
 # ---------------------------------------------------------------- Q1
+LATEST_COLS = [*SKU, "date", "inventory_level", "price", "discount", "seasonality", "weather_condition"]
+
+
+def latest_rows(wh: Warehouse) -> DataFrame:
+    """Latest fact row of every SKU.
+
+    A written warehouse keeps this as a SKU-grain table produced with the
+    fact (``sku_latest``), so readers do not rescan the whole history; a lazy
+    warehouse computes it (partial top-1 per map task, then final top-1).
+    """
+    if wh.sku_latest is not None:
+        return wh.sku_latest.select(*LATEST_COLS)
+    return latest_per_key(wh.fact.select(*LATEST_COLS), SKU, "date")
+
+
 def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Latest row of every SKU over the whole history, with a stock band."""
 
     def build():
-        cols = [*SKU, "date", "inventory_level", "price", "discount", "seasonality", "weather_condition"]
-        latest = latest_per_key(wh.fact.select(*cols), SKU, "date")
-        df = latest.join(categories(wh), "product_id")
+        df = latest_rows(wh).join(categories(wh), "product_id")
         lvl = F.col("inventory_level")
         status = band(
             [
@@ -90,7 +103,8 @@ def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 # ---------------------------------------------------------------- Q2
 def sales_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
-    """Per SKU over the trailing sales window: rows, sum and sum of squares."""
+    """Per SKU over the trailing sales window, every sum that the reorder and
+    turnover analyses need: one scan and one shuffle serve both."""
 
     def build():
         u = _units()
@@ -101,6 +115,10 @@ def sales_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
                 F.count(F.lit(1)).alias("n"),
                 F.sum(u).alias("s1"),
                 F.sum(u * u).alias("s2"),
+                F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
+                F.sum("price").alias("s_price"),
+                F.sum(net("units_sold")).alias("s_net_units"),
+                F.sum(net("inventory_level")).alias("s_net_level"),
             )
         )
 
@@ -148,6 +166,7 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool
             [F.col("coverage_ratio").asc(), *[F.col(c).asc() for c in SKU]],
             "quartile_rank",
             distributed=distributed_ntile,
+            max_groups=wh.distinct_count("category"),
         )
         labels, default = ALERT_LEVEL
         return ranked.select(
@@ -173,19 +192,7 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bo
     """Annualised turnover and movement quartiles per SKU (trailing window)."""
 
     def build():
-        agg = (
-            wh.trailing_days(p.sales_window_days)
-            .groupBy(*SKU)
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.sum(_units()).alias("s_units"),
-                F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
-                F.sum("price").alias("s_price"),
-                F.sum(net("units_sold")).alias("s_net_units"),
-                F.sum(net("inventory_level")).alias("s_net_level"),
-            )
-            .join(categories(wh), "product_id")
-        )
+        agg = sales_stats(wh, p).withColumnRenamed("s1", "s_units").join(categories(wh), "product_id")
         n = F.col("n")
         avg_sales, avg_level = mean("s_units", n), mean("s_level", n)
         annual = F.col("s_units").cast("double") * F.lit(p.days_per_year) / F.lit(p.turnover_period_days)
@@ -208,6 +215,7 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bo
             [F.col("inventory_turnover_ratio").desc(), *[F.col(c).asc() for c in SKU]],
             "quartile_rank",
             distributed=distributed_ntile,
+            max_groups=wh.distinct_count("category"),
         )
         mv, mv_default = MOVEMENT_TYPE
         pf, pf_default = PERFORMANCE

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import etl
+from ..operators.windowing import latest_per_key
 from . import tpch
 
 MONTH_KEY = "month_key"
@@ -42,6 +43,8 @@ class Warehouse:
     location: str | None = None
     # MAX(date) of a written (immutable) fact, recorded when it was written
     latest: datetime.date | None = None
+    # latest fact row per SKU, written with the fact (None: compute it)
+    sku_latest: DataFrame | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------
@@ -78,6 +81,16 @@ class Warehouse:
         latest = self.latest_date()
         return self.between(latest, latest)
 
+    def distinct_count(self, column: str = "category") -> int | None:
+        """Distinct values of a product attribute, counted on the written
+        product dimension (a small table); None for a lazy warehouse."""
+        if self.location is None:
+            return None
+        key = ("distinct", column)
+        if key not in self._cache:
+            self._cache[key] = self.products.select(column).distinct().count()
+        return self._cache[key]
+
     def memo(self, name: str, build):
         """Build a derived DataFrame once per warehouse (same plan object)."""
         if name not in self._cache:
@@ -131,8 +144,14 @@ def materialize(wh: Warehouse, location: str) -> Warehouse:
         .parquet(f"{location}/inventory_data")
     )
     fact_r = spark.read.parquet(f"{location}/inventory_data")
+    # SKU-grain snapshot of the latest row (one shuffle of one row per SKU
+    # and map task); streaming.current_stock keeps it current on appends.
+    latest_per_key(fact_r.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date").write.mode(
+        "overwrite"
+    ).parquet(f"{location}/sku_latest")
+    sku_latest = spark.read.parquet(f"{location}/sku_latest")
     return Warehouse(spark, stores, products, fact_r, staging=wh.staging, location=location,
-                     latest=read_latest_date(fact_r))
+                     latest=read_latest_date(fact_r), sku_latest=sku_latest)
 
 
 def read_latest_date(fact: DataFrame) -> datetime.date | None:
