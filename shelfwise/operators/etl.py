@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from .. import schemas
 
@@ -81,7 +82,10 @@ def parse_staging(staging: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     NULL and the row is dropped, as the reference's ``WHERE STR_TO_DATE(..)
     IS NOT NULL`` does.  NULL measures become 0 (NOT NULL DEFAULT 0).
     """
-    cols = [F.try_to_date(F.col("Date"), "yyyy-M-d").alias("date")]
+    if isinstance(staging.schema["Date"].dataType, DateType):
+        cols = [F.col("Date").alias("date")]  # typed feed
+    else:
+        cols = [F.try_to_date(F.col("Date"), "yyyy-M-d").alias("date")]
     for src, dst in schemas.STAGING_TO_FACT.items():
         c = F.col(src)
         if dst in ("inventory_level", "units_sold", "units_ordered"):

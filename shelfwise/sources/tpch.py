@@ -72,23 +72,24 @@ def category_of(partkey) -> F.Column:
 
 
 def staging_from_tpch(spark: SparkSession, sf_dir: str, product_modulus: int = 10) -> DataFrame:
-    """Staging rows (15 feed columns) plus the ``LOAD_ORDER`` lineage columns."""
+    """Staging rows (15 feed columns, ``Date`` typed) plus the ``LOAD_ORDER``
+    lineage columns."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    supplier_region = (
-        _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # Each dimension is joined on its own, so the planner sizes every join
+    # from that table's files: small ones are broadcast, large ones
+    # (part and supplier at big scale factors) are shuffle-joined.
+    rows = (
+        li.join(_read(spark, sf_dir, "part").select("p_partkey", "p_retailprice"),
+                F.col("l_partkey") == F.col("p_partkey"))
+        .join(_read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+              F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
               F.col("s_nationkey") == F.col("n_nationkey"))
         .join(_read(spark, sf_dir, "region").select("r_regionkey", "r_name"),
               F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
-    )
-    rows = (
-        li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier_region, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     day = F.date_add(
         F.lit(DATE_BASE).cast("date"),
@@ -97,7 +98,7 @@ def staging_from_tpch(spark: SparkSession, sf_dir: str, product_modulus: int = 1
     price = F.col("p_retailprice").cast("decimal(10,2)")
     qty = F.col("l_quantity").cast("decimal(10,2)")
     return rows.select(
-        F.date_format(day, "yyyy-MM-dd").alias("Date"),
+        day.alias("Date"),  # already a date: the load skips the text parse
         F.concat(F.lit("S00"), (F.col("l_suppkey") % N_STORES + 1).cast("string")).alias("Store_ID"),
         F.concat(F.lit("P"), (F.col("l_partkey") % product_modulus).cast("string")).alias("Product_ID"),
         category_of(F.col("l_partkey")).alias("Category"),
