@@ -1,8 +1,12 @@
 """Benchmark: load the warehouse once, then time every registered query.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8),
-BENCH_REPS (3 timed runs after one warm-up; the median is reported).
+BENCH_REPS (5 timed runs after one warm-up; the median is reported).
 Each query is executed in full through the ``noop`` sink (no driver collect).
+
+Per query it also reports, from Spark's event log (written to a fresh
+scratch folder): shuffle bytes written, input bytes read and stages run
+(per run), and the number of fact-table scans in the physical plan.
 Prints one JSON line.
 """
 
@@ -13,35 +17,92 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def _event_metrics(log_dir: str) -> dict[str, dict[str, float]]:
+    """Shuffle-write / input bytes and stage counts per job group."""
+    files = [os.path.join(r, f) for r, _, fs in os.walk(log_dir) for f in fs]
+    stage_group: dict[int, str] = {}
+    out: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+    for path in files:
+        with open(path) as fh:
+            for line in fh:
+                e = json.loads(line)
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for s in e.get("Stage IDs", []):
+                            stage_group[s] = group
+                elif kind == "SparkListenerStageCompleted":
+                    info = e["Stage Info"]
+                    group = stage_group.get(info["Stage ID"])
+                    if not group:
+                        continue
+                    acc = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+                    m = out[group]
+                    m["stages"] += 1
+                    m["tasks"] += info.get("Number of Tasks", 0)
+                    m["shuffle_write_bytes"] += float(acc.get("internal.metrics.shuffle.write.bytesWritten") or 0)
+                    m["input_bytes"] += float(acc.get("internal.metrics.input.bytesRead") or 0)
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
+    log_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
     from shelfwise.plans import registry
     from shelfwise.session import local_session
     from shelfwise.sources import warehouse
 
-    spark = local_session(cores=cpus, shuffle_partitions=cpus)
+    spark = local_session(
+        cores=cpus,
+        shuffle_partitions=cpus,
+        extra={
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false",
+            "spark.eventLog.rolling.enabled": "false",
+        },
+    )
+    sc = spark.sparkContext
 
+    sc.setJobGroup("load", "load")
     t0 = time.perf_counter()
     warehouse.from_tpch(spark, sf_dir)  # load: staging -> dims -> fact (written once)
     load_sec = time.perf_counter() - t0
 
     timings: dict[str, float] = {}
+    fact_scans: dict[str, int] = {}
     for name in registry.QUERIES:
         runs = []
         for i in range(reps + 1):
+            sc.setJobGroup(f"{name}#{i}" if i else f"warmup:{name}", name)
             t = time.perf_counter()
-            registry.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
+            df = registry.run(name, spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
             if i:
                 runs.append(time.perf_counter() - t)
+        plan = registry.run(name, spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        fact_scans[name] = len(re.findall(r"FileScan parquet[^\n]*inventory_data", plan))
         timings[name] = round(statistics.median(runs), 4)
+    spark.stop()
+
+    per_group = _event_metrics(log_dir)
+    per_query: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+    for group, m in per_group.items():
+        if "#" in group:
+            q = group.split("#")[0]
+            for k, v in m.items():
+                per_query[q][k] += v / reps
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -50,12 +111,16 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "load_sec": round(load_sec, 3),
+        "shuffle_write_bytes": {q: int(per_query[q]["shuffle_write_bytes"]) for q in timings},
+        "input_bytes": {q: int(per_query[q]["input_bytes"]) for q in timings},
+        "stages": {q: round(per_query[q]["stages"], 1) for q in timings},
+        "fact_scans_in_plan": fact_scans,
+        "load": {k: int(v) for k, v in per_group.get("load", {}).items()},
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "reps": reps,
     }
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":

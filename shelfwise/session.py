@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int | None = None, extra: dict[str, str] | None = None
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("shelfwise")
@@ -22,6 +24,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
