@@ -6,7 +6,7 @@ Each query is executed in full through the ``noop`` sink (no driver collect).
 
 Per query it also reports, from Spark's event log (written to a fresh
 scratch folder): shuffle bytes written, input bytes read and stages run
-(per run), and the number of fact-table scans in the physical plan.
+(per run), and the number of distinct fact-table scans in the physical plan.
 Prints one JSON line.
 """
 
@@ -92,8 +92,33 @@ def main() -> None:
             if i:
                 runs.append(time.perf_counter() - t)
         plan = registry.run(name, spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        fact_scans[name] = len(re.findall(r"FileScan parquet[^\n]*inventory_data", plan))
+        # distinct fact scans (same columns and filters = one reusable scan)
+        scans = re.findall(r"FileScan parquet[^\n]*inventory_data[^\n]*", plan)
+        fact_scans[name] = len({re.sub(r"#\d+L?|\[id=#\d+\]|subquery#\d+", "", x) for x in scans})
         timings[name] = round(statistics.median(runs), 4)
+
+    # per-SKU statistics three ways, for queries needing both windows:
+    # one aggregate per window / one fused aggregate / the tables written
+    # with the fact
+    from shelfwise.functions.params import Params
+
+    variants = {
+        "simple_from_fact": Params(read_snapshots=False),
+        "fused_from_fact": Params(read_snapshots=False, fused_sku_stats=True),
+        "snapshot_tables": Params(),
+    }
+    paths: dict[str, dict[str, float]] = {}
+    for name in ("stockout_risk", "executive_kpi_dashboard", "category_performance"):
+        for label, p in variants.items():
+            runs = []
+            sc.setJobGroup(f"path:{name}:{label}", label)
+            for i in range(reps + 1):
+                t = time.perf_counter()
+                df = registry.run(name, spark, sf_dir, p=p, fused=p.fused_sku_stats)
+                df.write.format("noop").mode("overwrite").save()
+                if i:
+                    runs.append(time.perf_counter() - t)
+            paths.setdefault(name, {})[label] = round(statistics.median(runs), 4)
     spark.stop()
 
     per_group = _event_metrics(log_dir)
@@ -114,7 +139,8 @@ def main() -> None:
         "shuffle_write_bytes": {q: int(per_query[q]["shuffle_write_bytes"]) for q in timings},
         "input_bytes": {q: int(per_query[q]["input_bytes"]) for q in timings},
         "stages": {q: round(per_query[q]["stages"], 1) for q in timings},
-        "fact_scans_in_plan": fact_scans,
+        "distinct_fact_scans": fact_scans,
+        "sku_stats_paths_sec": paths,
         "load": {k: int(v) for k, v in per_group.get("load", {}).items()},
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,

@@ -55,5 +55,13 @@ class Params:
     # weights .4/.4/.2; classes >=90, >=70, >=50
     kpi_service_level: float = 95.0
 
+    # --- execution choice (same results either way) ----------------------
+    # one per-SKU aggregate over the longest trailing window, with
+    # conditional sums for the shorter one (pays when a query needs both)
+    fused_sku_stats: bool = False
+    # read the SKU-grain tables written with the fact (latest row per SKU,
+    # window statistics) instead of recomputing them from the fact
+    read_snapshots: bool = True
+
 
 DEFAULT = Params()

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
+    count_if,
     greatest_strict,
     label_of,
     mean,
@@ -35,6 +36,7 @@ from ..functions.expr import (
     rnd_int,
 )
 from ..functions.params import DEFAULT, Params
+from ..operators import sku_stats
 from ..operators.windowing import latest_per_key, ntile_in_group
 from ..sources.warehouse import Warehouse
 
@@ -60,14 +62,14 @@ def _units() -> F.Column:
 LATEST_COLS = [*SKU, "date", "inventory_level", "price", "discount", "seasonality", "weather_condition"]
 
 
-def latest_rows(wh: Warehouse) -> DataFrame:
+def latest_rows(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Latest fact row of every SKU.
 
     A written warehouse keeps this as a SKU-grain table produced with the
     fact (``sku_latest``), so readers do not rescan the whole history; a lazy
     warehouse computes it (partial top-1 per map task, then final top-1).
     """
-    if wh.sku_latest is not None:
+    if p.read_snapshots and wh.sku_latest is not None:
         return wh.sku_latest.select(*LATEST_COLS)
     return latest_per_key(wh.fact.select(*LATEST_COLS), SKU, "date")
 
@@ -76,7 +78,7 @@ def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Latest row of every SKU over the whole history, with a stock band."""
 
     def build():
-        df = latest_rows(wh).join(categories(wh), "product_id")
+        df = latest_rows(wh, p).join(categories(wh), "product_id")
         lvl = F.col("inventory_level")
         status = band(
             [
@@ -102,11 +104,39 @@ def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q2
+def sku_window_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
+    """Per-SKU sums over the sales window and the ABC window (one aggregate).
+
+    Read from the table written with the fact when it was computed for the
+    same windows; otherwise one scan of the longest window and one shuffle.
+    A SKU without rows in a window has a zero count there and is dropped by
+    the readers below.
+    """
+
+    def build():
+        windows = (p.sales_window_days, p.abc_window_days)
+        if p.read_snapshots and wh.sku_stats is not None and wh.sku_stats_windows == windows:
+            return wh.sku_stats
+        rows = wh.trailing_days(max(windows))
+        return sku_stats.window_stats(rows, wh.latest_date(), *windows)
+
+    return wh.memo(("sku_window_stats", p), build)
+
+
+SALES_STATS_COLS = sku_stats.SALES_COLS
+
+
+def _use_window_stats(wh: Warehouse, p: Params) -> bool:
+    return p.fused_sku_stats or (p.read_snapshots and wh.sku_stats is not None)
+
+
 def sales_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Per SKU over the trailing sales window, every sum that the reorder and
     turnover analyses need: one scan and one shuffle serve both."""
 
     def build():
+        if _use_window_stats(wh, p):
+            return sku_window_stats(wh, p).filter(F.col("n") > 0).select(*SKU, *SALES_STATS_COLS)
         u = _units()
         return (
             wh.trailing_days(p.sales_window_days)
@@ -125,6 +155,35 @@ def sales_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     return wh.memo(("sales_stats", p), build)
 
 
+def abc_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
+    """Per SKU over the trailing ABC window: rows, revenue, units, net price, level."""
+
+    def build():
+        if _use_window_stats(wh, p):
+            f = sku_window_stats(wh, p).filter(F.col("abc_n") > 0)
+            return f.select(
+                *SKU,
+                F.col("abc_n").alias("n"),
+                F.col("abc_rev").alias("rev"),
+                F.col("abc_units").alias("total_units_sold"),
+                F.col("abc_net_price").alias("s_net_price"),
+                F.col("abc_level").alias("s_level"),
+            )
+        return (
+            wh.trailing_days(p.abc_window_days)
+            .groupBy(*SKU)
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(net("units_sold")).alias("rev"),
+                F.sum(_units()).alias("total_units_sold"),
+                F.sum(net(F.lit(1))).alias("s_net_price"),
+                F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
+            )
+        )
+
+    return wh.memo(("abc_stats", p), build)
+
+
 def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool = True) -> DataFrame:
     """Safety stock, reorder point and a relative alert level per SKU."""
 
@@ -237,18 +296,7 @@ def abc_classification(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """
 
     def build():
-        agg = (
-            wh.trailing_days(p.abc_window_days)
-            .groupBy(*SKU)
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.sum(net("units_sold")).alias("rev"),
-                F.sum(_units()).alias("total_units_sold"),
-                F.sum(net(F.lit(1))).alias("s_net_price"),
-                F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
-            )
-            .join(categories(wh), "product_id")
-        )
+        agg = abc_stats(wh, p).join(categories(wh), "product_id")
         ordered = Window.partitionBy(*LOC).orderBy(F.col("rev").desc(), F.col("product_id").asc())
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

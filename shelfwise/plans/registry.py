@@ -9,6 +9,7 @@ doubles, no month partition column).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,6 +123,31 @@ def present(name: str, df: DataFrame) -> DataFrame:
     return out.drop("_status_rank") if "_status_rank" in keys else out
 
 
-def run(name: str, spark: SparkSession, sf_dir: str, p: Params = DEFAULT, materialized: bool = True) -> DataFrame:
+# Queries that read both the sales-window and the ABC-window statistics:
+# they use the fused per-SKU aggregate (one scan, one shuffle).
+FUSED = {
+    "executive_kpi_dashboard",
+    "category_performance",
+    "stockout_risk",
+    "inventory_kpis",
+    "table_profile",
+    "fk_violations",
+    "pk_violations",
+    "constraint_report",
+}
+
+
+def run(
+    name: str,
+    spark: SparkSession,
+    sf_dir: str,
+    p: Params = DEFAULT,
+    materialized: bool = True,
+    fused: bool | None = None,
+) -> DataFrame:
     wh = whmod.from_tpch(spark, sf_dir, materialized=materialized)
+    if fused is None:
+        fused = p.fused_sku_stats or name in FUSED
+    if fused != p.fused_sku_stats:
+        p = replace(p, fused_sku_stats=fused)
     return decimals_to_double(QUERIES[name](wh, p))

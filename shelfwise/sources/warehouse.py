@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import etl
+from ..operators import etl, sku_stats
 from ..operators.windowing import latest_per_key
 from . import tpch
 
@@ -45,6 +45,10 @@ class Warehouse:
     latest: datetime.date | None = None
     # latest fact row per SKU, written with the fact (None: compute it)
     sku_latest: DataFrame | None = None
+    # per-SKU trailing-window statistics written with the fact, and the
+    # (sales, abc) window lengths they were computed for
+    sku_stats: DataFrame | None = None
+    sku_stats_windows: tuple[int, int] | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------
@@ -120,7 +124,7 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialize(wh: Warehouse, location: str) -> Warehouse:
+def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
     """Write stores, products, fact to ``location`` and return readers of them.
 
     Dimensions are written first; the fact's foreign-key filter then joins
@@ -150,8 +154,17 @@ def materialize(wh: Warehouse, location: str) -> Warehouse:
         "overwrite"
     ).parquet(f"{location}/sku_latest")
     sku_latest = spark.read.parquet(f"{location}/sku_latest")
-    return Warehouse(spark, stores, products, fact_r, staging=wh.staging, location=location,
-                     latest=read_latest_date(fact_r), sku_latest=sku_latest)
+    out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, location=location,
+                    latest=read_latest_date(fact_r), sku_latest=sku_latest)
+    # per-SKU window statistics (one scan of the longest window, one shuffle)
+    if out.latest is not None:
+        sales_days, abc_days = stats_windows
+        sku_stats.window_stats(
+            out.trailing_days(max(sales_days, abc_days)), out.latest_date(), sales_days, abc_days
+        ).write.mode("overwrite").parquet(f"{location}/sku_window_stats")
+        out.sku_stats = spark.read.parquet(f"{location}/sku_window_stats")
+        out.sku_stats_windows = stats_windows
+    return out
 
 
 def read_latest_date(fact: DataFrame) -> datetime.date | None:

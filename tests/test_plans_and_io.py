@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.functions.params import Params
 from shelfwise.operators import etl
 from shelfwise.plans import kpis, registry
 from shelfwise.sources import feed, warehouse
@@ -26,7 +27,7 @@ def test_no_pair_emitting_joins(spark, name):
 @pytest.mark.parametrize("name", ["reorder_analysis", "inventory_turnover", "abc_classification",
                                   "seasonal_analysis", "store_performance"])
 def test_trailing_windows_prune_months_and_push_filters(spark, name):
-    plan = _plan(registry.run(name, spark, SF))
+    plan = _plan(registry.run(name, spark, SF, p=Params(read_snapshots=False)))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "inventory_data" in line]
     windowed = [s for s in scans if "month_key" in s.split("PartitionFilters:")[1].split("]")[0]]
     assert windowed, scans
@@ -104,3 +105,26 @@ def test_kpi_upsert_is_idempotent(spark, tmp_dir):
 def test_insert_ignore_on_load_order_columns(spark):
     df = spark.createDataFrame([("a", 2, "late"), ("a", 1, "early")], "k string, o int, v string")
     assert etl.insert_ignore(df, ["k"], [F.col("o")]).collect()[0].v == "early"
+
+
+@pytest.mark.parametrize("name", ["stockout_risk", "executive_kpi_dashboard", "category_performance", "inventory_kpis"])
+def test_simple_fused_and_snapshot_paths_agree(spark, name):
+    sf = "/root/testdata/sf0.01"
+    base = registry.run(name, spark, sf).collect()
+    for p in (Params(read_snapshots=False), Params(read_snapshots=False, fused_sku_stats=True)):
+        other = registry.run(name, spark, sf, p=p, fused=p.fused_sku_stats).collect()
+        assert sorted(other) == sorted(base), p
+
+
+def test_fused_path_scans_the_window_once(spark):
+    import re
+
+    plan = _plan(registry.run("abc_classification", spark, SF, p=Params(read_snapshots=False, fused_sku_stats=True),
+                              fused=True))
+    scans = re.findall(r"FileScan parquet[^\n]*inventory_data[^\n]*", plan)
+    assert len(scans) == 1
+
+
+def test_snapshot_path_reads_no_fact(spark):
+    plan = _plan(registry.run("stockout_risk", spark, SF))
+    assert "inventory_data" not in plan
