@@ -144,8 +144,9 @@ def run(
     p: Params = DEFAULT,
     materialized: bool = True,
     fused: bool | None = None,
+    product_modulus: int = 10,
 ) -> DataFrame:
-    wh = whmod.from_tpch(spark, sf_dir, materialized=materialized)
+    wh = whmod.from_tpch(spark, sf_dir, product_modulus=product_modulus, materialized=materialized)
     if fused is None:
         fused = p.fused_sku_stats or name in FUSED
     if fused != p.fused_sku_stats:
