@@ -184,6 +184,27 @@ def abc_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     return wh.memo(("abc_stats", p), build)
 
 
+def reorder_policy(avg, sd, p: Params = DEFAULT) -> dict:
+    """Safety stock and reorder point from mean and standard deviation of
+    daily sales (95 % service level, 7-day lead time by default).  The
+    reorder point uses the unrounded safety term."""
+    sigma = F.coalesce(sd, avg * F.lit(p.fallback_cv))
+    safety_term = F.lit(p.service_z) * sigma * F.sqrt(F.lit(float(p.lead_time_days)))
+    return {
+        "safety_stock": greatest_strict(F.lit(0).cast("bigint"), rnd_int(safety_term)),
+        "reorder_point": rnd_int(avg * p.lead_time_days + greatest_strict(F.lit(0.0), safety_term)),
+    }
+
+
+def coverage(level, avg, reorder_point, safety_stock, p: Params = DEFAULT) -> dict:
+    """Days of supply, suggested order and coverage of the reorder point."""
+    return {
+        "days_of_supply": rnd_int(level / greatest_strict(avg, F.lit(p.min_daily_sales))),
+        "suggested_order_qty": greatest_strict(F.lit(0).cast("bigint"), (reorder_point + safety_stock) - level),
+        "coverage_ratio": ratio(level, greatest_strict(reorder_point, F.lit(1).cast("bigint"))),
+    }
+
+
 def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool = True) -> DataFrame:
     """Safety stock, reorder point and a relative alert level per SKU."""
 
@@ -194,19 +215,10 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool
         # population standard deviation from exact integer sums
         sd = F.sqrt((n * s2 - s1 * s1).cast("double")) / n
         stats = stats.select(*SKU, avg.alias("avg"), sd.alias("sd"))
-        sigma = F.coalesce(F.col("sd"), F.col("avg") * F.lit(p.fallback_cv))
-        safety_term = F.lit(p.service_z) * sigma * F.sqrt(F.lit(float(p.lead_time_days)))
-        calc = stats.select(
-            *SKU,
-            "avg",
-            "sd",
-            greatest_strict(F.lit(0).cast("bigint"), rnd_int(safety_term)).alias("safety_stock"),
-            rnd_int(F.col("avg") * p.lead_time_days + greatest_strict(F.lit(0.0), safety_term)).alias(
-                "reorder_point"
-            ),
-        )
+        terms = reorder_policy(F.col("avg"), F.col("sd"), p)
+        calc = stats.select(*SKU, "avg", "sd", *[c.alias(k) for k, c in terms.items()])
         stock = current_stock_levels(wh, p).select(*SKU, "category", "inventory_level")
-        lvl, rp, ss = F.col("inventory_level"), F.col("reorder_point"), F.col("safety_stock")
+        cover = coverage(F.col("inventory_level"), F.col("avg"), F.col("reorder_point"), F.col("safety_stock"), p)
         cov = stock.join(calc, SKU).select(
             *SKU,
             "category",
@@ -215,9 +227,7 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool
             "sd",
             "safety_stock",
             "reorder_point",
-            rnd_int(lvl / greatest_strict(F.col("avg"), F.lit(p.min_daily_sales))).alias("days_of_supply"),
-            greatest_strict(F.lit(0).cast("bigint"), (rp + ss) - lvl).alias("suggested_order_qty"),
-            ratio(lvl, greatest_strict(rp, F.lit(1).cast("bigint"))).alias("coverage_ratio"),
+            *[c.alias(k) for k, c in cover.items()],
         )
         ranked = ntile_in_group(
             cov,

@@ -313,6 +313,46 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q10
+def risk_scores(level, reorder_point, revenue_share, movement_type) -> dict:
+    """The three stockout risk factors of one SKU (fixed bands).
+
+    Inventory: zero stock 100; coverage of the reorder point <= .10 90,
+    <= .25 70, <= .50 40, else 10.  Revenue share >= 90 100, >= 50 60, else 20.
+    Movement FAST 80, MEDIUM 50, SLOW 20, else 10.
+    """
+    cov = ratio(level, greatest_strict(reorder_point, F.lit(1).cast("bigint")))
+    return {
+        "inventory_risk_score": band([(level == 0, 100), (cov <= 0.10, 90), (cov <= 0.25, 70), (cov <= 0.50, 40)], 10),
+        "revenue_impact_score": band([(revenue_share >= 90, 100), (revenue_share >= 50, 60)], 20),
+        "demand_volatility_score": band(
+            [(movement_type == "FAST_MOVER", 80), (movement_type == "MEDIUM_MOVER", 50),
+             (movement_type == "SLOW_MOVER", 20)],
+            10,
+        ),
+    }
+
+
+def risk_rating(inventory_score, revenue_score, volatility_score) -> dict:
+    """Weighted composite (.4/.4/.2, exact decimal) and its class/action bands."""
+
+    def weighted(c, k):
+        return c.cast("decimal(10,0)") * F.lit(k).cast("decimal(2,1)")
+
+    composite = weighted(inventory_score, "0.4") + weighted(revenue_score, "0.4") + weighted(volatility_score, "0.2")
+    return {
+        "composite": composite,
+        "risk_classification": band(
+            [(composite >= 90, "CRITICAL_RISK"), (composite >= 70, "HIGH_RISK"), (composite >= 50, "MODERATE_RISK")],
+            "LOW_RISK",
+        ),
+        "recommended_action": band(
+            [(composite >= 90, "IMMEDIATE_REORDER"), (composite >= 70, "REORDER_SOON"),
+             (composite >= 50, "MONITOR_CLOSELY")],
+            "STANDARD_REVIEW",
+        ),
+    }
+
+
 def stockout_risk(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
         cs = core.current_stock_levels(wh, p).select(*SKU, "category", "inventory_level")
@@ -322,40 +362,14 @@ def stockout_risk(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
         it = core.inventory_turnover(wh, p).select(*SKU, "inventory_turnover_ratio", "movement_type")
         abc = core.abc_classification(wh, p).select(*SKU, "abc_classification", "revenue_percentage")
         df = cs.join(ra, SKU, "left").join(it, SKU, "left").join(abc, SKU, "left")
-        lvl = F.col("inventory_level")
-        cov = ratio(lvl, greatest_strict(F.col("reorder_point"), F.lit(1).cast("bigint")))
-        inv_score = band([(lvl == 0, 100), (cov <= 0.10, 90), (cov <= 0.25, 70), (cov <= 0.50, 40)], 10)
-        share = F.col("revenue_percentage")
-        rev_score = band([(share >= 90, 100), (share >= 50, 60)], 20)
-        mv = F.col("movement_type")
-        vol_score = band([(mv == "FAST_MOVER", 80), (mv == "MEDIUM_MOVER", 50), (mv == "SLOW_MOVER", 20)], 10)
-        scored = df.filter(F.col("avg_daily_sales") > 0).select(
-            "*",
-            inv_score.alias("inventory_risk_score"),
-            rev_score.alias("revenue_impact_score"),
-            vol_score.alias("demand_volatility_score"),
+        scores = risk_scores(
+            F.col("inventory_level"), F.col("reorder_point"), F.col("revenue_percentage"), F.col("movement_type")
         )
-        # exact decimal composite, as the reference's integer * decimal
-        def weighted(c, k):
-            return F.col(c).cast("decimal(10,0)") * F.lit(k).cast("decimal(2,1)")
-
-        composite = (
-            weighted("inventory_risk_score", "0.4")
-            + weighted("revenue_impact_score", "0.4")
-            + weighted("demand_volatility_score", "0.2")
-        )
-        risk = band(
-            [(composite >= 90, "CRITICAL_RISK"), (composite >= 70, "HIGH_RISK"), (composite >= 50, "MODERATE_RISK")],
-            "LOW_RISK",
-        )
-        action = band(
-            [
-                (composite >= 90, "IMMEDIATE_REORDER"),
-                (composite >= 70, "REORDER_SOON"),
-                (composite >= 50, "MONITOR_CLOSELY"),
-            ],
-            "STANDARD_REVIEW",
+        scored = df.filter(F.col("avg_daily_sales") > 0).select("*", *[c.alias(k) for k, c in scores.items()])
+        rating = risk_rating(
+            F.col("inventory_risk_score"), F.col("revenue_impact_score"), F.col("demand_volatility_score")
         )
+        composite, risk, action = rating["composite"], rating["risk_classification"], rating["recommended_action"]
         return scored.select(
             *SKU,
             "category",
