@@ -128,3 +128,16 @@ def test_fused_path_scans_the_window_once(spark):
 def test_snapshot_path_reads_no_fact(spark):
     plan = _plan(registry.run("stockout_risk", spark, SF))
     assert "inventory_data" not in plan
+
+
+def test_export_reports_in_presentation_order(spark, tmp_dir):
+    from shelfwise.plans import reports
+
+    wh = warehouse.from_tpch(spark, "/root/testdata/sf0.01")
+    paths = reports.export_reports(wh, tmp_dir, names=["stockout_risk", "store_performance"])
+    risk = spark.read.option("header", True).option("inferSchema", True).csv(paths[0]).collect()
+    scores = [r.stockout_risk_score for r in risk]
+    assert len(risk) == 60 and scores == sorted(scores, reverse=True)
+    stores = spark.read.option("header", True).option("inferSchema", True).csv(paths[1]).collect()
+    turn = [r.inventory_turnover_ratio for r in stores]
+    assert turn == sorted(turn, reverse=True)
