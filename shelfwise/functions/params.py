@@ -54,6 +54,10 @@ class Params:
     # zero stock 100; revenue share >=90 -> 100, >=50 -> 60 else 20;
     # weights .4/.4/.2; classes >=90, >=70, >=50
     kpi_service_level: float = 95.0
+    # the reference divides by NULLIF(x, 1) (daily rates, ROI): a group with
+    # exactly one day of data, or an inventory value of exactly 1, gives NULL.
+    # False reads it as the usual NULLIF(x, 0) guard instead.
+    reference_nullif_one: bool = True
 
     # --- execution choice (same results either way) ----------------------
     # one per-SKU aggregate over the longest trailing window, with

@@ -178,9 +178,13 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
     return snapshot.join(sales, key).join(turnover, key).join(stock, key)
 
 
-def _per_day(total: str, days: str) -> Column:
+def _guard(p: Params) -> Column:
+    return F.lit(1 if p.reference_nullif_one else 0)
+
+
+def _per_day(total: str, days: str, p: Params) -> Column:
     # x / NULLIF(days, 1): NULL when a group has exactly one day of data
-    return ratio(F.col(total), F.nullif(F.col(days), F.lit(1)))
+    return ratio(F.col(total), F.nullif(F.col(days), _guard(p)))
 
 
 # ---------------------------------------------------------------- Q7
@@ -195,8 +199,8 @@ def store_performance(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             "unique_products",
             "current_inventory_units",
             "current_inventory_value_usd",
-            rnd(_per_day("units_90d", "days_count"), 2).alias("avg_daily_sales"),
-            rnd(_per_day("total_revenue_90d", "days_count"), 2).alias("avg_daily_revenue_usd"),
+            rnd(_per_day("units_90d", "days_count", p), 2).alias("avg_daily_sales"),
+            rnd(_per_day("total_revenue_90d", "days_count", p), 2).alias("avg_daily_revenue_usd"),
             F.col("avg_turnover").alias("inventory_turnover_ratio"),
             "fast_movers",
             "slow_movers",
@@ -225,14 +229,14 @@ def category_performance(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
         )
         s = s.join(abc, "category")
         crit, total = F.col("critical_items"), F.col("total_items")
-        daily_units = _per_day("units_90d", "days_count")
+        daily_units = _per_day("units_90d", "days_count", p)
         return s.select(
             "category",
             "unique_products",
             "current_inventory_units",
             "current_inventory_value_usd",
             rnd(daily_units, 2).alias("avg_daily_sales"),
-            rnd(_per_day("total_revenue_90d", "days_count"), 2).alias("avg_daily_revenue_usd"),
+            rnd(_per_day("total_revenue_90d", "days_count", p), 2).alias("avg_daily_revenue_usd"),
             F.col("total_revenue_90d").alias("total_revenue_90d_usd"),
             F.col("avg_turnover").alias("inventory_turnover_ratio"),
             "fast_movers",
@@ -247,7 +251,7 @@ def category_performance(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             rnd_int(
                 ratio(F.col("current_inventory_units"), greatest_strict(daily_units, F.lit(p.min_daily_sales)))
             ).alias("days_of_supply"),
-            rnd(ratio(F.col("total_revenue_90d"), F.nullif(F.col("current_inventory_value_usd"), F.lit(1))), 2).alias(
+            rnd(ratio(F.col("total_revenue_90d"), F.nullif(F.col("current_inventory_value_usd"), _guard(p))), 2).alias(
                 "inventory_roi_90d"
             ),
             F.dense_rank().over(Window.orderBy(F.col("avg_turnover").desc())).alias("turnover_rank"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import schemas
 from shelfwise.functions.expr import greatest_strict, rnd
-from shelfwise.operators import etl
+from shelfwise.operators import etl, quality
 from shelfwise.operators.windowing import group_rank, ntile_from_rank, ntile_in_group
 from shelfwise.plans import core, dashboards
 from shelfwise.sources import warehouse
@@ -207,6 +207,14 @@ def test_zero_inventory_and_zero_sales(spark):
     wh = wh_of(spark, rows)
     t = core.inventory_turnover(wh).collect()[0]
     assert float(t.inventory_turnover_ratio) == 0.0 and t.days_of_supply == 999
-    q = {r.metric: r.value for r in
-         __import__("shelfwise.operators.quality", fromlist=["x"]).quality_report(wh.fact, wh.products).collect()}
+    q = {r.metric: r.value for r in quality.quality_report(wh.fact, wh.products).collect()}
     assert q["Records with Zero Sales and Inventory"] == 1 and q["Total Records"] == 1
+
+
+def test_nullif_one_can_be_read_as_zero_guard(spark):
+    from shelfwise.functions.params import Params
+
+    rows = [staging_row("2023-12-31", "S1", "P1", "Toys", "East", 5, 3)]
+    wh = wh_of(spark, rows)
+    st = dashboards.store_performance(wh, Params(reference_nullif_one=False)).collect()[0]
+    assert float(st.avg_daily_sales) == 3.0
