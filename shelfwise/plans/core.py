@@ -10,7 +10,10 @@ Scale notes
 * Every per-SKU aggregate is a hash aggregate with map-side partial
   aggregation; the shuffle carries one row per SKU and map task.
 * Trailing windows are filters on the partitioned fact against the latest
-  date (a scalar subquery), so only the needed months are read.
+  date (a literal recorded when the fact was written; a scalar subquery on
+  a lazy fact), so only the needed months are read.
+* On a written warehouse the latest row per SKU and the per-SKU window
+  statistics are read from the SKU-grain tables written with the fact.
 * Products (the only join at row grain, Q5) is a dimension table; the
   planner broadcasts it when its file size is under the broadcast threshold
   and otherwise uses a shuffle join.  All other joins run at SKU grain.
@@ -26,7 +29,6 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
-    count_if,
     greatest_strict,
     label_of,
     mean,

@@ -36,7 +36,7 @@ def one_row(*frames: DataFrame) -> DataFrame:
     """
     base = frames[0]
     cols = [F.col(c) for c in base.columns]
-    for i, fr in enumerate(frames[1:]):
+    for fr in frames[1:]:
         packed = fr.select(F.struct(*fr.columns).alias("s")).scalar()
         cols += [packed.getField(c).alias(c) for c in fr.columns]
     return base.select(*cols)

@@ -141,3 +141,14 @@ def test_export_reports_in_presentation_order(spark, tmp_dir):
     stores = spark.read.option("header", True).option("inferSchema", True).csv(paths[1]).collect()
     turn = [r.inventory_turnover_ratio for r in stores]
     assert turn == sorted(turn, reverse=True)
+
+
+def test_written_warehouse_from_csv_feed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "feed.csv")
+    with open(path, "w", newline="") as fh:
+        fh.write(CSV)
+    wh = warehouse.materialize(warehouse.load(spark, feed.read_staging(spark, path)), os.path.join(tmp_dir, "wh"))
+    assert wh.fact.count() == 2 and str(wh.latest) == "2022-01-02"
+    stock = {r.product_id: (r.inventory_level, r.stock_status) for r in
+             registry.QUERIES["current_stock_levels"](wh, registry.DEFAULT).collect()}
+    assert stock == {"P0001": (231, "HIGH"), "P0002": (10, "CRITICAL")}
