@@ -99,3 +99,28 @@ def decimals_to_double(df):
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def distinct_days(date_col, start, span_days: int) -> Column:
+    """Exact COUNT(DISTINCT date) for dates in [start, start + span_days).
+
+    Each 64-day block of the window is a bitmap (bit_or of 1 << offset);
+    the count is the sum of the blocks' bit counts.  The buffers are
+    primitive longs, so partial aggregation collapses every group map-side:
+    the shuffle carries one row per group and task instead of one per
+    (group, date).
+    """
+    offset = F.datediff(col(date_col), col(start))
+    blocks = (span_days + 63) // 64
+    parts = [
+        F.bit_count(
+            F.bit_or(
+                F.when(
+                    F.floor(offset / 64) == k,
+                    F.call_function("shiftleft", F.lit(1).cast("bigint"), (offset % 64).cast("int")),
+                ).otherwise(F.lit(0).cast("bigint"))
+            )
+        ).cast("bigint")
+        for k in range(blocks)
+    ]
+    return reduce(lambda a, b: a + b, parts)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
+    distinct_days,
     greatest_strict,
     label_of,
     mean,
@@ -346,25 +347,22 @@ def seasonal_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Sales by season x weather x category x location against its own baseline."""
 
     def build():
+        latest = wh.latest_date()
+        start = F.add_months(latest, -p.seasonal_window_months)
         rows = (
-            wh.trailing_months(p.seasonal_window_months)
+            wh.between(start, latest)
             .filter(F.col("seasonality").isNotNull())
             .join(categories(wh), "product_id")
         )
-        # distinct dates counted by grouping on the date first: the second
-        # level then counts rows, no row expansion for COUNT(DISTINCT).
-        daily = rows.groupBy(*SEASONAL_KEY, "date").agg(
+        # one hash aggregate; distinct dates as bitmaps over the window
+        # (at most 12 months + 1 day), so no (group, date) shuffle
+        span = 31 * p.seasonal_window_months + 1
+        groups = rows.groupBy(*SEASONAL_KEY).agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(_units()).alias("s_units"),
+            F.sum(_units()).alias("total_units_sold"),
             F.sum(net("units_sold")).alias("rev"),
             F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
-        )
-        groups = daily.groupBy(*SEASONAL_KEY).agg(
-            F.sum("n").alias("n"),
-            F.sum("s_units").alias("total_units_sold"),
-            F.sum("rev").alias("rev"),
-            F.sum("s_level").alias("s_level"),
-            F.count(F.lit(1)).alias("days_count"),
+            distinct_days("date", start, span).alias("days_count"),
         )
         avg_sales = mean("total_units_sold", "n")
         groups = groups.withColumn("avg_sales", avg_sales)

@@ -19,7 +19,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.expr import band, count_if, greatest_strict, mean, net, ratio, rnd, rnd_int, sum_if
+from ..functions.expr import (
+    band,
+    count_if,
+    distinct_days,
+    greatest_strict,
+    mean,
+    net,
+    ratio,
+    rnd,
+    rnd_int,
+    sum_if,
+)
 from ..functions.params import DEFAULT, Params
 from ..sources.warehouse import Warehouse
 from . import core
@@ -154,14 +165,13 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
         F.round(F.sum(net("inventory_level")), 2).alias("current_inventory_value_usd"),
         F.max("date").alias("data_updated_date"),
     )
-    daily = sales_rows.groupBy(*key, "date").agg(
-        F.sum(F.col("units_sold").cast("bigint")).alias("u"),
-        F.sum(net("units_sold")).alias("r"),
-    )
-    sales = daily.groupBy(*key).agg(
-        F.sum("u").alias("units_90d"),
-        F.round(F.sum("r"), 2).alias("total_revenue_90d"),
-        F.count(F.lit(1)).alias("days_count"),
+    # distinct days as bitmaps over the window: one hash aggregate whose
+    # shuffle carries one row per group and task
+    start = F.date_sub(wh.latest_date(), p.sales_window_days)
+    sales = sales_rows.groupBy(*key).agg(
+        F.sum(F.col("units_sold").cast("bigint")).alias("units_90d"),
+        F.round(F.sum(net("units_sold")), 2).alias("total_revenue_90d"),
+        distinct_days("date", start, p.sales_window_days + 1).alias("days_count"),
     )
     mv = F.col("movement_type")
     turnover = core.inventory_turnover(wh, p).groupBy(*key).agg(
