@@ -101,16 +101,17 @@ def decimals_to_double(df):
     return df.select(*out)
 
 
-def distinct_days(date_col, start, span_days: int) -> Column:
-    """Exact COUNT(DISTINCT date) for dates in [start, start + span_days).
-
-    Each 64-day block of the window is a bitmap (bit_or of 1 << offset);
-    the count is the sum of the blocks' bit counts.  The buffers are
-    primitive longs, so partial aggregation collapses every group map-side:
-    the shuffle carries one row per group and task instead of one per
-    (group, date).
+def distinct_days(offset_col, span_days: int) -> Column:
+    """Exact COUNT(DISTINCT day) for day offsets in [0, span_days).
+
+    ``offset_col`` is the day number inside the window (computed in a
+    projection before the aggregate, e.g. ``datediff(date, start)``).  Each
+    64-day block is a bitmap (bit_or of 1 << offset); the count is the sum
+    of the blocks' bit counts.  The buffers are primitive longs, so partial
+    aggregation collapses every group map-side: the shuffle carries one row
+    per group and task instead of one per (group, date).
     """
-    offset = F.datediff(col(date_col), col(start))
+    offset = col(offset_col)
     blocks = (span_days + 63) // 64
     parts = [
         F.bit_count(

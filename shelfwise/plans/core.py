@@ -353,6 +353,7 @@ def seasonal_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             wh.between(start, latest)
             .filter(F.col("seasonality").isNotNull())
             .join(categories(wh), "product_id")
+            .withColumn("_day", F.datediff(F.col("date"), start))
         )
         # one hash aggregate; distinct dates as bitmaps over the window
         # (at most 12 months + 1 day), so no (group, date) shuffle
@@ -362,7 +363,7 @@ def seasonal_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             F.sum(_units()).alias("total_units_sold"),
             F.sum(net("units_sold")).alias("rev"),
             F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
-            distinct_days("date", start, span).alias("days_count"),
+            distinct_days("_day", span).alias("days_count"),
         )
         avg_sales = mean("total_units_sold", "n")
         groups = groups.withColumn("avg_sales", avg_sales)

@@ -168,10 +168,14 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
     # distinct days as bitmaps over the window: one hash aggregate whose
     # shuffle carries one row per group and task
     start = F.date_sub(wh.latest_date(), p.sales_window_days)
-    sales = sales_rows.groupBy(*key).agg(
-        F.sum(F.col("units_sold").cast("bigint")).alias("units_90d"),
-        F.round(F.sum(net("units_sold")), 2).alias("total_revenue_90d"),
-        distinct_days("date", start, p.sales_window_days + 1).alias("days_count"),
+    sales = (
+        sales_rows.withColumn("_day", F.datediff(F.col("date"), start))
+        .groupBy(*key)
+        .agg(
+            F.sum(F.col("units_sold").cast("bigint")).alias("units_90d"),
+            F.round(F.sum(net("units_sold")), 2).alias("total_revenue_90d"),
+            distinct_days("_day", p.sales_window_days + 1).alias("days_count"),
+        )
     )
     mv = F.col("movement_type")
     turnover = core.inventory_turnover(wh, p).groupBy(*key).agg(
