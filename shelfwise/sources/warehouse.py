@@ -117,10 +117,15 @@ def load(spark: SparkSession, staging: DataFrame, order=None) -> Warehouse:
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Set here only when the session has none (local runs and tests).
+    Set here only when the session has none and runs in local mode (tests);
+    on a cluster a missing setting is an error, never a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: the warehouse tables need a folder shared by all executors"
+            )
         root = tempfile.mkdtemp(prefix="shelfwise-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -8,7 +8,9 @@ IGNORE keeps the first row of a key.
 
 Snapshots are versioned by batch id (``<snapshot>/epoch=<id>``).  A batch
 re-run after a failure rewrites its own version from the previous one, so
-replays are idempotent; readers use the highest complete version.
+replays are idempotent; readers use the highest version.  Each version is a
+full SKU-grain table (one row per SKU); older versions are left for the
+storage's retention policy to expire.
 """
 
 from __future__ import annotations
