@@ -135,7 +135,10 @@ def _use_window_stats(wh: Warehouse, p: Params) -> bool:
 
 def sales_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Per SKU over the trailing sales window, every sum that the reorder and
-    turnover analyses need: one scan and one shuffle serve both."""
+    turnover analyses need.  Read from the written window statistics when
+    present; otherwise one aggregate over the fact (Catalyst prunes each
+    consumer's copy to the columns it uses, so two consumers in one plan
+    scan twice: the written table is what shares the work)."""
 
     def build():
         if _use_window_stats(wh, p):

@@ -51,6 +51,8 @@ class Warehouse:
     # (sales, abc) window lengths they were computed for
     sku_stats: DataFrame | None = None
     sku_stats_windows: tuple[int, int] | None = None
+    # version of the SKU-grain tables (bumped by ``append``)
+    version: int = 0
     _cache: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------
@@ -137,7 +139,7 @@ def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (
 
     Dimensions are written first; the fact's foreign-key filter then joins
     against the written dimensions, whose file sizes let the planner decide
-    on a broadcast by itself.
+    on a broadcast by itself.  The SKU-grain tables follow (``_derive``).
     """
     spark = wh.spark
     wh.stores.write.mode("overwrite").parquet(f"{location}/stores")
@@ -148,33 +150,101 @@ def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (
         fact = etl.build_inventory(wh.staging, stores, products, order=wh.load_order)
     else:
         fact = wh.fact
+    _write_fact(fact, f"{location}/inventory_data", "overwrite")
+    fact_r = spark.read.parquet(f"{location}/inventory_data")
+    out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, load_order=wh.load_order,
+                    location=location, latest=read_latest_date(fact_r))
+    latest_rows = latest_per_key(fact_r.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date")
+    return _derive(out, latest_rows, version=0, stats_windows=stats_windows)
+
+
+def _write_fact(fact: DataFrame, path: str, mode: str) -> None:
     (
         fact.withColumn(MONTH_KEY, month_key(F.col("date")))
         .sortWithinPartitions(MONTH_KEY, *schemas.INVENTORY_KEY)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .partitionBy(MONTH_KEY)
-        .parquet(f"{location}/inventory_data")
+        .parquet(path)
     )
-    fact_r = spark.read.parquet(f"{location}/inventory_data")
-    # SKU-grain snapshot of the latest row (one shuffle of one row per SKU
-    # and map task); streaming.current_stock keeps it current on appends.
-    latest_per_key(fact_r.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date").write.mode(
-        "overwrite"
-    ).parquet(f"{location}/sku_latest")
-    sku_latest = spark.read.parquet(f"{location}/sku_latest")
-    out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, load_order=wh.load_order,
-                    location=location, latest=read_latest_date(fact_r), sku_latest=sku_latest)
-    # per-SKU window statistics (one scan of the longest window, one shuffle)
+
+
+def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows: tuple[int, int]) -> Warehouse:
+    """Write the SKU-grain tables of one warehouse version and attach them.
+
+    ``sku_latest``: latest row per SKU (one row per SKU and map task is
+    shuffled).  ``sku_window_stats``: one aggregate over the longest trailing
+    window.  Each version gets its own folder, so a new version can be
+    built from the previous one while it is being read.
+    """
+    spark, base = out.spark, f"{out.location}/derived/v={version}"
+    latest_rows.write.mode("overwrite").parquet(f"{base}/sku_latest")
+    out.sku_latest = spark.read.parquet(f"{base}/sku_latest")
     if out.latest is not None:
         sales_days, abc_days = stats_windows
         sku_stats.window_stats(
             out.trailing_days(max(sales_days, abc_days)), out.latest_date(), sales_days, abc_days
-        ).write.mode("overwrite").parquet(f"{location}/sku_window_stats")
-        out.sku_stats = spark.read.parquet(f"{location}/sku_window_stats")
+        ).write.mode("overwrite").parquet(f"{base}/sku_window_stats")
+        out.sku_stats = spark.read.parquet(f"{base}/sku_window_stats")
         out.sku_stats_windows = stats_windows
+    out.version = version
     return out
 
 
+def append(wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
+    """Load a new batch into a written warehouse with INSERT IGNORE semantics.
+
+    Rows whose primary key is already stored are skipped (existing rows
+    win); new store locations and products are added to the dimensions.
+    The existing keys are read only for the months and dates the batch
+    touches (static partition pruning plus row-group skipping on the sorted
+    files), so a daily batch does not rescan the history.  The SKU-grain
+    tables are rebuilt as a new version: the latest rows by merging the
+    batch into the previous version, the window statistics from the fact.
+    """
+    spark, location = wh.spark, wh.location
+    if location is None:
+        raise ValueError("append needs a written warehouse")
+    stores_key, skey = list(schemas.STORES_KEY), list(schemas.INVENTORY_KEY)
+    etl.build_stores(staging).join(wh.stores.select(*stores_key), stores_key, "left_anti").write.mode(
+        "append"
+    ).parquet(f"{location}/stores")
+    etl.build_products(staging).join(wh.products.select("product_id"), ["product_id"], "left_anti").write.mode(
+        "append"
+    ).parquet(f"{location}/products")
+    stores = spark.read.parquet(f"{location}/stores")
+    products = spark.read.parquet(f"{location}/products")
+
+    batch = etl.build_inventory(staging, stores, products, order=order).withColumn(MONTH_KEY, month_key(F.col("date")))
+    # bounds of the batch (one small aggregate): the months and dates it touches
+    bounds = batch.agg(
+        F.collect_set(MONTH_KEY).alias("months"), F.min("date").alias("lo"), F.max("date").alias("hi")
+    ).first()
+    if bounds["lo"] is None:
+        return wh
+    existing = wh.fact.filter(
+        F.col(MONTH_KEY).isin(sorted(bounds["months"])) & F.col("date").between(bounds["lo"], bounds["hi"])
+    ).select(*skey)
+    # the accepted rows are written once (lineage cut in the shared folder),
+    # then appended to the fact and merged into the latest-row table
+    version = wh.version + 1
+    batch_path = f"{location}/derived/v={version}/accepted_rows"
+    batch.join(existing, skey, "left_anti").drop(MONTH_KEY).write.mode("overwrite").parquet(batch_path)
+    new_rows = spark.read.parquet(batch_path)
+    _write_fact(new_rows, f"{location}/inventory_data", "append")
+    fact_r = spark.read.parquet(f"{location}/inventory_data")
+    out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, load_order=wh.load_order,
+                    location=location, latest=read_latest_date(fact_r))
+    previous = wh.sku_latest if wh.sku_latest is not None else latest_per_key(wh.fact, schemas.SKU, "date")
+    return _derive(out, _merge_latest(previous, new_rows), version=version, stats_windows=stats_windows)
+
+
+def _merge_latest(current: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Latest row per SKU after adding ``fresh`` rows (newer date wins)."""
+    cols = schemas.INVENTORY.fieldNames()
+    both = current.select(*cols).unionByName(fresh.select(*cols))
+    return latest_per_key(both, schemas.SKU, "date")
+
+
 def read_latest_date(fact: DataFrame) -> datetime.date | None:
     """MAX(date) of a month-partitioned fact, reading only its last month."""
     last_month = fact.agg(F.max(MONTH_KEY)).first()[0]
