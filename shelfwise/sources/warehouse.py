@@ -187,6 +187,11 @@ def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows:
         out.sku_stats = spark.read.parquet(f"{base}/sku_window_stats")
         out.sku_stats_windows = stats_windows
     out.version = version
+    # list the version last: readers only see complete versions
+    spark.createDataFrame(
+        [(version, out.latest, stats_windows[0], stats_windows[1])],
+        "version int, latest_date date, sales_window_days int, abc_window_days int",
+    ).write.mode("overwrite" if version == 0 else "append").parquet(f"{out.location}/versions")
     return out
 
 
@@ -238,6 +243,32 @@ def append(wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[i
     return _derive(out, _merge_latest(previous, new_rows), version=version, stats_windows=stats_windows)
 
 
+def open_written(spark: SparkSession, location: str) -> Warehouse:
+    """Re-attach to a written warehouse (e.g. after a driver restart).
+
+    Uses the newest version listed in ``<location>/versions``; a version is
+    listed only after its tables are complete.  Without one, version 0 is
+    rebuilt from the fact.
+    """
+    stores = spark.read.parquet(f"{location}/stores")
+    products = spark.read.parquet(f"{location}/products")
+    fact = spark.read.parquet(f"{location}/inventory_data")
+    out = Warehouse(spark, stores, products, fact, location=location, latest=read_latest_date(fact))
+    try:
+        newest = spark.read.parquet(f"{location}/versions").orderBy(F.col("version").desc()).first()
+    except Exception:  # no version listed yet
+        newest = None
+    if newest is None:
+        latest_rows = latest_per_key(fact.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date")
+        return _derive(out, latest_rows, version=0, stats_windows=(90, 180))
+    base = f"{location}/derived/v={newest['version']}"
+    out.sku_latest = spark.read.parquet(f"{base}/sku_latest")
+    out.sku_stats = spark.read.parquet(f"{base}/sku_window_stats")
+    out.sku_stats_windows = (newest["sales_window_days"], newest["abc_window_days"])
+    out.version = newest["version"]
+    return out
+
+
 def _merge_latest(current: DataFrame, fresh: DataFrame) -> DataFrame:
     """Latest row per SKU after adding ``fresh`` rows (newer date wins)."""
     cols = schemas.INVENTORY.fieldNames()
