@@ -101,27 +101,38 @@ def decimals_to_double(df):
     return df.select(*out)
 
 
-def distinct_days(offset_col, span_days: int) -> Column:
-    """Exact COUNT(DISTINCT day) for day offsets in [0, span_days).
+def day_bitmaps(offset_col, span_days: int, prefix: str = "_days") -> list[Column]:
+    """Aggregates: one bitmap per 64-day block of day offsets in [0, span_days).
 
     ``offset_col`` is the day number inside the window (computed in a
-    projection before the aggregate, e.g. ``datediff(date, start)``).  Each
-    64-day block is a bitmap (bit_or of 1 << offset); the count is the sum
-    of the blocks' bit counts.  The buffers are primitive longs, so partial
-    aggregation collapses every group map-side: the shuffle carries one row
-    per group and task instead of one per (group, date).
+    projection before the aggregate, e.g. ``datediff(date, start)``).  The
+    buffers are primitive longs, so partial aggregation collapses every
+    group map-side, and bitmaps of sub-groups merge with ``bit_or``.
     """
     offset = col(offset_col)
-    blocks = (span_days + 63) // 64
-    parts = [
-        F.bit_count(
-            F.bit_or(
-                F.when(
-                    F.floor(offset / 64) == k,
-                    F.call_function("shiftleft", F.lit(1).cast("bigint"), (offset % 64).cast("int")),
-                ).otherwise(F.lit(0).cast("bigint"))
-            )
-        ).cast("bigint")
-        for k in range(blocks)
+    return [
+        F.bit_or(
+            F.when(
+                F.floor(offset / 64) == k,
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), (offset % 64).cast("int")),
+            ).otherwise(F.lit(0).cast("bigint"))
+        ).alias(f"{prefix}{k}")
+        for k in range((span_days + 63) // 64)
     ]
+
+
+def merge_bitmaps(span_days: int, prefix: str = "_days") -> list[Column]:
+    """Aggregates merging the bitmaps of ``day_bitmaps`` over a coarser key."""
+    return [F.bit_or(f"{prefix}{k}").alias(f"{prefix}{k}") for k in range((span_days + 63) // 64)]
+
+
+def bitmap_count(span_days: int, prefix: str = "_days") -> Column:
+    """Number of days set in the bitmap columns."""
+    parts = [F.bit_count(F.col(f"{prefix}{k}")).cast("bigint") for k in range((span_days + 63) // 64)]
+    return reduce(lambda a, b: a + b, parts)
+
+
+def distinct_days(offset_col, span_days: int) -> Column:
+    """Exact COUNT(DISTINCT day) in one aggregate (sum of the blocks' bit counts)."""
+    parts = [F.bit_count(b).cast("bigint") for b in day_bitmaps(offset_col, span_days)]
     return reduce(lambda a, b: a + b, parts)

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
-    distinct_days,
+    bitmap_count,
+    day_bitmaps,
+    merge_bitmaps,
     greatest_strict,
     label_of,
     mean,
@@ -40,7 +42,7 @@ from ..functions.expr import (
 )
 from ..functions.params import DEFAULT, Params
 from ..operators import sku_stats
-from ..operators.windowing import latest_per_key, ntile_in_group
+from ..operators.windowing import BROADCAST_MAX_ROWS, latest_per_key, ntile_in_group
 from ..sources.warehouse import Warehouse
 
 SKU = list(schemas.SKU)
@@ -57,6 +59,16 @@ def categories(wh: Warehouse) -> DataFrame:
     return wh.products.select("product_id", "category")
 
 
+def broadcast_categories(wh: Warehouse) -> DataFrame | None:
+    """product_id -> category marked for broadcast, when the written product
+    dimension is proven small (exact row count <= BROADCAST_MAX_ROWS); None
+    otherwise, and callers then aggregate per product before joining."""
+    n = wh.row_count("products")
+    if n is None or n > BROADCAST_MAX_ROWS:
+        return None
+    return F.broadcast(categories(wh))
+
+
 def _units() -> F.Column:
     return F.col("units_sold").cast("bigint")
 
@@ -352,22 +364,41 @@ def seasonal_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
         latest = wh.latest_date()
         start = F.add_months(latest, -p.seasonal_window_months)
+        span = 31 * p.seasonal_window_months + 1  # covers 12 months + 1 day
         rows = (
             wh.between(start, latest)
             .filter(F.col("seasonality").isNotNull())
-            .join(categories(wh), "product_id")
             .withColumn("_day", F.datediff(F.col("date"), start))
         )
-        # one hash aggregate; distinct dates as bitmaps over the window
-        # (at most 12 months + 1 day), so no (group, date) shuffle
-        span = 31 * p.seasonal_window_months + 1
-        groups = rows.groupBy(*SEASONAL_KEY).agg(
+        measures = [
             F.count(F.lit(1)).alias("n"),
             F.sum(_units()).alias("total_units_sold"),
             F.sum(net("units_sold")).alias("rev"),
             F.sum(F.col("inventory_level").cast("bigint")).alias("s_level"),
-            distinct_days("_day", span).alias("days_count"),
-        )
+            *day_bitmaps("_day", span),
+        ]
+        small = broadcast_categories(wh)
+        if small is not None:
+            # proven-small product dimension: broadcast it into the scan,
+            # then one aggregate
+            groups = rows.join(small, "product_id").groupBy(*SEASONAL_KEY).agg(*measures)
+        else:
+            # large or unknown dimension: aggregate per product first, join
+            # the category at that grain, then merge (bitmaps merge by bit_or)
+            by_product = [k for k in SEASONAL_KEY if k != "category"] + ["product_id"]
+            groups = (
+                rows.groupBy(*by_product).agg(*measures)
+                .join(categories(wh), "product_id")
+                .groupBy(*SEASONAL_KEY)
+                .agg(
+                    F.sum("n").alias("n"),
+                    F.sum("total_units_sold").alias("total_units_sold"),
+                    F.sum("rev").alias("rev"),
+                    F.sum("s_level").alias("s_level"),
+                    *merge_bitmaps(span),
+                )
+            )
+        groups = groups.withColumn("days_count", bitmap_count(span))
         avg_sales = mean("total_units_sold", "n")
         groups = groups.withColumn("avg_sales", avg_sales)
         baseline = F.avg("avg_sales").over(Window.partitionBy("category", "store_id", "region"))

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
+    bitmap_count,
     count_if,
-    distinct_days,
+    day_bitmaps,
+    merge_bitmaps,
     greatest_strict,
     mean,
     net,
@@ -155,27 +157,42 @@ def executive_kpi_dashboard(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool) -> DataFrame:
     """Snapshot, 90-day sales, turnover and stock counts per ``key``."""
     snap_rows = wh.on_latest_date()
-    sales_rows = wh.trailing_days(p.sales_window_days)
     if by_category:
-        snap_rows = snap_rows.join(core.categories(wh), "product_id")
-        sales_rows = sales_rows.join(core.categories(wh), "product_id")
+        snap_rows = snap_rows.join(core.categories(wh), "product_id")  # one day of rows
     snapshot = snap_rows.groupBy(*key).agg(
         F.count_distinct("product_id").alias("unique_products"),
         F.sum(F.col("inventory_level").cast("bigint")).alias("current_inventory_units"),
         F.round(F.sum(net("inventory_level")), 2).alias("current_inventory_value_usd"),
         F.max("date").alias("data_updated_date"),
     )
-    # distinct days as bitmaps over the window: one hash aggregate whose
-    # shuffle carries one row per group and task
+    # distinct days as bitmaps over the window: hash aggregates whose shuffle
+    # carries one row per group and task.  By category, rows are first
+    # aggregated per product and the category joined at product grain.
     start = F.date_sub(wh.latest_date(), p.sales_window_days)
-    sales = (
-        sales_rows.withColumn("_day", F.datediff(F.col("date"), start))
-        .groupBy(*key)
-        .agg(
-            F.sum(F.col("units_sold").cast("bigint")).alias("units_90d"),
-            F.round(F.sum(net("units_sold")), 2).alias("total_revenue_90d"),
-            distinct_days("_day", p.sales_window_days + 1).alias("days_count"),
+    span = p.sales_window_days + 1
+    sales_rows = wh.trailing_days(p.sales_window_days).withColumn("_day", F.datediff(F.col("date"), start))
+    measures = [
+        F.sum(F.col("units_sold").cast("bigint")).alias("u"),
+        F.sum(net("units_sold")).alias("r"),
+        *day_bitmaps("_day", span),
+    ]
+    small = core.broadcast_categories(wh) if by_category else None
+    if not by_category:
+        sales = sales_rows.groupBy(*key).agg(*measures)
+    elif small is not None:  # proven-small dimension: broadcast, one aggregate
+        sales = sales_rows.join(small, "product_id").groupBy(*key).agg(*measures)
+    else:  # otherwise per product first, category joined at product grain
+        sales = (
+            sales_rows.groupBy("product_id").agg(*measures)
+            .join(core.categories(wh), "product_id")
+            .groupBy(*key)
+            .agg(F.sum("u").alias("u"), F.sum("r").alias("r"), *merge_bitmaps(span))
         )
+    sales = sales.select(
+        *key,
+        F.col("u").alias("units_90d"),
+        F.round(F.col("r"), 2).alias("total_revenue_90d"),
+        bitmap_count(span).alias("days_count"),
     )
     mv = F.col("movement_type")
     turnover = core.inventory_turnover(wh, p).groupBy(*key).agg(

@@ -99,6 +99,15 @@ class Warehouse:
             self._cache[key] = self.products.select(column).distinct().count()
         return self._cache[key]
 
+    def row_count(self, table: str) -> int | None:
+        """Exact row count of a written dimension (Parquet metadata); None if lazy."""
+        if self.location is None:
+            return None
+        key = ("rows", table)
+        if key not in self._cache:
+            self._cache[key] = getattr(self, table).count()
+        return self._cache[key]
+
     def memo(self, name: str, build):
         """Build a derived DataFrame once per warehouse (same plan object)."""
         if name not in self._cache:

@@ -85,7 +85,9 @@ def test_materialized_equals_lazy(spark):
     assert mat.fact.select(*cols).exceptAll(lazy.fact).count() == 0
     from shelfwise.functions.expr import decimals_to_double
 
-    for name in ["executive_kpi_dashboard", "current_stock_levels", "inventory_turnover", "store_performance"]:
+    # the lazy warehouse also takes the per-product-first path (dimension size unknown)
+    for name in ["executive_kpi_dashboard", "current_stock_levels", "inventory_turnover", "store_performance",
+                 "seasonal_analysis", "category_performance", "seasonality_summary"]:
         a = decimals_to_double(registry.QUERIES[name](lazy, registry.DEFAULT)).collect()
         b = decimals_to_double(registry.QUERIES[name](mat, registry.DEFAULT)).collect()
         assert sorted(a) == sorted(b), name
@@ -152,3 +154,12 @@ def test_written_warehouse_from_csv_feed(spark, tmp_dir):
     stock = {r.product_id: (r.inventory_level, r.stock_status) for r in
              registry.QUERIES["current_stock_levels"](wh, registry.DEFAULT).collect()}
     assert stock == {"P0001": (231, "HIGH"), "P0002": (10, "CRITICAL")}
+
+
+def test_small_dimension_is_broadcast_behind_a_count(spark):
+    plan = _plan(registry.run("seasonal_analysis", spark, SF))
+    assert "BroadcastHashJoin" in plan
+    lazy = warehouse.from_tpch(spark, SF, materialized=False)
+    from shelfwise.plans import core
+
+    assert core.broadcast_categories(lazy) is None
