@@ -53,6 +53,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cores when the scan yields fewer
+    partitions than the session's parallelism (a file with one large row
+    group is read by one task).  A no-op for inputs with many row groups."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def season_of(date_col) -> F.Column:
     m = F.month(date_col)
     return band(
@@ -74,9 +84,11 @@ def category_of(partkey) -> F.Column:
 def staging_from_tpch(spark: SparkSession, sf_dir: str, product_modulus: int = 10) -> DataFrame:
     """Staging rows (15 feed columns, ``Date`` typed) plus the ``LOAD_ORDER``
     lineage columns."""
-    li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    li = spread(
+        _read(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        )
     )
     # Each dimension is joined on its own, so the planner sizes every join
     # from that table's files: small ones are broadcast, large ones
