@@ -146,22 +146,35 @@ def shared_root(spark: SparkSession) -> str:
 def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
     """Write stores, products, fact to ``location`` and return readers of them.
 
-    Dimensions are written first; the fact's foreign-key filter then joins
-    against the written dimensions, whose file sizes let the planner decide
-    on a broadcast by itself.  The SKU-grain tables follow (``_derive``).
+    The staging rows are written first (columnar), then the dimensions; the
+    fact's foreign-key filter joins against the written dimensions, whose
+    file sizes let the planner decide on a broadcast by itself.  The
+    SKU-grain tables follow (``_derive``).
     """
     spark = wh.spark
-    wh.stores.write.mode("overwrite").parquet(f"{location}/stores")
-    wh.products.write.mode("overwrite").parquet(f"{location}/products")
+    staging, order = wh.staging, wh.load_order
+    if staging is not None:
+        # the staging table is written once, in columnar form: dimensions,
+        # fact and the key checks read it instead of re-deriving or
+        # re-parsing the raw feed; the input order is fixed here too
+        if order is None:
+            staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
+        staging.write.mode("overwrite").parquet(f"{location}/staging_inventory_data")
+        staging = spark.read.parquet(f"{location}/staging_inventory_data")
+        new_stores, new_products = etl.build_stores(staging), etl.build_products(staging)
+    else:
+        new_stores, new_products = wh.stores, wh.products
+    new_stores.write.mode("overwrite").parquet(f"{location}/stores")
+    new_products.write.mode("overwrite").parquet(f"{location}/products")
     stores = spark.read.parquet(f"{location}/stores")
     products = spark.read.parquet(f"{location}/products")
-    if wh.staging is not None:
-        fact = etl.build_inventory(wh.staging, stores, products, order=wh.load_order)
+    if staging is not None:
+        fact = etl.build_inventory(staging, stores, products, order=order)
     else:
         fact = wh.fact
     _write_fact(fact, f"{location}/inventory_data", "overwrite")
     fact_r = spark.read.parquet(f"{location}/inventory_data")
-    out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, load_order=wh.load_order,
+    out = Warehouse(spark, stores, products, fact_r, staging=staging, load_order=order,
                     location=location, latest=read_latest_date(fact_r))
     latest_rows = latest_per_key(fact_r.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date")
     return _derive(out, latest_rows, version=0, stats_windows=stats_windows)
@@ -263,6 +276,10 @@ def open_written(spark: SparkSession, location: str) -> Warehouse:
     products = spark.read.parquet(f"{location}/products")
     fact = spark.read.parquet(f"{location}/inventory_data")
     out = Warehouse(spark, stores, products, fact, location=location, latest=read_latest_date(fact))
+    try:
+        out.staging = spark.read.parquet(f"{location}/staging_inventory_data")
+    except Exception:  # written without a staging table
+        out.staging = None
     try:
         newest = spark.read.parquet(f"{location}/versions").orderBy(F.col("version").desc()).first()
     except Exception:  # no version listed yet
