@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import tempfile
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -311,6 +312,7 @@ def read_latest_date(fact: DataFrame) -> datetime.date | None:
 
 
 _REGISTRY: dict[tuple, Warehouse] = {}
+_REGISTRY_LOCK = threading.RLock()
 
 
 def from_tpch(
@@ -322,13 +324,12 @@ def from_tpch(
     source; later calls reuse the written tables.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), product_modulus)
-    if materialized and key in _REGISTRY:
-        return _REGISTRY[key]
-    staging = tpch.staging_from_tpch(spark, sf_dir, product_modulus)
-    lazy = load(spark, staging, order=tpch.LOAD_ORDER)
     if not materialized:
-        return lazy
-    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-    wh = materialize(lazy, f"{shared_root(spark)}/shelfwise/{digest}")
-    _REGISTRY[key] = wh
-    return wh
+        return load(spark, tpch.staging_from_tpch(spark, sf_dir, product_modulus), order=tpch.LOAD_ORDER)
+    with _REGISTRY_LOCK:  # one load per source, also when called from several threads
+        if key not in _REGISTRY:
+            staging = tpch.staging_from_tpch(spark, sf_dir, product_modulus)
+            lazy = load(spark, staging, order=tpch.LOAD_ORDER)
+            digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+            _REGISTRY[key] = materialize(lazy, f"{shared_root(spark)}/shelfwise/{digest}")
+        return _REGISTRY[key]

@@ -163,3 +163,12 @@ def test_small_dimension_is_broadcast_behind_a_count(spark):
     from shelfwise.plans import core
 
     assert core.broadcast_categories(lazy) is None
+
+
+def test_concurrent_first_calls_load_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    sf = "/root/testdata/sf0.001"
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: warehouse.from_tpch(spark, sf, product_modulus=7), range(4)))
+    assert all(w is got[0] for w in got)
