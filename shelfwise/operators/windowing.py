@@ -107,3 +107,27 @@ def ntile_in_group(
         return df.withColumn(out_col, quartile(group, order, n))
     ranked = group_rank(df, group, order, "_rank", "_size", max_groups=max_groups)
     return ranked.withColumn(out_col, ntile_from_rank("_rank", "_size", n)).drop("_rank", "_size")
+
+
+def share_of_total(value, whole_window, scale: int = 2) -> Column:
+    """100 * value / SUM(value) over ``whole_window``, rounded half-up (decimal)."""
+    from ..functions.expr import ratio, rnd
+
+    v = F.col(value) if isinstance(value, str) else value
+    return rnd(ratio(v, F.sum(v).over(whole_window)) * 100, scale)
+
+
+def pareto_class(cumulative, cutoffs=(80, 95), labels=("A", "B", "C")) -> Column:
+    """ABC class from an inclusive cumulative share: <= first cut-off the
+    first label, <= second the second, else the last."""
+    from ..functions.expr import band
+
+    c = F.col(cumulative) if isinstance(cumulative, str) else cumulative
+    return band([(c <= cut, lab) for cut, lab in zip(cutoffs, labels)], labels[-1])
+
+
+def argmax_by(df: DataFrame, group: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``value`` per group, ties to the smallest
+    ``tie`` columns (partial top-1 before the shuffle)."""
+    w = Window.partitionBy(*group).orderBy(F.col(value).desc(), *[F.col(t).asc() for t in tie])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -42,7 +42,13 @@ from ..functions.expr import (
 )
 from ..functions.params import DEFAULT, Params
 from ..operators import sku_stats
-from ..operators.windowing import BROADCAST_MAX_ROWS, latest_per_key, ntile_in_group
+from ..operators.windowing import (
+    BROADCAST_MAX_ROWS,
+    latest_per_key,
+    ntile_in_group,
+    pareto_class,
+    share_of_total,
+)
 from ..sources.warehouse import Warehouse
 
 SKU = list(schemas.SKU)
@@ -53,6 +59,8 @@ STOCK_STATUS = ("CRITICAL", "LOW", "NORMAL", "HIGH")
 ALERT_LEVEL = {1: "CRITICAL", 2: "LOW", 3: "MODERATE"}, "ADEQUATE"
 MOVEMENT_TYPE = {1: "FAST_MOVER", 2: "MEDIUM_MOVER", 3: "SLOW_MOVER"}, "NON_MOVER"
 PERFORMANCE = {1: "EXCELLENT", 2: "GOOD", 3: "AVERAGE"}, "NEEDS_IMPROVEMENT"
+ABC_CLASSES = ("A", "B", "C")
+ABC_STRATEGIES = ("TIGHT_CONTROL", "MODERATE_CONTROL", "BASIC_CONTROL")
 
 
 def categories(wh: Warehouse) -> DataFrame:
@@ -330,13 +338,13 @@ def abc_classification(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
         running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         shared = agg.select(
             "*",
-            rnd(ratio("rev", F.sum("rev").over(whole)) * 100, 2).alias("revenue_percentage"),
+            share_of_total("rev", whole).alias("revenue_percentage"),
             F.row_number().over(ordered).alias("revenue_rank"),
         )
         cum = shared.withColumn("cum", F.sum("revenue_percentage").over(running))
-        c = F.col("cum")
-        abc = band([(c <= p.abc_a_cutoff, "A"), (c <= p.abc_b_cutoff, "B")], "C")
-        strategy = band([(c <= p.abc_a_cutoff, "TIGHT_CONTROL"), (c <= p.abc_b_cutoff, "MODERATE_CONTROL")], "BASIC_CONTROL")
+        cuts = (p.abc_a_cutoff, p.abc_b_cutoff)
+        abc = pareto_class("cum", cuts, ABC_CLASSES)
+        strategy = pareto_class("cum", cuts, ABC_STRATEGIES)
         return cum.select(
             *SKU,
             "category",

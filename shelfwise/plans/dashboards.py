@@ -34,6 +34,7 @@ from ..functions.expr import (
     sum_if,
 )
 from ..functions.params import DEFAULT, Params
+from ..operators.windowing import argmax_by
 from ..sources.warehouse import Warehouse
 from . import core
 
@@ -316,11 +317,8 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
         )
         # arg-max per season (ties to the first category name); the input
         # has one row per season and category
-        best = Window.partitionBy("seasonality").orderBy(F.col("avg_seasonal_index").desc(), F.col("category").asc())
-        top = (
-            cat.withColumn("_r", F.row_number().over(best))
-            .filter(F.col("_r") == 1)
-            .select("seasonality", F.struct("category", "avg_seasonal_index").alias("top"))
+        top = argmax_by(cat, ["seasonality"], "avg_seasonal_index", ["category"]).select(
+            "seasonality", F.struct("category", "avg_seasonal_index").alias("top")
         )
         overall = season.agg(F.avg("avg_sales").alias("overall")).scalar()
         rel = F.col("avg_sales") / overall
