@@ -57,10 +57,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cores when the scan yields fewer
     partitions than the session's parallelism (a file with one large row
     group is read by one task).  A no-op for inputs with many row groups."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # session without a local SparkContext (Spark Connect)
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def season_of(date_col) -> F.Column:

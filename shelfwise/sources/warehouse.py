@@ -132,9 +132,14 @@ def shared_root(spark: SparkSession) -> str:
     Set here only when the session has none and runs in local mode (tests);
     on a cluster a missing setting is an error, never a machine-local folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: only the conf is visible
+            root = None
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: the warehouse tables need a folder shared by all executors"
             )
@@ -311,6 +316,16 @@ def read_latest_date(fact: DataFrame) -> datetime.date | None:
     return fact.filter(F.col(MONTH_KEY) == last_month).agg(F.max("date")).first()[0]
 
 
+def _app_id(spark: SparkSession) -> str:
+    app = spark.conf.get("spark.app.id", None)
+    if app:
+        return app
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return str(id(spark))
+
+
 _REGISTRY: dict[tuple, Warehouse] = {}
 _REGISTRY_LOCK = threading.RLock()
 
@@ -323,7 +338,7 @@ def from_tpch(
     With ``materialized`` the load runs once per Spark application and
     source; later calls reuse the written tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), product_modulus)
+    key = (_app_id(spark), sf_dir.rstrip("/"), product_modulus)
     if not materialized:
         return load(spark, tpch.staging_from_tpch(spark, sf_dir, product_modulus), order=tpch.LOAD_ORDER)
     with _REGISTRY_LOCK:  # one load per source, also when called from several threads
