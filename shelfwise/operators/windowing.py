@@ -58,14 +58,13 @@ def group_rank(
     of all SKUs) would put the whole group into one task.  Instead: range
     partition on (group, order) (a sampled, balanced shuffle that splits a
     large group over many tasks), sort inside partitions, number rows by
-    position, and add the row count of the same group in earlier partitions.
+    position, checkpoint, and add the row count of the same group in earlier
+    partitions.
     The offsets table has at most (#partitions + #groups) rows; it is
     broadcast when the caller gives a bound on the number of groups that
     keeps it under ``BROADCAST_MAX_ROWS``, else joined by the planner.
     """
     keys = [F.col(g) for g in group] + list(order)
-    # A fixed partition count keeps adaptive execution from coalescing the
-    # two reads of this shuffle differently (partition ids must agree).
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = (
         df.repartitionByRange(n_parts, *keys)
@@ -73,6 +72,14 @@ def group_rank(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
+    # The counts and the rows below must see the same partitions: two
+    # independently planned range shuffles sample different bounds.  A
+    # reliable checkpoint (shared folder) fixes partitions, ids and
+    # positions once, and survives executor loss.
+    from ..sources.warehouse import shared_root
+
+    shared_root(df.sparkSession)
+    ranked = ranked.checkpoint(eager=True)
     per_part = ranked.groupBy("_pid", *group).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
     )

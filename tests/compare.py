@@ -49,15 +49,21 @@ def rows_of(records, cols):
     return sorted((tuple(_norm(r[c]) for c in cols) for r in records), key=repr)
 
 
-def compare(spark, sf_dir: str, names=None, con=None):
+def compare(spark, sf_dir: str, names=None, con=None, product_modulus: int = 10):
     import __spark_entry__ as se
+    from shelfwise.plans import oracle, registry
 
     qs, sql = se.queries(), se.oracle_sql()
+    if product_modulus != 10:
+        sql = oracle.oracle_for(product_modulus)
     con = con or duck(sf_dir)
     out = {}
     for name in names or list(qs):
         t0 = time.time()
-        sdf = qs[name](spark, sf_dir)
+        if product_modulus == 10:
+            sdf = qs[name](spark, sf_dir)
+        else:
+            sdf = registry.run(name, spark, sf_dir, product_modulus=product_modulus)
         srows = [r.asDict() for r in sdf.collect()]
         t1 = time.time()
         scols = sorted(sdf.columns)

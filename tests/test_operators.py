@@ -230,3 +230,16 @@ def test_distinct_days_bitmap_equals_count_distinct(spark):
     df = spark.createDataFrame(rows, "g string, d date").withColumn("off", F.datediff("d", F.lit(start)))
     got = df.groupBy("g").agg(distinct_days("off", 367).alias("bits"), F.count_distinct("d").alias("exact"))
     assert got.filter("bits <> exact").count() == 0 and got.count() == 2
+
+
+def test_distributed_rank_on_sampled_ranges(spark):
+    # enough rows that range partitioning samples instead of seeing every row
+    df = spark.range(60000).select(
+        (F.col("id") % 3).cast("string").alias("grp"),
+        ((F.col("id") * 7919) % 1000 / 10.0).alias("v"),
+        F.col("id").alias("k"),
+    ).repartition(8)
+    order = [F.col("v").desc(), F.col("k").asc()]
+    a = ntile_in_group(df, ["grp"], order, "t", distributed=True)
+    b = ntile_in_group(df, ["grp"], order, "t", distributed=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

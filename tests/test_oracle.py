@@ -36,3 +36,17 @@ def test_expected_sizes_sf001(spark):
     assert q["current_stock_levels"](spark, sf).count() == 250
     assert q["reorder_analysis"](spark, sf).count() == 60
     assert q["stockout_risk"](spark, sf).count() == 60
+
+
+def test_wide_catalogue_matches_oracle(spark):
+    """25,000 SKUs (product_id = l_partkey mod 1000): larger quartile groups
+    and Pareto windows, many more reorder candidates per category."""
+    sf = "/root/testdata/sf0.01"
+    names = [
+        "current_stock_levels", "reorder_analysis", "inventory_turnover", "abc_classification",
+        "seasonal_analysis", "executive_kpi_dashboard", "store_performance", "category_performance",
+        "seasonality_summary", "stockout_risk", "quality_report", "category_distribution", "inventory_kpis",
+    ]
+    res = compare(spark, sf, names, con=duck(sf), product_modulus=1000)
+    bad = {k: v for k, v in res.items() if not (v.get("schema_ok") and v.get("values_ok"))}
+    assert not bad, bad
