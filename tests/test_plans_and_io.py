@@ -24,10 +24,14 @@ def test_no_pair_emitting_joins(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["reorder_analysis", "inventory_turnover", "abc_classification",
-                                  "seasonal_analysis", "store_performance"])
+@pytest.mark.parametrize("name", ["sales_stats", "abc_stats", "sku_window_stats", "seasonal_analysis",
+                                  "store_performance"])
 def test_trailing_windows_prune_months_and_push_filters(spark, name):
-    plan = _plan(registry.run(name, spark, SF, p=Params(read_snapshots=False)))
+    from shelfwise.plans import core, dashboards
+
+    wh = warehouse.from_tpch(spark, SF)
+    build = getattr(core, name, None) or getattr(dashboards, name)
+    plan = _plan(build(wh, Params(read_snapshots=False)))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "inventory_data" in line]
     windowed = [s for s in scans if "month_key" in s.split("PartitionFilters:")[1].split("]")[0]]
     assert windowed, scans
