@@ -17,8 +17,9 @@ Scale notes
 * Products (the only join at row grain, Q5) is a dimension table; the
   planner broadcasts it when its file size is under the broadcast threshold
   and otherwise uses a shuffle join.  All other joins run at SKU grain.
-* Quartiles per category use ``ntile_in_group`` (range-partitioned rank),
-  not a window over a whole category in one task.
+* Quartiles per category use one window task per category only when the
+  SKU table is proven small (exact count); otherwise ``ntile_in_group``'s
+  range-partitioned rank, never an unbounded category in one task.
 """
 
 from __future__ import annotations
@@ -67,6 +68,13 @@ def categories(wh: Warehouse) -> DataFrame:
     return wh.products.select("product_id", "category")
 
 
+def distributed_quartiles(wh: Warehouse, p: Params) -> bool:
+    """True unless the SKU table is proven small enough for one window task
+    per category (exact row count of the written latest-row table)."""
+    n = wh.row_count("sku_latest") if wh.sku_latest is not None else None
+    return n is None or n > p.ntile_window_max_rows
+
+
 def broadcast_categories(wh: Warehouse) -> DataFrame | None:
     """product_id -> category marked for broadcast, when the written product
     dimension is proven small (exact row count <= BROADCAST_MAX_ROWS); None
@@ -231,7 +239,7 @@ def coverage(level, avg, reorder_point, safety_stock, p: Params = DEFAULT) -> di
     }
 
 
-def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool = True) -> DataFrame:
+def reorder_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Safety stock, reorder point and a relative alert level per SKU."""
 
     def build():
@@ -260,7 +268,7 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool
             ["category"],
             [F.col("coverage_ratio").asc(), *[F.col(c).asc() for c in SKU]],
             "quartile_rank",
-            distributed=distributed_ntile,
+            distributed=distributed_quartiles(wh, p),
             max_groups=wh.distinct_count("category"),
         )
         labels, default = ALERT_LEVEL
@@ -279,11 +287,11 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool
             label_of("quartile_rank", labels, default).alias("alert_level"),
         )
 
-    return wh.memo(("reorder_analysis", p, distributed_ntile), build)
+    return wh.memo(("reorder_analysis", p), build)
 
 
 # ---------------------------------------------------------------- Q3
-def inventory_turnover(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bool = True) -> DataFrame:
+def inventory_turnover(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Annualised turnover and movement quartiles per SKU (trailing window)."""
 
     def build():
@@ -309,7 +317,7 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bo
             ["category"],
             [F.col("inventory_turnover_ratio").desc(), *[F.col(c).asc() for c in SKU]],
             "quartile_rank",
-            distributed=distributed_ntile,
+            distributed=distributed_quartiles(wh, p),
             max_groups=wh.distinct_count("category"),
         )
         mv, mv_default = MOVEMENT_TYPE
@@ -320,7 +328,7 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT, distributed_ntile: bo
             label_of("quartile_rank", pf, pf_default).alias("performance_rating"),
         )
 
-    return wh.memo(("inventory_turnover", p, distributed_ntile), build)
+    return wh.memo(("inventory_turnover", p), build)
 
 
 # ---------------------------------------------------------------- Q4

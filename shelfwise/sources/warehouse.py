@@ -109,6 +109,12 @@ class Warehouse:
             self._cache[key] = getattr(self, table).count()
         return self._cache[key]
 
+    def forget_views(self) -> None:
+        """Drop memoised analysis DataFrames (each is rebuilt, and recomputed,
+        on next use); dimension counts are kept."""
+        for k in [k for k in self._cache if not (isinstance(k, tuple) and k[0] in ("rows", "distinct"))]:
+            del self._cache[k]
+
     def memo(self, name: str, build):
         """Build a derived DataFrame once per warehouse (same plan object)."""
         if name not in self._cache:

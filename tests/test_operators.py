@@ -243,3 +243,17 @@ def test_distributed_rank_on_sampled_ranges(spark):
     a = ntile_in_group(df, ["grp"], order, "t", distributed=True)
     b = ntile_in_group(df, ["grp"], order, "t", distributed=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_window_and_distributed_quartiles_agree(spark):
+    from shelfwise.functions.expr import decimals_to_double
+    from shelfwise.functions.params import Params
+
+    small, forced = Params(), Params(ntile_window_max_rows=0)
+    for modulus in (10, 1000):
+        wh = warehouse.from_tpch(spark, "/root/testdata/sf0.01", product_modulus=modulus)
+        assert not core.distributed_quartiles(wh, small) and core.distributed_quartiles(wh, forced)
+        for view in (core.inventory_turnover, core.reorder_analysis):
+            a = decimals_to_double(view(wh, small))
+            b = decimals_to_double(view(wh, forced))
+            assert a.count() == b.count() and a.exceptAll(b).count() == 0, (modulus, view.__name__)
