@@ -28,7 +28,7 @@ def test_entry_smoke(spark):
     assert rows[0]["total_store_locations"] > 0
 
 
-def test_expected_sizes_sf001(spark):
+def test_expected_sizes_sf0_01(spark):
     q = se.queries()
     sf = "/root/testdata/sf0.01"
     # sizes stated in FIXTURES.md for this mapping
