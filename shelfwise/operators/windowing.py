@@ -76,9 +76,9 @@ def group_rank(
     # independently planned range shuffles sample different bounds.  A
     # reliable checkpoint (shared folder) fixes partitions, ids and
     # positions once, and survives executor loss.
-    from ..sources.warehouse import shared_root
+    from ..sources.warehouse import ensure_checkpoint_dir
 
-    shared_root(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     ranked = ranked.checkpoint(eager=True)
     per_part = ranked.groupBy("_pid", *group).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")

@@ -155,6 +155,16 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` write to the shared folder."""
+    root = shared_root(spark)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # Spark Connect manages checkpoints server-side
+        pass
+
+
 def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
     """Write stores, products, fact to ``location`` and return readers of them.
 
