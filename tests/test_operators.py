@@ -257,3 +257,23 @@ def test_window_and_distributed_quartiles_agree(spark):
             a = decimals_to_double(view(wh, small))
             b = decimals_to_double(view(wh, forced))
             assert a.count() == b.count() and a.exceptAll(b).count() == 0, (modulus, view.__name__)
+
+
+def test_reorder_needs_30_observed_rows(spark):
+    latest = dt.date(2023, 12, 31)
+    rows = []
+    for p, n in (("P29", 29), ("P30", 30)):
+        for d in range(n):
+            rows.append(staging_row((latest - dt.timedelta(days=3 * d)).isoformat(), "S1", p, "Toys", "East", 50, 5 + d % 3))
+    got = {r.product_id for r in core.reorder_analysis(wh_of(spark, rows)).collect()}
+    assert got == {"P30"}
+
+
+def test_twelve_month_window_from_feb_29(spark):
+    rows = [
+        staging_row("2024-02-29", "S1", "P1", "Toys", "East", 1, 1, season="Winter"),
+        staging_row("2023-02-28", "S1", "P1", "Toys", "East", 1, 1, season="Winter"),  # first day inside
+        staging_row("2023-02-27", "S1", "P1", "Toys", "East", 1, 100, season="Winter"),  # outside
+    ]
+    got = core.seasonal_analysis(wh_of(spark, rows)).collect()
+    assert len(got) == 1 and got[0].days_count == 2 and got[0].total_units_sold == 2
