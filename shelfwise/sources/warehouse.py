@@ -165,7 +165,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         pass
 
 
-def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
+def materialize(
+    wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180), cluster_months: bool = False
+) -> Warehouse:
     """Write stores, products, fact to ``location`` and return readers of them.
 
     The staging rows are written first (columnar), then the dimensions; the
@@ -194,7 +196,7 @@ def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (
         fact = etl.build_inventory(staging, stores, products, order=order)
     else:
         fact = wh.fact
-    _write_fact(fact, f"{location}/inventory_data", "overwrite")
+    _write_fact(fact, f"{location}/inventory_data", "overwrite", cluster_months)
     fact_r = spark.read.parquet(f"{location}/inventory_data")
     out = Warehouse(spark, stores, products, fact_r, staging=staging, load_order=order,
                     location=location, latest=read_latest_date(fact_r))
@@ -202,14 +204,19 @@ def materialize(wh: Warehouse, location: str, stats_windows: tuple[int, int] = (
     return _derive(out, latest_rows, version=0, stats_windows=stats_windows)
 
 
-def _write_fact(fact: DataFrame, path: str, mode: str) -> None:
-    (
-        fact.withColumn(MONTH_KEY, month_key(F.col("date")))
-        .sortWithinPartitions(MONTH_KEY, *schemas.INVENTORY_KEY)
-        .write.mode(mode)
-        .partitionBy(MONTH_KEY)
-        .parquet(path)
-    )
+def _write_fact(fact: DataFrame, path: str, mode: str, cluster_months: bool = False) -> None:
+    """Write fact rows partitioned by month, sorted by key inside each file.
+
+    By default every write task writes one file per month it holds (no
+    extra shuffle).  ``cluster_months`` adds a REBALANCE on the month: one
+    more shuffle, after which adaptive execution splits large months and
+    merges small ones, so each file holds one month at about the advisory
+    partition size.
+    """
+    rows = fact.withColumn(MONTH_KEY, month_key(F.col("date")))
+    if cluster_months:
+        rows = rows.hint("rebalance", MONTH_KEY)
+    rows.sortWithinPartitions(MONTH_KEY, *schemas.INVENTORY_KEY).write.mode(mode).partitionBy(MONTH_KEY).parquet(path)
 
 
 def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows: tuple[int, int]) -> Warehouse:

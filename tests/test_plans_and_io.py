@@ -176,3 +176,18 @@ def test_concurrent_first_calls_load_once(spark):
     with ThreadPoolExecutor(4) as pool:
         got = list(pool.map(lambda _: warehouse.from_tpch(spark, sf, product_modulus=7), range(4)))
     assert all(w is got[0] for w in got)
+
+
+def test_month_clustered_write_keeps_rows_and_cuts_files(spark, tmp_dir):
+    import glob
+
+    lazy = warehouse.from_tpch(spark, "/root/testdata/sf0.01", materialized=False)
+    a = warehouse.materialize(lazy, os.path.join(tmp_dir, "plain"))
+    lazy = warehouse.from_tpch(spark, "/root/testdata/sf0.01", materialized=False)
+    b = warehouse.materialize(lazy, os.path.join(tmp_dir, "clustered"), cluster_months=True)
+    assert a.fact.exceptAll(b.fact).count() == 0 and a.fact.count() == b.fact.count()
+
+    def files(name):
+        return len(glob.glob(os.path.join(tmp_dir, name, "inventory_data", "month_key=*", "*.parquet")))
+
+    assert files("clustered") <= files("plain")
