@@ -21,7 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DateType, DecimalType, DoubleType
 
 _SNAP = DecimalType(38, 10)
 _CENT = Decimal("0.01")
@@ -101,6 +101,18 @@ def decimals_to_double(df):
     return df.select(*out)
 
 
+def presentation(df):
+    """Report form: decimals as doubles, dates as ISO text (yyyy-MM-dd), so a
+    report reads the same through any client (Spark rows, pandas, CSV)."""
+    out = []
+    for f in decimals_to_double(df).schema.fields:
+        if isinstance(f.dataType, DateType):
+            out.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return decimals_to_double(df).select(*out)
+
+
 def day_bitmaps(offset_col, span_days: int, prefix: str = "_days") -> list[Column]:
     """Aggregates: one bitmap per 64-day block of day offsets in [0, span_days).
 

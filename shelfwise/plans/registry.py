@@ -3,7 +3,7 @@
 ``QUERIES[name](wh)`` returns the internal DataFrame (exact decimals);
 ``run(name, spark, sf_dir)`` loads (or reuses) the warehouse of the driver
 tables in ``sf_dir`` and returns the presentation DataFrame (decimals as
-doubles, no month partition column).
+doubles, dates as ISO text, no month partition column).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..functions.expr import decimals_to_double
+from ..functions.expr import presentation
 from ..functions.params import DEFAULT, Params
 from ..operators import etl, integrity, quality
 from ..sources import warehouse as whmod
@@ -151,4 +151,4 @@ def run(
         fused = p.fused_sku_stats or name in FUSED
     if fused != p.fused_sku_stats:
         p = replace(p, fused_sku_stats=fused)
-    return decimals_to_double(QUERIES[name](wh, p))
+    return presentation(QUERIES[name](wh, p))
