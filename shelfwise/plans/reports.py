@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from ..functions.expr import decimals_to_double
+from ..functions.expr import presentation
 from ..functions.params import DEFAULT, Params
 from ..sources import feed
 from ..sources.warehouse import Warehouse
@@ -30,7 +30,7 @@ def export_reports(wh: Warehouse, out_dir: str, names: Iterable[str] = EXPORTED,
     """Write ``<out_dir>/<name>`` for every report; returns the paths."""
     paths = []
     for name in names:
-        df = registry.present(name, decimals_to_double(registry.QUERIES[name](wh, p)))
+        df = registry.present(name, presentation(registry.QUERIES[name](wh, p)))
         path = f"{out_dir.rstrip('/')}/{name}"
         feed.export_csv(df, path)
         paths.append(path)
