@@ -191,3 +191,10 @@ def test_month_clustered_write_keeps_rows_and_cuts_files(spark, tmp_dir):
         return len(glob.glob(os.path.join(tmp_dir, name, "inventory_data", "month_key=*", "*.parquet")))
 
     assert files("clustered") <= files("plain")
+
+
+def test_current_stock_presentation_order(spark):
+    rows = registry.present("current_stock_levels", registry.run("current_stock_levels", spark, SF)).collect()
+    rank = {"CRITICAL": 1, "LOW": 2, "NORMAL": 3, "HIGH": 4}
+    keys = [(rank[r.stock_status], r.inventory_level) for r in rows]
+    assert keys == sorted(keys) and "_status_rank" not in rows[0].asDict()
