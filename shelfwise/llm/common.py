@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +42,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.lru_cache(maxsize=8)
+def _ship(application: str) -> None:
+    package = Path(__file__).resolve().parents[1]
+    target = f"{tempfile.mkdtemp(prefix='shelfwise-code-')}/{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    SparkContext._active_spark_context.addPyFile(target)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark hand this package's code to the executors, once per application."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def map_slices(
     df: DataFrame,
     fn: Callable[[dict[str, list]], dict[str, list]],
@@ -47,6 +66,7 @@ def map_slices(
     """Apply ``fn`` to column lists of at most ``rows`` rows; memory stays bounded by the slice."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(wanted)
 
@@ -69,3 +89,18 @@ def salted_lookup(rows: DataFrame, by_key: DataFrame, key: str, salts: int, spre
     left = rows.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
     right = by_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "__salt"], "left").drop("__salt")
+
+
+def skewed_lookup(rows: DataFrame, by_key: DataFrame, key: str, spread: Column, salts: int = 16, hot: int = 64) -> DataFrame:
+    """Inner join of ``rows`` with one wide row per ``key``; keys with over ``hot`` rows are dealt over ``salts`` tasks.
+
+    Only those keys' wide rows are repeated. ``rows`` is read twice, so it should be a written table.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > hot)
+    hot_keys = counts.select(key, F.lit(True).alias("__hot"))
+    left = salted_lookup(rows, hot_keys, key, salts, spread).withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0)
+    )
+    places = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = by_key.join(hot_keys, key, "left").withColumn("__salt", F.explode(places)).drop("__hot")
+    return left.drop("__hot").join(right, [key, "__salt"]).drop("__salt")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import salted_lookup, shared_folder, table
+from shelfwise.llm.common import salted_lookup, shared_folder, ship, table
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
@@ -193,6 +193,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(spark)
     arrow = to_arrow_schema(T.StructType.fromDDL(READ_SCHEMA))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
