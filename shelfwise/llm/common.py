@@ -31,11 +31,33 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: Spark then deletes a finished query's shuffle files at once instead of when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def work_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, lost executors cost no rework."""
-    path = f"{shared_folder(df.sparkSession)}/table"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: lineage ends there, lost executors cost no rework.
+
+    The shuffle files behind it are of no use afterwards and go with the write.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_work_table(df: DataFrame) -> None:
+    """Delete the files of a work table that nothing will read again."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

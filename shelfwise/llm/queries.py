@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, packing, quality_rules, token_counts, warc
+from shelfwise.llm import bpe, near_dup, packing, quality_rules, suffix_dedup, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op3_warc": warc.op3_warc,
+    "op4_bwt_dedup": suffix_dedup.op4_bwt_dedup,
+    "op7_minhash": near_dup.op7_minhash,
     "op8_trie_counts": token_counts.op8_trie_counts,
     "op9_concat_cut": packing.op9_concat_cut,
     "op10_decision_list": quality_rules.op10_decision_list,
