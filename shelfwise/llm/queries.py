@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, near_dup, packing, quality_rules, suffix_dedup, token_counts, warc
+from shelfwise.llm import (
+    bpe,
+    near_dup,
+    neighbours,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_url_filter": url_filter.op2_url_filter,
     "op3_warc": warc.op3_warc,
     "op4_bwt_dedup": suffix_dedup.op4_bwt_dedup,
+    "op6_cross_polytope": neighbours.op6_cross_polytope,
     "op7_minhash": near_dup.op7_minhash,
     "op8_trie_counts": token_counts.op8_trie_counts,
     "op9_concat_cut": packing.op9_concat_cut,
