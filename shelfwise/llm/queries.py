@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
     bpe,
+    main_text,
     near_dup,
     neighbours,
     packing,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_warc": warc.op3_warc,
     "op4_bwt_dedup": suffix_dedup.op4_bwt_dedup,
+    "op5_main_text": main_text.op5_main_text,
     "op6_cross_polytope": neighbours.op6_cross_polytope,
     "op7_minhash": near_dup.op7_minhash,
     "op8_trie_counts": token_counts.op8_trie_counts,
