@@ -34,45 +34,65 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _count(text: Column, characters: str) -> Column:
+    """Characters of ``text`` in the class ``characters``."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))
 
 
 def repeat_words(words: Column) -> Column:
     """Words inside 5-word windows that occur at least twice in ``words``.
 
-    Hashes only tell which texts have no repeat; the rest sorts the windows themselves, so the
-    count is exact and takes n log n steps however long the text is.
+    Equal window hashes tell where repeats may be, and only those windows are compared as text, so
+    the count is exact and takes n log n steps however long the text is.
     """
-    n = F.size(words)
-    starts = F.sequence(F.lit(0), n - F.lit(WINDOW))
 
-    def repeated(ws: Column) -> Column:
-        windows = F.array_sort(
-            F.transform(starts, lambda i: F.struct(F.array_join(F.slice(ws, i + 1, WINDOW), " ").alias("w"), i.alias("i")))
-        )
+    def window_hashes(h: Column) -> Column:
+        def joined(a: Column, b: Column, shift: int) -> Column:
+            return F.zip_with(a, F.slice(b, shift + 1, 2**31 - 1), lambda x, y: F.xxhash64(x, y))
 
-        def covered(sorted_: Column) -> Column:
+        def five(two: Column) -> Column:
+            return F.slice(joined(joined(two, two, 2), h, 4), F.lit(1), F.size(h) - F.lit(WINDOW - 1))
+
+        return let(joined(h, h, 1), five)
+
+    def twice(rows: Column) -> Column:
+        """Of ascending structs, those whose first field another one shares."""
+
+        def found(s: Column) -> Column:
             def same(k: Column) -> Column:
-                return F.get(sorted_, k)["w"]
-
-            twice = F.filter(sorted_, lambda x, k: x["w"].eqNullSafe(same(k - 1)) | x["w"].eqNullSafe(same(k + 1)))
-            return let(
-                F.array_sort(F.transform(twice, lambda x: x["i"])),
-                lambda at: F.aggregate(
-                    F.transform(at, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at, j + 1) - p, F.lit(WINDOW)))),
-                    F.lit(0),
-                    lambda a, b: a + b,
-                ),
+                return F.get(s, k)["col1"]
+
+            return F.filter(s, lambda x, k: x["col1"].eqNullSafe(same(k - 1)) | x["col1"].eqNullSafe(same(k + 1)))
+
+        return let(F.sort_array(rows), found)
+
+    def pair(value: Column, i: Column) -> Column:
+        return F.struct(value.alias("col1"), i.alias("i"))
+
+    def repeated(ws: Column, h: Column) -> Column:
+        def confirmed(maybe: Column) -> Column:
+            return twice(
+                F.transform(
+                    maybe,
+                    lambda x: pair(F.concat_ws(" ", *[F.get(ws, x["i"] + k) for k in range(WINDOW)]), x["i"]),
+                )
             )
 
-        return let(windows, covered)
+        def covered(at: Column) -> Column:
+            gaps = F.transform(at, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at, j + 1) - p, F.lit(WINDOW))))
+            return F.aggregate(gaps, F.lit(0), lambda a, b: a + b)
 
-    hashes = F.transform(
-        starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])
-    )
-    distinct = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-    return F.when((n < WINDOW + 1) | distinct, F.lit(0)).otherwise(let(words, repeated)).cast("long")
+        hits = let(twice(F.transform(h, pair)), confirmed)
+        return let(F.sort_array(F.transform(hits, lambda x: x["i"])), covered)
+
+    def count(ws: Column) -> Column:
+        def of_hashes(h: Column) -> Column:
+            return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(repeated(ws, h))
+
+        hashed = let(F.transform(ws, lambda w: F.xxhash64(w)), window_hashes)
+        return F.when(F.size(ws) <= WINDOW, F.lit(0)).otherwise(let(hashed, of_hashes))
+
+    return let(words, count).cast("long")
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -87,22 +107,22 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumns(
         {
             "__words": F.array_remove(F.split(text, f"{SPACE}+"), ""),
-            "__lines": F.filter(F.split(text, "\n"), lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", " ".ljust(4))) != ""),
+            "__lines": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
         }
     )
-    counted = rows.select(
-        "doc_id",
-        *keep,
+    counts = F.struct(
         F.size(words).cast("long").alias("n_words"),
-        _without(text, " \t\n\x0b\x0c\r").cast("long").alias("word_chars"),
-        (F.length(text) - _without(text, "#*$%&|<>")).cast("long").alias("n_symbols"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        _count(text, "#*$%&|<>").cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeat_words(words).alias("n_repeat_words"),
         F.size(lines).alias("__n_lines"),
-        (F.length(text) - _without(text, "!?")).alias("__marks"),
-        (F.length(text) - F.length(F.regexp_replace(text, "\\p{Lu}+", ""))).alias("__upper"),
-        (F.length(text) - _without(text, "0123456789")).alias("__digits"),
+        _count(text, "!?").alias("__marks"),
+        _count(text, "\\p{Lu}").alias("__upper"),
+        _count(text, "0-9").alias("__digits"),
     )
+    # a generated row: conditions on the counts are not moved below it, where they would be computed again
+    counted = rows.select("doc_id", *keep, F.inline(F.array(counts)))
 
     def share(a: str, b: str) -> Column:
         return F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
