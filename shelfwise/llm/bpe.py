@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Callable
 
 import ahocorasick
@@ -169,14 +170,27 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return map_slices(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids array<int>, data binary")
 
 
+def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, n_tokens and SHA-256 of the ids and of the decoded bytes of each whole text.
+
+    The ids are encoded and decoded in one pass over the texts; only digests leave the task.
+    """
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        enc, get = encoder(vocabulary), token_bytes(vocabulary).__getitem__
+        out: dict[str, list] = {"doc_id": cols["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for text in cols["text"]:
+            ids = enc.encode(text)
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(b"".join(map(get, ids))).hexdigest())
+        return out
+
+    return map_slices(rows, run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
-    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("data", 256).alias("decoded_sha256"),
-    )
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
