@@ -24,11 +24,11 @@ from shelfwise.llm.common import drop_work_table, map_slices, ship, table, work_
 LENGTH = 200
 ANCHOR = 80
 #: Text in a bucket, in a shard, and most different runs of one anchor that a bucket takes whole.
-BUCKET_BYTES = 2_000_000
+BUCKET_BYTES = 800_000
 SHARD_BYTES = 256_000
-ANCHOR_RUNS = 16_384
+ANCHOR_RUNS = 4096
 #: Starts of a document that are hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _LOW = np.uint64((1 << 24) - 1)
 
 _rng = np.random.default_rng(20240611)
