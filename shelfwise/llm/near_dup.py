@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import numpy as np
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_slices, salted_lookup, skewed_lookup, table, work_table
+from shelfwise.llm.common import drop_work_table, map_slices, salted_lookup, skewed_lookup, table, work_table
 from shelfwise.llm.components import components
 
 #: Coordinates of a signature, and how many must agree. A pair at similarity 0.8 has 51 agreeing
@@ -117,56 +118,121 @@ def _cells(sig: np.ndarray) -> np.ndarray:
     return (_mixed(_elements(sig)) % np.uint64(COUNTERS)).astype(np.int32)
 
 
+def possible(classes: DataFrame) -> DataFrame:
+    """The classes of which at least MATCHES coordinate-value pairs occur in another class too.
+
+    Only they can agree with another class in so many; counted over all classes, none is lost.
+    """
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        elements = [_elements(np.frombuffer(s, "<u4")).view(np.int64) for s in cols["signature"]]
+        sets = [x for x in cols["set_id"] for _ in range(COORDINATES)]
+        return {"element": np.concatenate(elements), "set_id": sets}
+
+    each = map_slices(classes.select("set_id", "signature"), run, "element long, set_id binary")
+    own = each.groupBy("element").agg(F.count("*").alias("k"), F.min("set_id").alias("set_id")).where("k = 1")
+    own = own.groupBy("set_id").agg(F.count("*").alias("own")).where(F.col("own") > COORDINATES - MATCHES)
+    return classes.join(own, "set_id", "left_anti")
+
+
 def postings(classes: DataFrame) -> DataFrame:
-    """(element, set_id): each class under the PREFIX rarest of its coordinate-value pairs.
+    """(element, set_id, weight): each class under the PREFIX rarest of its coordinate-value pairs.
 
     All classes order the pairs alike, by the frequency table, so common values are posted only by
-    classes that have little else, and no pair of classes with MATCHES agreements is lost.
+    classes that have little else, and no pair of classes with MATCHES agreements is lost. ``weight``
+    sums how common all of a class's values are: among near copies the text they come from has most.
     """
     counts = classes.sparkSession.sparkContext.broadcast(_frequency(classes))
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        elements, sets = [], []
+        elements, sets, weights = [], [], []
         for set_id, sig in zip(cols["set_id"], cols["signature"], strict=True):
             values = np.frombuffer(sig, "<u4")
             e = _elements(values)
-            rare = np.lexsort((_mixed(e), counts.value[_cells(values)]))[:PREFIX]
+            common = counts.value[_cells(values)]
+            rare = np.lexsort((_mixed(e), common))[:PREFIX]
             elements.append(e[rare].view(np.int64))
             sets += [set_id] * PREFIX
-        return {"element": np.concatenate(elements), "set_id": sets}
+            weights += [int(1000 * np.log2(1 + common).sum())] * PREFIX
+        return {"element": np.concatenate(elements), "set_id": sets, "weight": weights}
 
-    return map_slices(classes.select("set_id", "signature"), run, "element long, set_id binary")
+    return map_slices(classes.select("set_id", "signature"), run, "element long, set_id binary, weight long")
 
 
 def _star_pairs(posted: DataFrame) -> DataFrame:
-    """Each class with the smallest class of every list it is on."""
-    lists = posted.groupBy("element").agg(F.min("set_id").alias("a"), F.count("*").alias("__n"))
-    lists = lists.where("__n > 1").drop("__n")
+    """Each class with the class of most weight on every list it is on."""
+    lists = posted.groupBy("element").agg(F.max(F.struct("weight", "set_id")).alias("o"), F.count("*").alias("__n"))
+    lists = lists.where("__n > 1").select("element", F.col("o.set_id").alias("a"))
     met = salted_lookup(posted, lists, "element", SALTS, F.xxhash64("set_id")).where("a != set_id")
     return met.select("a", F.col("set_id").alias("b")).distinct()
 
 
-def _cross_pairs(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs on one list that the first round left in different components.
+def _split_groups(posted: DataFrame, roots: DataFrame) -> DataFrame:
+    """(main, node, root): classes on lists that the first round left in several components.
 
-    The largest component of a list is only met by the others, never by itself, so a group of near
-    copies costs nothing here however large it is.
+    ``main`` is the largest component of such a list; lists of one group of copies mostly agree in
+    it, so a class stands here a few times, not once for each of its lists.
     """
     shared = posted.groupBy("element").agg(F.count("*").alias("__n")).where("__n > 2").drop("__n")
-    rows = posted.join(shared, "element", "left_semi")
-    with_root = salted_lookup(
-        rows.withColumnRenamed("set_id", "node"), roots, "node", 1, F.lit(0)
-    ).select("element", "node", F.coalesce("root", "node").alias("root"))
-    rooted = work_table(with_root)
+    rows = posted.select("element", F.col("set_id").alias("node")).join(shared, "element", "left_semi")
+    rooted = work_table(rows.join(roots, "node", "left").select("element", "node", F.coalesce("root", "node").alias("root")))
     sizes = rooted.groupBy("element", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("element").agg(
-        F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main")
-    ).where("roots > 1").drop("roots")
-    split = work_table(salted_lookup(rooted, main, "element", SALTS, F.xxhash64("node")).where("main is not null"))
-    strays = split.where("root != main").select("element", F.col("node").alias("x"), F.col("root").alias("rx"))
-    salted = strays.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    others = split.withColumn("__salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    met = others.join(salted, ["element", "__salt"]).where("root != rx and (root = main or node < x)")
+    main = sizes.groupBy("element").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
+    main = main.where("roots > 1").drop("roots")
+    met = salted_lookup(rooted, main, "element", SALTS, F.xxhash64("node")).where("main is not null")
+    split = work_table(met.select("main", "node", "root").distinct())
+    drop_work_table(rooted)
+    return split
+
+
+def _reach(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, lo, hi): the set sizes with which a class can be linked at all.
+
+    Shingles that no other of ``sets`` has cannot be common with a partner. With c others among n, a
+    link to a set of size m needs (100 + percent) * c >= percent * (n + m).
+    """
+
+    def spread(cols: dict[str, list]) -> dict[str, list]:
+        values = [np.frombuffer(v, "<i8") for v in cols["value"]]
+        nodes = [x for x, v in zip(cols["set_id"], values, strict=True) for _ in range(len(v))]
+        return {"h": np.concatenate(values), "node": nodes}
+
+    each = map_slices(sets.select("set_id", "value"), spread, "h long, node binary", rows=64)
+    own = each.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+    own = own.groupBy("node").agg(F.count("*").alias("own"))
+    n, c = F.col("n_shingles"), F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    return (
+        sets.select(F.col("set_id").alias("node"), "n_shingles")
+        .join(own, "node", "left")
+        .select(
+            "node",
+            n.alias("n"),
+            F.ceil(n * percent / 100).alias("lo"),
+            F.least(F.floor(n * 100 / percent), F.floor(c * (100 + percent) / percent) - n).alias("hi"),
+        )
+    )
+
+
+def _cross_pairs(split: DataFrame, reach: DataFrame) -> DataFrame:
+    """Pairs around one main component that the first round left apart and that can be linked.
+
+    The main component is only met by the others, and a class only meets sizes within its reach,
+    looked up by size bins. So a group of near copies costs little however large it is: most of its
+    copies are with the original, and most of the far ones cannot be linked with one another.
+    """
+
+    def bin_(n: Column) -> Column:
+        return F.floor(F.log(F.greatest(n, F.lit(1))) / float(np.log(1.01))).cast("int")
+
+    rows = work_table(split.join(reach, "node").where("lo <= hi").withColumn("bin", bin_(F.col("n"))))
+    strays = rows.where("root != main").select(
+        "main", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("lo").alias("lox"),
+        F.col("hi").alias("hix"), F.explode(F.sequence(bin_(F.col("lo")), bin_(F.col("hi")))).alias("bin"),
+    )
+    possible = strays.join(rows.select("main", "bin").distinct(), ["main", "bin"], "left_semi")
+    met = rows.join(work_table(possible), ["main", "bin"]).where(
+        "root != rx and (root = main or node < x) and n between lox and hix and nx between lo and hi"
+    )
     return met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
@@ -185,18 +251,28 @@ def _checked(pairs: DataFrame, columns: DataFrame, test: Callable[[bytes, bytes,
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(set_id, value, n_shingles): the whole shingle sets of the wanted classes, from one text each."""
-    texts = docs.select(text_key().alias("text_key"), "text").join(wanted, "text_key", "left_semi")
+    """(set_id, value, n_shingles): the whole shingle sets of the wanted classes, from one text each.
+
+    Texts cross the network compressed, and copies are combined before it.
+    """
+
+    def packed(cols: dict[str, list]) -> dict[str, list]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return {"text_key": cols["text_key"], "packed": [pack((t or "").encode("utf-8")) for t in cols["text"]]}
+
+    texts = map_slices(docs.select(text_key().alias("text_key"), "text"), packed, "text_key string, packed binary")
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        sets = [shingle_hashes(t, size) for t in cols["text"]]
+        unpack = zstandard.ZstdDecompressor().decompress
+        sets = [shingle_hashes(unpack(t).decode("utf-8"), size) for t in cols["packed"]]
         return {
             "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
             "value": [s.tobytes() for s in sets],
             "n_shingles": [len(s) for s in sets],
         }
 
-    one = texts.groupBy("text_key").agg(F.first("text").alias("text"))
+    met = texts.join(wanted, "text_key", "left_semi")
+    one = met.groupBy("text_key").agg(F.first("packed").alias("packed"))
     return map_slices(one, run, "set_id binary, value binary, n_shingles long")
 
 
@@ -206,7 +282,8 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     Rows with one shingle set form a class at once. Classes meet on the lists of the signature
     join; each pair that agrees in MATCHES coordinates is confirmed on the whole sets:
     100 * intersection >= percent * union. Lists are never expanded into all their pairs: the first
-    round links each class with its list's smallest, the second compares what is still apart.
+    round links each class with its list's most typical one, the second compares what is still apart
+    and can be linked by its size.
     """
     rows = work_table(described(docs, size))
     classes = work_table(
@@ -214,6 +291,9 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
         .groupBy("set_id")
         .agg(F.max("signature").alias("signature"), F.max("n_shingles").alias("n_shingles"), F.min("text_key").alias("text_key"))
     )
+    alone = classes
+    classes = work_table(possible(alone))
+    drop_work_table(alone)
     posted = work_table(postings(classes))
 
     def alike(a: bytes, b: bytes, na: int, nb: int) -> bool:
@@ -227,17 +307,30 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
 
     signatures = classes.select("set_id", F.col("signature").alias("value"), "n_shingles")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        found = work_table(_checked(work_table(pairs), signatures, alike))
-        ends = found.select(F.col("a").alias("set_id")).unionByName(found.select(F.col("b").alias("set_id"))).distinct()
-        keys = classes.select("set_id", "text_key").join(ends, "set_id", "left_semi").select("text_key")
-        return work_table(_checked(found, _sets(docs, keys, size), linked))
-
-    first = links(_star_pairs(posted))
+    def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        met = work_table(pairs)
+        found = work_table(_checked(met, signatures, alike))
+        drop_work_table(met)
+        confirmed = work_table(_checked(found, sets, linked))
+        drop_work_table(found)
+        return confirmed
+
+    # whole sets of the classes that share a list with another one
+    lists = posted.groupBy("element").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    met = posted.join(lists, "element", "left_semi").select("set_id").distinct()
+    sets = work_table(_sets(docs, work_table(classes.join(met, "set_id", "left_semi").select("text_key")), size))
+    first = links(_star_pairs(posted), sets)
     roots = work_table(components(first))
-    second = links(_cross_pairs(posted, roots))
+    split = _split_groups(posted, roots)
+    drop_work_table(posted)
+    apart = split.select(F.col("node").alias("set_id")).distinct()
+    reach = work_table(_reach(work_table(sets.join(apart, "set_id", "left_semi")), percent))
+    second = links(_cross_pairs(split, reach), sets)
+    drop_work_table(split)
+    drop_work_table(sets)
     if not second.isEmpty():
         roots = work_table(components(first.unionByName(second)))
+    drop_work_table(classes)
     return rows, roots.withColumnRenamed("node", "set_id")
 
 
