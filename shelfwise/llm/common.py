@@ -60,6 +60,15 @@ def drop_work_table(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
+#: Most bytes that a checked broadcast may hold in each executor.
+BROADCAST_BYTES = 64_000_000
+
+
+def broadcast_if_small(written: DataFrame, row_bytes: int) -> DataFrame:
+    """``written`` marked for broadcast if its counted rows take at most BROADCAST_BYTES; else as it is, for a shuffle join."""
+    return F.broadcast(written) if written.count() * row_bytes <= BROADCAST_BYTES else written
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

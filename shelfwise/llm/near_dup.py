@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import drop_work_table, map_slices, salted_lookup, skewed_lookup, table, work_table
+from shelfwise.llm.common import broadcast_if_small, drop_work_table, map_slices, salted_lookup, skewed_lookup, table, work_table
 from shelfwise.llm.components import components
 
 #: Coordinates of a signature, and how many must agree. A pair at similarity 0.8 has 51 agreeing
@@ -122,17 +122,19 @@ def possible(classes: DataFrame) -> DataFrame:
     """The classes of which at least MATCHES coordinate-value pairs occur in another class too.
 
     Only they can agree with another class in so many; counted over all classes, none is lost.
+    Counts go by a short key of the class; the rare classes that share a short key all stay.
     """
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         elements = [_elements(np.frombuffer(s, "<u4")).view(np.int64) for s in cols["signature"]]
-        sets = [x for x in cols["set_id"] for _ in range(COORDINATES)]
-        return {"element": np.concatenate(elements), "set_id": sets}
+        return {"element": np.concatenate(elements), "short": np.repeat(cols["short"], COORDINATES)}
 
-    each = map_slices(classes.select("set_id", "signature"), run, "element long, set_id binary")
-    own = each.groupBy("element").agg(F.count("*").alias("k"), F.min("set_id").alias("set_id")).where("k = 1")
-    own = own.groupBy("set_id").agg(F.count("*").alias("own")).where(F.col("own") > COORDINATES - MATCHES)
-    return classes.join(own, "set_id", "left_anti")
+    keyed = classes.withColumn("short", F.xxhash64("set_id"))
+    each = map_slices(keyed.select("short", "signature"), run, "element long, short long", rows=1024)
+    own = each.groupBy("element").agg(F.count("*").alias("k"), F.min("short").alias("short")).where("k = 1")
+    own = own.groupBy("short").agg(F.count("*").alias("own")).where(F.col("own") > COORDINATES - MATCHES)
+    known = keyed.groupBy("short").agg(F.count("*").alias("k")).where("k = 1")
+    return keyed.join(own.join(known, "short"), "short", "left_anti").drop("short")
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -253,6 +255,8 @@ def _checked(pairs: DataFrame, columns: DataFrame, test: Callable[[bytes, bytes,
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(set_id, value, n_shingles): the whole shingle sets of the wanted classes, from one text each.
 
+    ``wanted`` is a written table. Where it is small by count its keys are broadcast and only the
+    texts asked for move; else both sides are shuffled.
     Texts cross the network compressed, and copies are combined before it.
     """
 
@@ -260,7 +264,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1).compress
         return {"text_key": cols["text_key"], "packed": [pack((t or "").encode("utf-8")) for t in cols["text"]]}
 
-    texts = map_slices(docs.select(text_key().alias("text_key"), "text"), packed, "text_key string, packed binary")
+    few = broadcast_if_small(wanted, 64)
+    keyed = docs.select(text_key().alias("text_key"), "text")
+    if few is not wanted:
+        keyed = keyed.join(few, "text_key", "left_semi")
+    texts = map_slices(keyed, packed, "text_key string, packed binary")
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -271,7 +279,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             "n_shingles": [len(s) for s in sets],
         }
 
-    met = texts.join(wanted, "text_key", "left_semi")
+    met = texts if few is not wanted else texts.join(wanted, "text_key", "left_semi")
     one = met.groupBy("text_key").agg(F.first("packed").alias("packed"))
     return map_slices(one, run, "set_id binary, value binary, n_shingles long")
 
