@@ -14,7 +14,7 @@ from shelfwise.llm.common import ship, table
 
 TABLES = 12
 #: Signed axes of each table that a query looks up, of every 128 there are.
-PROBES_OF_128 = 9
+PROBES_OF_128 = 12
 #: Vectors of a block, and the fewest blocks, over which the work is dealt.
 BLOCK_ROWS = 500_000
 LEAST_BLOCKS = 12
