@@ -135,3 +135,26 @@ def skewed_lookup(rows: DataFrame, by_key: DataFrame, key: str, spread: Column,
     places = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = by_key.join(hot_keys, key, "left").withColumn("__salt", F.explode(places)).drop("__hot")
     return left.drop("__hot").join(right, [key, "__salt"]).drop("__salt")
+
+
+def bounded_sample(df: DataFrame, key: list[str], rows: int) -> DataFrame:
+    """Rows of ``df`` with the smallest hashes of ``key``, at most ``rows`` and nearly as many.
+
+    The limit comes from counts in 1024 classes of the hash, so only counts reach the driver, not
+    each task's candidates. Where single hashes repeat beyond ``rows`` any ``rows`` of them are taken.
+    """
+    hashed = df.withColumn("__hash", F.shiftrightunsigned(F.xxhash64(*key), 1))
+    shift = 53
+    while shift >= 0:
+        part = hashed.where(F.col("__hash") <= F.lit((1 << (shift + 10)) - 1))
+        counts = {r["k"]: r["count"] for r in part.groupBy(F.shiftright("__hash", shift).alias("k")).count().collect()}
+        total, cut = 0, 0
+        for k in range(1024):
+            total += counts.get(k, 0)
+            if total > rows:
+                break
+            cut = k + 1
+        if cut:
+            return part.where(F.shiftright("__hash", shift) < cut).drop("__hash")
+        shift -= 10
+    return hashed.limit(rows).drop("__hash")

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_slices, table
+from shelfwise.llm.common import bounded_sample, map_slices, table
 from shelfwise.llm.html_tree import INLINE, RAW, Element, clean, parse
 
 #: Pages that the trees are fitted on (smallest key hashes first).
@@ -301,7 +301,8 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> BoostedTrees | None:
 
     Pages without exactly one article or main element teach nothing; without any, None.
     """
-    rows = pages.where("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id", "html"), "html").limit(sample).collect()
+    known = pages.where("html is not null").select("page_id", "html")
+    rows = sorted(bounded_sample(known, ["page_id", "html"], sample).collect(), key=lambda r: r["html"])
     xs, ys, ws = [], [], []
     rng = random.Random(7)
     for row in rows:
