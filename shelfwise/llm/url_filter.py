@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_slices, table
+from shelfwise.llm.common import bounded_sample, map_slices, table, work_table
 
 #: (rule, verdict): a host with its subdomains, and the start of the path.
 RULES = (
@@ -22,7 +22,7 @@ RULES = (
 )
 #: Words of the segmentation model: the most frequent of the pages' texts.
 WORDS = 50_000
-#: Most urls with a rule's verdict that the classifier is fitted on (smallest key hashes first).
+#: Most urls with a rule's verdict that the classifier is fitted on (those with the smallest hashes).
 SAMPLE_ROWS = 20_000
 LONGEST_WORD = 24
 _MEMO = 200_000
@@ -69,6 +69,18 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return map_slices(pages.select("html"), run, "word string, n long", rows=5000).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, words: int) -> DataFrame:
+    """The most frequent words, at most ``words``: those above the lowest class of counts that keeps the bound."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    left, lowest = words, 0
+    for r in sorted(counts.groupBy(level.alias("k")).count().collect(), key=lambda r: -r["k"]):
+        left -= r["count"]
+        if left < 0:
+            lowest = r["k"] + 1
+            break
+    return counts.where(level >= lowest)
+
+
 class Segmenter:
     """Best split of concatenated words under a unigram model (Viterbi).
 
@@ -138,15 +150,9 @@ class NaiveBayes:
 
 def fit(pages: DataFrame, ruled: DataFrame, words: int = WORDS, sample_rows: int = SAMPLE_ROWS) -> tuple[Segmenter, NaiveBayes]:
     """The two models: word counts over all pages, the classifier on urls that a rule decides."""
-    top = word_counts(pages).orderBy(F.desc("n"), "word").limit(words).collect()
-    segmenter = Segmenter({r["word"]: r["n"] for r in top})
-    known = (
-        ruled.where("decided is not null")
-        .select("host", "path", "decided")
-        .orderBy(F.xxhash64("host", "path"), "host", "path")
-        .limit(sample_rows)
-        .collect()
-    )
+    segmenter = Segmenter({r["word"]: r["n"] for r in frequent(work_table(word_counts(pages)), words).collect()})
+    decided = ruled.where("decided is not null").select("host", "path", "decided")
+    known = bounded_sample(decided, ["host", "path"], sample_rows).collect()
     return segmenter, NaiveBayes([(segmenter.tokens(r["host"], r["path"]), r["decided"] == "block") for r in known])
 
 
