@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import table
+from shelfwise.llm.common import bounded_sample, table
 
 SPACE = "[\\x20\\x09-\\x0D]"
 WINDOW = 5
@@ -229,12 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     reach the driver. Null labels and unlabelled texts are left out;
     a document labelled twice counts twice.
     """
-    chosen = (
-        labels.where("doc_id is not null and quality is not null")
-        .select("doc_id", F.col("quality").cast("int").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
-        .limit(sample_rows)
-    )
+    known = labels.where("doc_id is not null and quality is not null")
+    known = known.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    chosen = bounded_sample(known, ["doc_id", "quality"], sample_rows)
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = statistics(labelled, keep=("quality",)).where("not base_failed").select(*FEATURES, "quality", "doc_id").collect()
     rows.sort(key=lambda r: (r["doc_id"] * 2654435761 % 2**32, tuple(r)))
