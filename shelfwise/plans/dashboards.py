@@ -321,7 +321,7 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             "seasonality", F.struct("category", "avg_seasonal_index").alias("top")
         )
         overall = season.agg(F.avg("avg_sales").alias("overall")).scalar()
-        rel = F.col("avg_sales") / overall
+        rel = ratio("avg_sales", overall)  # null when nothing was sold
         return season.join(top, "seasonality", "left").select(
             "seasonality",
             "total_units_sold",

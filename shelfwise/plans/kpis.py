@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.params import DEFAULT, Params
+from ..sources.files import has_files
 from ..sources.warehouse import Warehouse
 from . import core
 
@@ -58,17 +59,24 @@ def inventory_kpis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 
 def upsert_kpis(kpis: DataFrame, path: str) -> None:
-    """Write KPI rows partitioned by calculation_date, replacing only the
-    dates present in ``kpis`` (dynamic partition overwrite), so re-running a
-    day is idempotent and other days are untouched.
+    """Insert KPI rows or replace the stored ones with their key; all other stored rows stay.
 
-    Rows are deduplicated on the table's unique key first (last row wins).
+    The dates of ``kpis`` are rewritten as the union of what is stored for them and the new rows,
+    of which the new one wins for a key (dynamic partition overwrite, so other dates are untouched
+    and re-running a batch changes nothing). Of several new rows for one key the greatest by its
+    other columns wins, however the rows were shuffled.
     """
     key = list(schemas.KPIS_KEY)
-    w = Window.partitionBy(*key).orderBy(F.monotonically_increasing_id().desc())
-    dedup = kpis.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    rest = [c for c in kpis.columns if c not in key]
+    rows = kpis.withColumn("_new", F.lit(1))
+    if has_files(kpis.sparkSession, path):
+        stored = kpis.sparkSession.read.schema(kpis.schema).parquet(path).select(*kpis.columns)
+        dates = kpis.select("calculation_date").distinct()
+        rows = rows.unionByName(stored.join(dates, "calculation_date", "left_semi").withColumn("_new", F.lit(0)))
+    w = Window.partitionBy(*key).orderBy(F.desc("_new"), F.struct(*rest).desc())
+    merged = rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_new")
     (
-        dedup.write.mode("overwrite")
+        merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("calculation_date")
         .parquet(path)

@@ -26,6 +26,7 @@ from .. import schemas
 from ..operators import etl, sku_stats
 from ..operators.windowing import latest_per_key
 from . import tpch
+from .files import has_files
 
 MONTH_KEY = "month_key"
 
@@ -305,14 +306,12 @@ def open_written(spark: SparkSession, location: str) -> Warehouse:
     products = spark.read.parquet(f"{location}/products")
     fact = spark.read.parquet(f"{location}/inventory_data")
     out = Warehouse(spark, stores, products, fact, location=location, latest=read_latest_date(fact))
-    try:
+    # absence is asked for; a failing read raises instead of passing for an empty table
+    out.staging = newest = None
+    if has_files(spark, f"{location}/staging_inventory_data"):
         out.staging = spark.read.parquet(f"{location}/staging_inventory_data")
-    except Exception:  # written without a staging table
-        out.staging = None
-    try:
+    if has_files(spark, f"{location}/versions"):
         newest = spark.read.parquet(f"{location}/versions").orderBy(F.col("version").desc()).first()
-    except Exception:  # no version listed yet
-        newest = None
     if newest is None:
         latest_rows = latest_per_key(fact.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date")
         return _derive(out, latest_rows, version=0, stats_windows=(90, 180))

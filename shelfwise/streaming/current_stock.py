@@ -21,16 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.windowing import latest_per_key
+from ..sources.files import has_files
 
 SKU = list(schemas.SKU)
 COLUMNS = schemas.INVENTORY.fieldNames()
 
 
 def _versions(spark: SparkSession, snapshot_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(snapshot_path)
-    except Exception:  # no version written yet
-        return None
+    # a failing read raises: taken for an empty snapshot it would drop all earlier stock
+    return spark.read.parquet(snapshot_path) if has_files(spark, snapshot_path) else None
 
 
 def read_snapshot(spark: SparkSession, snapshot_path: str, before_epoch: int | None = None) -> DataFrame | None:

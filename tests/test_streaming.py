@@ -38,7 +38,7 @@ def test_stream_keeps_latest_rows(spark, tmp_dir):
 
 def test_same_key_keeps_existing_row(spark):
     cols = schemas.INVENTORY.fieldNames()
-    base = warehouse.from_tpch(spark, SF, materialized=False).fact.limit(1)
+    base = warehouse.from_tpch(spark, SF, materialized=False).fact.orderBy(*schemas.INVENTORY_KEY).limit(1)
     changed = base.withColumn("inventory_level", F.lit(-1))
     out = current_stock.merge_latest(base, changed).select(*cols).collect()
     assert out == base.select(*cols).collect()
