@@ -17,7 +17,7 @@ import datetime
 import hashlib
 import tempfile
 import threading
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -247,7 +247,9 @@ def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows:
     return out
 
 
-def append(wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, int] = (90, 180)) -> Warehouse:
+def append(
+    wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, int] | None = None
+) -> Warehouse:
     """Load a new batch into a written warehouse with INSERT IGNORE semantics.
 
     Rows whose primary key is already stored are skipped (existing rows
@@ -257,10 +259,20 @@ def append(wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[i
     files), so a daily batch does not rescan the history.  The SKU-grain
     tables are rebuilt as a new version: the latest rows by merging the
     batch into the previous version, the window statistics from the fact.
+
+    The newest published version is what the batch is compared with, however
+    old the handle.  Stored rows with the batch's keys are merged too, so a
+    batch whose first load ended after the fact was written is not lost when
+    it is replayed.
     """
     spark, location = wh.spark, wh.location
     if location is None:
         raise ValueError("append needs a written warehouse")
+    now = open_written(spark, location)
+    wh = replace(wh, stores=now.stores, products=now.products, fact=now.fact, sku_latest=now.sku_latest,
+                 sku_stats=now.sku_stats, sku_stats_windows=now.sku_stats_windows, version=now.version,
+                 latest=now.latest, _cache={})
+    stats_windows = stats_windows or wh.sku_stats_windows or (90, 180)
     stores_key, skey = list(schemas.STORES_KEY), list(schemas.INVENTORY_KEY)
     etl.build_stores(staging).join(wh.stores.select(*stores_key), stores_key, "left_anti").write.mode(
         "append"
@@ -292,7 +304,10 @@ def append(wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[i
     out = Warehouse(spark, stores, products, fact_r, staging=wh.staging, load_order=wh.load_order,
                     location=location, latest=read_latest_date(fact_r))
     previous = wh.sku_latest if wh.sku_latest is not None else latest_per_key(wh.fact, schemas.SKU, "date")
-    return _derive(out, _merge_latest(previous, new_rows), version=version, stats_windows=stats_windows)
+    stored = fact_r.filter(
+        F.col(MONTH_KEY).isin(sorted(bounds["months"])) & F.col("date").between(bounds["lo"], bounds["hi"])
+    ).join(batch.select(*skey).distinct(), skey, "left_semi").select(*new_rows.columns)
+    return _derive(out, _merge_latest(previous, stored), version=version, stats_windows=stats_windows)
 
 
 def open_written(spark: SparkSession, location: str) -> Warehouse:

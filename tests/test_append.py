@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expr import decimals_to_double
@@ -36,3 +37,27 @@ def test_append_equals_one_load_of_both_batches(spark, tmp_dir):
         x = decimals_to_double(registry.QUERIES[name](wh2, registry.DEFAULT)).collect()
         y = decimals_to_double(registry.QUERIES[name](ref, registry.DEFAULT)).collect()
         assert sorted(x) == sorted(y), name
+
+
+def test_stale_handle_and_replay_after_a_crash(spark, tmp_dir, monkeypatch):
+    staging = tpch.staging_from_tpch(spark, SF)
+    first = staging.filter(F.col("l_orderkey") % 2 == 0)
+    second = staging.filter(F.col("l_orderkey") % 2 == 1)
+    wh = warehouse.materialize(warehouse.load(spark, first, order=tpch.LOAD_ORDER), os.path.join(tmp_dir, "w"))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:  # the fact has the batch, the SKU tables have not
+        m.setattr(warehouse, "_derive", crash)
+        with pytest.raises(RuntimeError):
+            warehouse.append(wh, second, order=tpch.LOAD_ORDER)
+    replayed = warehouse.append(wh, second, order=tpch.LOAD_ORDER)
+    again = warehouse.append(wh, second, order=tpch.LOAD_ORDER)  # from the old handle
+    assert (replayed.version, again.version) == (1, 2)
+    key = ["date", "store_id", "region", "product_id"]
+    assert again.fact.count() == again.fact.select(*key).distinct().count()
+    for out in (replayed, again):
+        latest = out.fact.groupBy("store_id", "region", "product_id").agg(F.max("date").alias("date"))
+        stored = out.sku_latest.select(*latest.columns)
+        assert stored.exceptAll(latest).count() == 0 and latest.exceptAll(stored).count() == 0
