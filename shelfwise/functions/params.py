@@ -66,10 +66,6 @@ class Params:
     # read the SKU-grain tables written with the fact (latest row per SKU,
     # window statistics) instead of recomputing them from the fact
     read_snapshots: bool = True
-    # quartiles per category run as one window per category when the SKU
-    # table is proven to hold at most this many rows (exact count of the
-    # written table); above it, or when unknown, as a range-partitioned rank
-    ntile_window_max_rows: int = 2_000_000
 
 
 DEFAULT = Params()

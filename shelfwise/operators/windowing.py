@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# largest table broadcast on a checked bound (rows of a few small columns)
-BROADCAST_MAX_ROWS = 1_000_000
+# parts into which the order of one group is cut, so that no group is one task
+PARTS = 32
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], time_col: str = "date") -> DataFrame:
@@ -23,11 +23,6 @@ def latest_per_key(df: DataFrame, key: Sequence[str], time_col: str = "date") ->
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def quartile(group: Sequence[str], order: Sequence[Column], n: int = 4) -> Column:
-    """NTILE(n) inside ``group`` under ``order`` (caller adds a total tie-break)."""
-    return F.ntile(n).over(Window.partitionBy(*group).orderBy(*order))
-
-
 def ntile_from_rank(rank, size, n: int = 4) -> Column:
     """NTILE(n) from a 1-based rank and the group size, without a window.
 
@@ -44,84 +39,80 @@ def ntile_from_rank(rank, size, n: int = 4) -> Column:
     )
 
 
-def group_rank(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    rank_col: str = "_rank",
-    size_col: str = "_size",
-    max_groups: int | None = None,
-) -> DataFrame:
-    """1-based rank inside ``group`` under a total ``order``, computed in parallel.
+def descending(value: Column | str) -> list[Column]:
+    """Ascending sort keys that put the greatest ``value`` first and nulls last."""
+    v = F.col(value) if isinstance(value, str) else value
+    return [v.isNull(), -v]
+
+
+def cut_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column], **totals: Column) -> DataFrame:
+    """Add ``_order`` (the sort keys), ``_part`` (0..PARTS, increasing in ``_order``) and group totals.
 
     A window partitioned by a low-cardinality key (a category holding a third
-    of all SKUs) would put the whole group into one task.  Instead: range
-    partition on (group, order) (a sampled, balanced shuffle that splits a
-    large group over many tasks), sort inside partitions, number rows by
-    position, checkpoint, and add the row count of the same group in earlier
-    partitions.
-    The offsets table has at most (#partitions + #groups) rows; it is
-    broadcast when the caller gives a bound on the number of groups that
-    keeps it under ``BROADCAST_MAX_ROWS``, else joined by the planner.
+    of all SKUs) would put the whole group into one task.  Here each group's
+    order is cut at up to PARTS of its own keys: rows fall into PARTS classes
+    by hash and each class names the key with its smallest second hash.  The
+    cuts depend on the rows alone, so every use of the plan finds the same
+    ones; they are whole sort keys, so rows with equal values are split too.
+    ``totals`` are sums or counts per group, found in the same pass.
+
+    ``order`` are ascending keys, nulls first, unique in a group; group
+    columns are not null.  Rows look their cuts up by (group, class): a hot
+    group spreads over PARTS tasks, and the cuts are a few rows per group.
     """
-    keys = [F.col(g) for g in group] + list(order)
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (
-        df.repartitionByRange(n_parts, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id())
-    )
-    # The counts and the rows below must see the same partitions: two
-    # independently planned range shuffles sample different bounds.  A
-    # reliable checkpoint (shared folder) fixes partitions, ids and
-    # positions once, and survives executor loss.
-    from ..sources.warehouse import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    ranked = ranked.checkpoint(eager=True)
-    per_part = ranked.groupBy("_pid", *group).agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_pid",
-        *group,
-        "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*group)).alias(size_col),
+    keyed = df.withColumn("_order", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
+    keyed = keyed.withColumn("_class", F.pmod(F.xxhash64("_order"), F.lit(PARTS)).cast("int"))
+    picks = keyed.groupBy(*group, "_class").agg(
+        F.min_by("_order", F.xxhash64("_order", F.lit(PARTS))).alias("_cut"), *[c.alias(k) for k, c in totals.items()]
     )
-    # offsets rows <= partitions + groups; broadcast only under a checked bound
-    if max_groups is not None and n_parts + max_groups <= BROADCAST_MAX_ROWS:
-        offsets = F.broadcast(offsets)
-    out = ranked.join(offsets, ["_pid", *group])
-    return out.withColumn(rank_col, F.col("_before") + (F.col("_pos") - F.col("_first")) + 1).drop(
-        "_pid", "_pos", "_first", "_before"
+    cuts = picks.groupBy(*group).agg(
+        F.array_sort(F.collect_list("_cut")).alias("_cuts"), *[F.sum(k).alias(k) for k in totals]
     )
+    cuts = cuts.withColumn("_class", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    part = F.size(F.filter("_cuts", lambda c: c < F.col("_order")))
+    return keyed.join(cuts, [*group, "_class"]).withColumn("_part", part).drop("_cuts", "_class")
 
 
-def ntile_in_group(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    out_col: str,
-    n: int = 4,
-    distributed: bool = True,
-    max_groups: int | None = None,
+def part_offsets(cut: DataFrame, group: Sequence[str], **sums: Column) -> DataFrame:
+    """(group, _part, one column per sum): each sum over the earlier parts of the group.
+
+    The window runs over at most PARTS + 1 rows per group.
+    """
+    per_part = cut.groupBy(*group, "_part").agg(*[c.alias(k) for k, c in sums.items()])
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select(*group, "_part", *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(k) for k in sums])
+
+
+def within_part(group: Sequence[str]):
+    """Window over one part of a group in the cut order."""
+    return Window.partitionBy(*group, "_part").orderBy("_order")
+
+
+def group_rank(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], rank_col: str = "_rank", size_col: str = "_size"
 ) -> DataFrame:
+    """1-based rank inside ``group`` under ``order`` (see ``cut_groups``) and the group's size.
+
+    Lazy and the same plan at every size: rows are numbered inside a part, the
+    rows of earlier parts are added.
+    """
+    cut = cut_groups(df, group, order, **{size_col: F.count(F.lit(1))})
+    before = part_offsets(cut, group, _before=F.count(F.lit(1)))
+    out = cut.withColumn("_row", F.row_number().over(within_part(group))).join(before, [*group, "_part"])
+    return out.withColumn(rank_col, F.col("_before") + F.col("_row")).drop("_part", "_order", "_row", "_before")
+
+
+def ntile_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], out_col: str, n: int = 4) -> DataFrame:
     """Add NTILE(n) over (PARTITION BY group ORDER BY order) as ``out_col``."""
-    if not distributed:
-        return df.withColumn(out_col, quartile(group, order, n))
-    ranked = group_rank(df, group, order, "_rank", "_size", max_groups=max_groups)
+    ranked = group_rank(df, group, order)
     return ranked.withColumn(out_col, ntile_from_rank("_rank", "_size", n)).drop("_rank", "_size")
 
 
-def share_of_total(value, whole_window, scale: int = 2) -> Column:
-    """100 * value / SUM(value) over ``whole_window``, rounded half-up (decimal)."""
+def share_of_total(value, total, scale: int = 2) -> Column:
+    """100 * value / total, rounded half-up (decimal)."""
     from ..functions.expr import ratio, rnd
 
-    v = F.col(value) if isinstance(value, str) else value
-    return rnd(ratio(v, F.sum(v).over(whole_window)) * 100, scale)
+    return rnd(ratio(value, total) * 100, scale)
 
 
 def pareto_class(cumulative, cutoffs=(80, 95), labels=("A", "B", "C")) -> Column:

@@ -9,12 +9,14 @@ Scale notes
 * The views read by a dashboard are the memoised DataFrames of
   ``plans.core``: inside one query plan the same subtree is planned once per
   use and identical shuffles are reused.
-* One-row results are combined through scalar subqueries, never a cross
+* One-row results are combined by a union and one aggregate, never a cross
   join; global ranks run over one row per store location or category.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ from ..functions.expr import (
     sum_if,
 )
 from ..functions.params import DEFAULT, Params
-from ..operators.windowing import argmax_by
+from ..operators.windowing import descending
 from ..sources.warehouse import Warehouse
 from . import core
 
@@ -43,17 +45,10 @@ LOC = list(schemas.LOCATION)
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
-    """Put the columns of several one-row aggregates side by side.
-
-    The first frame is the base; every other frame becomes one scalar
-    subquery returning a struct, whose fields are unpacked.
-    """
-    base = frames[0]
-    cols = [F.col(c) for c in base.columns]
-    for fr in frames[1:]:
-        packed = fr.select(F.struct(*fr.columns).alias("s")).scalar()
-        cols += [packed.getField(c).alias(c) for c in fr.columns]
-    return base.select(*cols)
+    """Put the columns of several one-row aggregates side by side: each becomes
+    a row of one union, and the greatest of a column is its only value."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 def _rating(turnover: Column, p: Params) -> Column:
@@ -177,18 +172,15 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
         F.sum(net("units_sold")).alias("r"),
         *day_bitmaps("_day", span),
     ]
-    small = core.broadcast_categories(wh) if by_category else None
-    if not by_category:
-        sales = sales_rows.groupBy(*key).agg(*measures)
-    elif small is not None:  # proven-small dimension: broadcast, one aggregate
-        sales = sales_rows.join(small, "product_id").groupBy(*key).agg(*measures)
-    else:  # otherwise per product first, category joined at product grain
+    if by_category:  # per product first, the category joined at product grain
         sales = (
             sales_rows.groupBy("product_id").agg(*measures)
             .join(core.categories(wh), "product_id")
             .groupBy(*key)
             .agg(F.sum("u").alias("u"), F.sum("r").alias("r"), *merge_bitmaps(span))
         )
+    else:
+        sales = sales_rows.groupBy(*key).agg(*measures)
     sales = sales.select(
         *key,
         F.col("u").alias("units_90d"),
@@ -300,29 +292,38 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
         sa = core.seasonal_analysis(wh, p)
         imp = F.col("impact_classification")
-        # season performance and impact counts share one grouping
-        season = sa.groupBy("seasonality").agg(
-            F.sum("total_units_sold").alias("total_units_sold"),
-            F.round(F.sum("total_revenue"), 2).alias("total_revenue_usd"),
-            mean(F.sum("avg_daily_sales"), F.count(F.lit(1))).alias("avg_sales"),
-            F.sum("days_count").alias("total_days"),
-            F.count_distinct(F.concat("store_id", "region", "category")).alias("category_location_count"),
-            count_if(imp == "HIGH_IMPACT").alias("high_impact_count"),
-            count_if(imp == "NORMAL_IMPACT").alias("normal_impact_count"),
-            count_if(imp == "LOW_IMPACT").alias("low_impact_count"),
-            F.count(F.lit(1)).alias("total_combinations"),
-        )
+        # one aggregate per season and category; its sums add up to the season
         cat = sa.groupBy("seasonality", "category").agg(
-            mean(F.sum("seasonal_index"), F.count(F.lit(1))).alias("avg_seasonal_index")
+            F.sum("total_units_sold").alias("units"),
+            F.sum("total_revenue").alias("revenue"),
+            F.sum("avg_daily_sales").alias("paces"),
+            F.sum("days_count").alias("days"),
+            F.count_distinct("store_id", "region").alias("places"),
+            count_if(imp == "HIGH_IMPACT").alias("high"),
+            count_if(imp == "NORMAL_IMPACT").alias("normal"),
+            count_if(imp == "LOW_IMPACT").alias("low"),
+            F.count(F.lit(1)).alias("n"),
+            mean(F.sum("seasonal_index"), F.count(F.lit(1))).alias("avg_seasonal_index"),
         )
-        # arg-max per season (ties to the first category name); the input
-        # has one row per season and category
-        top = argmax_by(cat, ["seasonality"], "avg_seasonal_index", ["category"]).select(
-            "seasonality", F.struct("category", "avg_seasonal_index").alias("top")
+        # greatest index first, ties to the first category name
+        first = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(descending("avg_seasonal_index"))], "category")
+        season = cat.groupBy("seasonality").agg(
+            F.sum("units").alias("total_units_sold"),
+            F.round(F.sum("revenue"), 2).alias("total_revenue_usd"),
+            mean(F.sum("paces"), F.sum("n")).alias("avg_sales"),
+            F.sum("days").alias("total_days"),
+            F.sum("places").alias("category_location_count"),
+            F.sum("high").alias("high_impact_count"),
+            F.sum("normal").alias("normal_impact_count"),
+            F.sum("low").alias("low_impact_count"),
+            F.sum("n").alias("total_combinations"),
+            F.min_by(F.struct("category", "avg_seasonal_index"), first).alias("top"),
         )
-        overall = season.agg(F.avg("avg_sales").alias("overall")).scalar()
-        rel = ratio("avg_sales", overall)  # null when nothing was sold
-        return season.join(top, "seasonality", "left").select(
+        # one row per season
+        overall = F.avg("avg_sales").over(Window.partitionBy())
+        season = season.withColumn("rel", ratio("avg_sales", overall))  # null when nothing was sold
+        rel, edge = F.col("rel"), rnd("rel", 10)
+        return season.select(
             "seasonality",
             "total_units_sold",
             "total_revenue_usd",
@@ -335,7 +336,7 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             rnd(ratio("high_impact_count", "total_combinations") * 100, 2).alias("high_impact_pct"),
             rnd(rel * 100, 2).alias("seasonal_index"),
             band(
-                [(rel >= p.high_impact_ratio, "HIGH_SEASON"), (rel >= p.normal_impact_ratio, "NORMAL_SEASON")],
+                [(edge >= p.high_impact_ratio, "HIGH_SEASON"), (edge >= p.normal_impact_ratio, "NORMAL_SEASON")],
                 "LOW_SEASON",
             ).alias("season_classification"),
             F.col("top.category").alias("highest_impact_category"),

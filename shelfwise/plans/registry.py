@@ -87,7 +87,7 @@ QUERIES: dict[str, Callable[[Warehouse, Params], DataFrame]] = {
 # columns appended so the order is total).
 ORDER_BY: dict[str, list] = {
     "current_stock_levels": ["_status_rank", "inventory_level", "store_id", "region", "product_id"],
-    "reorder_analysis": ["category", "coverage_ratio", "store_id", "region", "product_id"],
+    "reorder_analysis": ["category", "_coverage", "store_id", "region", "product_id"],
     "inventory_turnover": ["category", ("inventory_turnover_ratio", "desc"), "store_id", "region", "product_id"],
     "abc_classification": ["store_id", "region", "revenue_rank"],
     "seasonal_analysis": ["category", "seasonality", "weather_condition", "store_id", "region"],
@@ -118,9 +118,10 @@ def present(name: str, df: DataFrame) -> DataFrame:
             "_status_rank",
             F.coalesce(*[F.when(F.col("stock_status") == s, F.lit(r)) for s, r in rank.items()], F.lit(4)),
         )
+    if "_coverage" in keys:  # the unrounded ratio
+        df = df.withColumn("_coverage", F.col("current_stock") / F.greatest(F.col("reorder_point"), F.lit(1)))
     cols = [F.col(k[0]).desc() if isinstance(k, tuple) else F.col(k).asc() for k in keys]
-    out = df.orderBy(*cols)
-    return out.drop("_status_rank") if "_status_rank" in keys else out
+    return df.orderBy(*cols).drop("_status_rank", "_coverage")
 
 
 # Queries that read both the sales-window and the ABC-window statistics:

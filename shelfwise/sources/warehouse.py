@@ -91,30 +91,9 @@ class Warehouse:
         latest = self.latest_date()
         return self.between(latest, latest)
 
-    def distinct_count(self, column: str = "category") -> int | None:
-        """Distinct values of a product attribute, counted on the written
-        product dimension (a small table); None for a lazy warehouse."""
-        if self.location is None:
-            return None
-        key = ("distinct", column)
-        if key not in self._cache:
-            self._cache[key] = self.products.select(column).distinct().count()
-        return self._cache[key]
-
-    def row_count(self, table: str) -> int | None:
-        """Exact row count of a written dimension (Parquet metadata); None if lazy."""
-        if self.location is None:
-            return None
-        key = ("rows", table)
-        if key not in self._cache:
-            self._cache[key] = getattr(self, table).count()
-        return self._cache[key]
-
     def forget_views(self) -> None:
-        """Drop memoised analysis DataFrames (each is rebuilt, and recomputed,
-        on next use); dimension counts are kept."""
-        for k in [k for k in self._cache if not (isinstance(k, tuple) and k[0] in ("rows", "distinct"))]:
-            del self._cache[k]
+        """Drop memoised analysis DataFrames (each is rebuilt, and recomputed, on next use)."""
+        self._cache.clear()
 
     def memo(self, name: str, build):
         """Build a derived DataFrame once per warehouse (same plan object)."""
@@ -156,16 +135,6 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write to the shared folder."""
-    root = shared_root(spark)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # Spark Connect manages checkpoints server-side
-        pass
-
-
 def materialize(
     wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180), cluster_months: bool = False
 ) -> Warehouse:

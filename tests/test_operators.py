@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions.expr import greatest_strict, rnd
 from shelfwise.operators import etl, quality
-from shelfwise.operators.windowing import group_rank, ntile_from_rank, ntile_in_group
+from shelfwise.operators.windowing import PARTS, cut_groups, descending, group_rank, ntile_from_rank, ntile_in_group
 from shelfwise.plans import core, dashboards
 from shelfwise.sources import warehouse
 
@@ -110,19 +110,53 @@ def test_ntile_from_rank_matches_ntile(spark):
     assert out.filter("a <> b").count() == 0
 
 
+def _ntile_by_window(df):
+    w = Window.partitionBy("grp").orderBy(F.col("v").desc(), F.col("k"))
+    return df.withColumn("t", F.ntile(4).over(w))
+
+
 def test_distributed_rank_matches_window(spark):
     rnd_ = random.Random(7)
     rows = [(rnd_.choice("ABC"), rnd_.randint(0, 30) / 10.0, f"k{i:05d}") for i in range(3000)]
     rows += [("D", 1.0, "only")]
     df = spark.createDataFrame(rows, "grp string, v double, k string")
-    order = [F.col("v").desc(), F.col("k").asc()]
-    a = ntile_in_group(df, ["grp"], order, "t", distributed=True)
-    b = ntile_in_group(df, ["grp"], order, "t", distributed=False)
-    assert sorted(a.collect()) == sorted(b.collect())
+    order = [*descending("v"), F.col("k")]
+    a = ntile_in_group(df, ["grp"], order, "t")
+    assert sorted(a.collect()) == sorted(_ntile_by_window(df).collect())
     ranks = group_rank(df, ["grp"], order).filter("grp = 'D'").collect()
     assert [(r._rank, r._size) for r in ranks] == [(1, 1)]
 
 
+def test_hot_group_of_equal_values_is_cut(spark):
+    """A third of all rows in one group, all with one value: still many parts."""
+    df = spark.range(9000).select(
+        F.when(F.col("id") < 3000, "HOT").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("grp"),
+        F.when(F.col("id") % 2 == 0, F.lit(1.5)).alias("v"),
+        F.format_string("k%05d", "id").alias("k"),
+    ).withColumn("v", F.when(F.col("grp") == "HOT", F.lit(0.0)).otherwise(F.col("v")))
+    order = [*descending("v"), F.col("k")]
+    parts = cut_groups(df, ["grp"], order).filter("grp = 'HOT'").groupBy("_part").count().collect()
+    assert len(parts) > PARTS * 3 // 4 and max(r["count"] for r in parts) < 3000 / 4
+    assert sorted(ntile_in_group(df, ["grp"], order, "t").collect(), key=repr) == sorted(
+        _ntile_by_window(df).collect(), key=repr
+    )
+
+
+def test_ranks_build_without_jobs_and_never_window_a_whole_group(spark):
+    lazy = warehouse.from_tpch(spark, "/root/testdata/sf0.001", materialized=False)
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        views = [core.inventory_turnover(lazy), core.reorder_analysis(lazy), core.abc_classification(lazy)]
+        plans = [v._jdf.queryExecution().optimizedPlan().toString() for v in views]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    for line in "\n".join(plans).splitlines():
+        if " Window [" in line and " _order#" in line.replace("(", " "):
+            assert "_part" in line.split("windowspecdefinition(")[1].split("_order#")[0], line
+
+
+
 def _reorder_fixture(spark):
     rnd_ = random.Random(3)
     rows, latest = [], dt.date(2023, 12, 31)
@@ -239,26 +273,10 @@ def test_distributed_rank_on_sampled_ranges(spark):
         ((F.col("id") * 7919) % 1000 / 10.0).alias("v"),
         F.col("id").alias("k"),
     ).repartition(8)
-    order = [F.col("v").desc(), F.col("k").asc()]
-    a = ntile_in_group(df, ["grp"], order, "t", distributed=True)
-    b = ntile_in_group(df, ["grp"], order, "t", distributed=False)
+    a, b = ntile_in_group(df, ["grp"], [*descending("v"), F.col("k")], "t"), _ntile_by_window(df)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_window_and_distributed_quartiles_agree(spark):
-    from shelfwise.functions.expr import decimals_to_double
-    from shelfwise.functions.params import Params
-
-    small, forced = Params(), Params(ntile_window_max_rows=0)
-    for modulus in (10, 1000):
-        wh = warehouse.from_tpch(spark, "/root/testdata/sf0.01", product_modulus=modulus)
-        assert not core.distributed_quartiles(wh, small) and core.distributed_quartiles(wh, forced)
-        for view in (core.inventory_turnover, core.reorder_analysis):
-            a = decimals_to_double(view(wh, small))
-            b = decimals_to_double(view(wh, forced))
-            assert a.count() == b.count() and a.exceptAll(b).count() == 0, (modulus, view.__name__)
-
-
 def test_reorder_needs_30_observed_rows(spark):
     latest = dt.date(2023, 12, 31)
     rows = []

@@ -160,15 +160,6 @@ def test_written_warehouse_from_csv_feed(spark, tmp_dir):
     assert stock == {"P0001": (231, "HIGH"), "P0002": (10, "CRITICAL")}
 
 
-def test_small_dimension_is_broadcast_behind_a_count(spark):
-    plan = _plan(registry.run("seasonal_analysis", spark, SF))
-    assert "BroadcastHashJoin" in plan
-    lazy = warehouse.from_tpch(spark, SF, materialized=False)
-    from shelfwise.plans import core
-
-    assert core.broadcast_categories(lazy) is None
-
-
 def test_concurrent_first_calls_load_once(spark):
     from concurrent.futures import ThreadPoolExecutor
 
