@@ -17,15 +17,20 @@ from pyspark.sql.types import DateType
 from .. import schemas
 
 ROW_ORDER = "_row_order"
+# where a feed row was read: file path, and where its block starts in the file
+FEED_FILE, FEED_BLOCK = "_feed_file", "_feed_block"
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
-    """Tag rows with their input order (file order for a single CSV file).
+    """Tag rows with their input order: file by name, then place in the file.
 
     Used as the INSERT IGNORE tie-break when the source has no ordering
-    columns of its own.
+    columns of its own.  Row ids grow inside a block, and blocks are told apart
+    by where they start, however the planner packs files into tasks.
     """
-    return df.withColumn(ROW_ORDER, F.monotonically_increasing_id())
+    place = [F.col(c) for c in (FEED_FILE, FEED_BLOCK) if c in df.columns]
+    order = F.struct(*place, F.monotonically_increasing_id().alias("row"))
+    return df.withColumn(ROW_ORDER, order).drop(FEED_FILE, FEED_BLOCK)
 
 
 def insert_ignore(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

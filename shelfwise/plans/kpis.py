@@ -7,6 +7,8 @@ for the same calculation date replaces exactly that date's partition.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +31,11 @@ def inventory_kpis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """KPIs of every SKU as of the latest date of the data.
 
     SKU list = every SKU with a current stock row; the other analyses are
-    left-joined at SKU grain (all sides are hash-partitioned by SKU).
+    left-joined at SKU grain (all sides are hash-partitioned by SKU). Under the
+    default parameters the table written with the warehouse version is read.
     """
+    if wh.kpis is not None and replace(p, fused_sku_stats=DEFAULT.fused_sku_stats) == DEFAULT:
+        return wh.kpis
 
     def build():
         skus = core.current_stock_levels(wh, p).select(*SKU)

@@ -1,38 +1,52 @@
-"""CSV feed source and CSV/Parquet sinks."""
+"""CSV feed source and CSV sink."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
+from ..operators.etl import FEED_BLOCK, FEED_FILE
+
+# how the feed is written: header row, comma, optional quotes, \\N for NULL
+NULL_MARK = "\\N"
+CSV_OPTIONS = {"header": True, "sep": ",", "quote": '"', "escape": "\\", "mode": "FAILFAST", "enforceSchema": True}
+#: The feed's columns as text; they bind by position.
+RAW_SCHEMA = StructType([StructField(n, StringType()) for n in schemas.STAGING.fieldNames()])
+
+
+def parse_feed(raw: DataFrame) -> DataFrame:
+    """Typed staging rows of the text columns, with the file and block each came from.
+
+    ``\\N`` is NULL. An empty text field is the empty string, an empty number is
+    NULL (the load makes it 0). Text that is no number of the column's type
+    fails the load.
+    """
+    columns = []
+    for f in schemas.STAGING.fields:
+        text = F.nullif(F.col(f.name), F.lit(NULL_MARK))
+        if isinstance(f.dataType, StringType):
+            text = F.when(F.col(f.name).isNull(), F.lit("")).otherwise(text)
+        columns.append(text.cast(f.dataType).alias(f.name))
+    place = [F.col("_metadata.file_path").alias(FEED_FILE), F.col("_metadata.file_block_start").alias(FEED_BLOCK)]
+    return raw.select(*columns, *place)
 
 
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    """Read the daily feed CSV (header row, comma separated, optional quotes).
+    """Read the daily feed: one CSV file or a folder of them (see ``parse_feed``).
 
-    Columns bind by position to the fixed staging schema; ``\\N`` is NULL;
-    a row that does not fit the schema fails the load (strict mode).
+    A row with too many or too few fields fails the load (strict mode).
     """
-    return spark.read.csv(
-        path,
-        schema=schemas.STAGING,
-        header=True,
-        sep=",",
-        quote='"',
-        escape="\\",
-        nullValue="\\N",
-        mode="FAILFAST",
-        enforceSchema=True,
-    )
+    return parse_feed(spark.read.options(**CSV_OPTIONS).schema(RAW_SCHEMA).csv(path))
+
+
+def write_feed(staging: DataFrame, path: str, order: list[str]) -> None:
+    """Write staging rows as feed files whose names and lines follow ``order``."""
+    rows = staging.orderBy(*order).select(*schemas.STAGING.fieldNames())
+    rows.write.options(header=True, nullValue=NULL_MARK, emptyValue="").csv(path)
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a report with a header row (one directory of part files)."""
     df.write.mode(mode).option("header", True).csv(path)
-
-
-def export_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

@@ -18,6 +18,7 @@ import hashlib
 import tempfile
 import threading
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,8 @@ class Warehouse:
     # (sales, abc) window lengths they were computed for
     sku_stats: DataFrame | None = None
     sku_stats_windows: tuple[int, int] | None = None
+    # KPI row per SKU under the default parameters, written with the fact
+    kpis: DataFrame | None = None
     # version of the SKU-grain tables (bumped by ``append``)
     version: int = 0
     _cache: dict = field(default_factory=dict, repr=False)
@@ -194,8 +197,8 @@ def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows:
 
     ``sku_latest``: latest row per SKU (one row per SKU and map task is
     shuffled).  ``sku_window_stats``: one aggregate over the longest trailing
-    window.  Each version gets its own folder, so a new version can be
-    built from the previous one while it is being read.
+    window.  ``inventory_kpis``: the KPI table.  Each version gets its own folder, so a
+    new version can be built from the previous one while it is being read.
     """
     spark, base = out.spark, f"{out.location}/derived/v={version}"
     latest_rows.write.mode("overwrite").parquet(f"{base}/sku_latest")
@@ -208,6 +211,13 @@ def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows:
         out.sku_stats = spark.read.parquet(f"{base}/sku_window_stats")
         out.sku_stats_windows = stats_windows
     out.version = version
+    out.staging = _staging(out)
+    if out.latest is not None:
+        from ..plans.kpis import inventory_kpis  # the KPI table is made of the analyses
+
+        inventory_kpis(out).write.mode("overwrite").parquet(f"{base}/inventory_kpis")
+        out.forget_views()
+        out.kpis = spark.read.parquet(f"{base}/inventory_kpis")
     # list the version last: readers only see complete versions
     spark.createDataFrame(
         [(version, out.latest, stats_windows[0], stats_windows[1])],
@@ -216,6 +226,14 @@ def _derive(out: Warehouse, latest_rows: DataFrame, version: int, stats_windows:
     return out
 
 
+def _staging(wh: Warehouse) -> DataFrame | None:
+    """All staging rows up to the warehouse's version: the first load's and each appended batch's."""
+    paths = [f"{wh.location}/staging_inventory_data"]
+    paths += [f"{wh.location}/derived/v={v}/staging_inventory_data" for v in range(1, wh.version + 1)]
+    parts = [wh.spark.read.parquet(path) for path in paths if has_files(wh.spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
 def append(
     wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, int] | None = None
 ) -> Warehouse:
@@ -239,10 +257,17 @@ def append(
         raise ValueError("append needs a written warehouse")
     now = open_written(spark, location)
     wh = replace(wh, stores=now.stores, products=now.products, fact=now.fact, sku_latest=now.sku_latest,
-                 sku_stats=now.sku_stats, sku_stats_windows=now.sku_stats_windows, version=now.version,
-                 latest=now.latest, _cache={})
+                 sku_stats=now.sku_stats, sku_stats_windows=now.sku_stats_windows, kpis=now.kpis,
+                 version=now.version, staging=now.staging, latest=now.latest, _cache={})
     stats_windows = stats_windows or wh.sku_stats_windows or (90, 180)
     stores_key, skey = list(schemas.STORES_KEY), list(schemas.INVENTORY_KEY)
+    version = wh.version + 1
+    # the batch is parsed once; a replay of an unpublished version writes the same folder again
+    staging_path = f"{location}/derived/v={version}/staging_inventory_data"
+    if order is None:
+        staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
+    staging.write.mode("overwrite").parquet(staging_path)
+    staging = spark.read.parquet(staging_path)
     etl.build_stores(staging).join(wh.stores.select(*stores_key), stores_key, "left_anti").write.mode(
         "append"
     ).parquet(f"{location}/stores")
@@ -264,7 +289,6 @@ def append(
     ).select(*skey)
     # the accepted rows are written once (lineage cut in the shared folder),
     # then appended to the fact and merged into the latest-row table
-    version = wh.version + 1
     batch_path = f"{location}/derived/v={version}/accepted_rows"
     batch.join(existing, skey, "left_anti").drop(MONTH_KEY).write.mode("overwrite").parquet(batch_path)
     new_rows = spark.read.parquet(batch_path)
@@ -291,9 +315,7 @@ def open_written(spark: SparkSession, location: str) -> Warehouse:
     fact = spark.read.parquet(f"{location}/inventory_data")
     out = Warehouse(spark, stores, products, fact, location=location, latest=read_latest_date(fact))
     # absence is asked for; a failing read raises instead of passing for an empty table
-    out.staging = newest = None
-    if has_files(spark, f"{location}/staging_inventory_data"):
-        out.staging = spark.read.parquet(f"{location}/staging_inventory_data")
+    newest = None
     if has_files(spark, f"{location}/versions"):
         newest = spark.read.parquet(f"{location}/versions").orderBy(F.col("version").desc()).first()
     if newest is None:
@@ -304,6 +326,9 @@ def open_written(spark: SparkSession, location: str) -> Warehouse:
     out.sku_stats = spark.read.parquet(f"{base}/sku_window_stats")
     out.sku_stats_windows = (newest["sales_window_days"], newest["abc_window_days"])
     out.version = newest["version"]
+    if has_files(spark, f"{base}/inventory_kpis"):
+        out.kpis = spark.read.parquet(f"{base}/inventory_kpis")
+    out.staging = _staging(out)
     return out
 
 

@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas
-from ..sources import warehouse
+from ..sources import feed, warehouse
 
 
 def start(
@@ -29,16 +28,7 @@ def start(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start loading feed files that appear in ``feed_dir`` into ``location``."""
-    stream = (
-        spark.readStream.schema(schemas.STAGING)
-        .option("header", True)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", "\\")
-        .option("nullValue", "\\N")
-        .option("mode", "FAILFAST")
-        .csv(feed_dir)
-    )
+    stream = feed.parse_feed(spark.readStream.options(**feed.CSV_OPTIONS).schema(feed.RAW_SCHEMA).csv(feed_dir))
     state: dict[str, warehouse.Warehouse] = {}
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:

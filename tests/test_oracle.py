@@ -6,14 +6,14 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as se
-from shelfwise.plans import registry
+from shelfwise.plans import registry, roundtrips
 
 SF = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
 
 
 @pytest.mark.parametrize("sf_dir", [s for s in SF if os.path.exists(s)])
 def test_all_queries_match_oracle(spark, sf_dir):
-    res = compare(spark, sf_dir, list(registry.QUERIES), con=duck(sf_dir))
+    res = compare(spark, sf_dir, [*registry.QUERIES, *roundtrips.QUERIES], con=duck(sf_dir))
     bad = {k: v for k, v in res.items() if not (v.get("schema_ok") and v.get("values_ok"))}
     assert not bad, bad
 
