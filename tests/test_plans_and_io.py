@@ -122,13 +122,34 @@ def test_simple_fused_and_snapshot_paths_agree(spark, name):
         assert sorted(other) == sorted(base), p
 
 
-def test_fused_path_scans_the_window_once(spark):
+def _fact_scans(df) -> int:
+    """Fact scans of the plan that ran, after adaptive execution reused equal shuffles."""
     import re
 
-    plan = _plan(registry.run("abc_classification", spark, SF, p=Params(read_snapshots=False, fused_sku_stats=True),
-                              fused=True))
-    scans = re.findall(r"FileScan parquet[^\n]*inventory_data[^\n]*", plan)
-    assert len(scans) == 1
+    df.collect()
+    ran = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return len(re.findall(r"FileScan parquet[^\n]*inventory_data", ran))
+
+
+def test_fused_statistics_scan_the_window_once(spark):
+    from shelfwise.plans import core
+
+    p = Params(read_snapshots=False, fused_sku_stats=True)
+    wh = warehouse.from_tpch(spark, SF)
+    assert _fact_scans(core.sku_window_stats(wh, p)) == 1
+    # ranks use the statistics in two shapes: to find the cuts and to number the rows
+    assert _fact_scans(registry.run("abc_classification", spark, SF, p=p, fused=True)) <= 2
+    assert _fact_scans(registry.run("abc_classification", spark, SF)) == 0
+
+
+def test_season_reports_scan_the_year_once(spark):
+    for name in ("seasonal_analysis", "seasonality_summary"):
+        assert _fact_scans(registry.run(name, spark, SF)) == 1, name
+
+
+def test_check_queries_read_the_written_kpi_table(spark):
+    for name in ("inventory_kpis", "fk_violations", "table_profile"):
+        assert "sku_window_stats" not in _plan(registry.run(name, spark, SF)), name
 
 
 def test_snapshot_path_reads_no_fact(spark):
