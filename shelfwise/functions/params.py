@@ -50,9 +50,18 @@ class Params:
     average_critical_share: float = 0.10
     # store/category rating on avg turnover: >=6, >=4, >=2
     excellent_turnover: int = 6
-    # stockout risk: coverage bands .10/.25/.50 -> 90/70/40 else 10,
-    # zero stock 100; revenue share >=90 -> 100, >=50 -> 60 else 20;
-    # weights .4/.4/.2; classes >=90, >=70, >=50
+    # stockout risk: zero stock, coverage bands (edge, score), else the last
+    zero_stock_score: int = 100
+    coverage_scores: tuple = ((0.10, 90), (0.25, 70), (0.50, 40))
+    covered_score: int = 10
+    # revenue share bands, movement scores, and what is left
+    share_scores: tuple = ((90, 100), (50, 60))
+    small_share_score: int = 20
+    movement_scores: tuple = (("FAST_MOVER", 80), ("MEDIUM_MOVER", 50), ("SLOW_MOVER", 20))
+    non_mover_score: int = 10
+    # weights of the three scores, and the classes of their weighted sum
+    risk_weights: tuple = ("0.4", "0.4", "0.2")
+    risk_edges: tuple = (90, 70, 50)
     kpi_service_level: float = 95.0
     # the reference divides by NULLIF(x, 1) (daily rates, ROI): a group with
     # exactly one day of data, or an inventory value of exactly 1, gives NULL.

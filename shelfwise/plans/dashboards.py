@@ -15,6 +15,7 @@ Scale notes
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -347,43 +348,38 @@ def seasonality_summary(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q10
-def risk_scores(level, reorder_point, revenue_share, movement_type) -> dict:
-    """The three stockout risk factors of one SKU (fixed bands).
+RISK_CLASSES = ("CRITICAL_RISK", "HIGH_RISK", "MODERATE_RISK"), "LOW_RISK"
+RISK_ACTIONS = ("IMMEDIATE_REORDER", "REORDER_SOON", "MONITOR_CLOSELY"), "STANDARD_REVIEW"
 
-    Inventory: zero stock 100; coverage of the reorder point <= .10 90,
-    <= .25 70, <= .50 40, else 10.  Revenue share >= 90 100, >= 50 60, else 20.
-    Movement FAST 80, MEDIUM 50, SLOW 20, else 10.
-    """
+
+def risk_scores(level, reorder_point, revenue_share, movement_type, p: Params = DEFAULT) -> dict:
+    """The three stockout risk factors of one SKU: stock against the reorder point, revenue share, movement."""
     cov = ratio(level, greatest_strict(reorder_point, F.lit(1).cast("bigint")))
+    covered = [(cov <= edge, score) for edge, score in p.coverage_scores]
     return {
-        "inventory_risk_score": band([(level == 0, 100), (cov <= 0.10, 90), (cov <= 0.25, 70), (cov <= 0.50, 40)], 10),
-        "revenue_impact_score": band([(revenue_share >= 90, 100), (revenue_share >= 50, 60)], 20),
-        "demand_volatility_score": band(
-            [(movement_type == "FAST_MOVER", 80), (movement_type == "MEDIUM_MOVER", 50),
-             (movement_type == "SLOW_MOVER", 20)],
-            10,
-        ),
+        "inventory_risk_score": band([(level == 0, p.zero_stock_score), *covered], p.covered_score),
+        "revenue_impact_score": band([(revenue_share >= edge, s) for edge, s in p.share_scores], p.small_share_score),
+        "demand_volatility_score": band([(movement_type == m, s) for m, s in p.movement_scores], p.non_mover_score),
     }
 
 
-def risk_rating(inventory_score, revenue_score, volatility_score) -> dict:
-    """Weighted composite (.4/.4/.2, exact decimal) and its class/action bands."""
+def weighted_score(scores, weights) -> Column:
+    """Sum of integer scores times decimal weights (given as text), exact."""
+    parts = [s.cast("decimal(10,0)") * F.lit(Decimal(w)) for s, w in zip(scores, weights, strict=True)]
+    return reduce(lambda a, b: a + b, parts)
+
+
+def risk_rating(inventory_score, revenue_score, volatility_score, p: Params = DEFAULT) -> dict:
+    """Weighted composite and its class and action bands."""
+    composite = weighted_score([inventory_score, revenue_score, volatility_score], p.risk_weights)
 
-    def weighted(c, k):
-        return c.cast("decimal(10,0)") * F.lit(k).cast("decimal(2,1)")
+    def banded(labels, rest):
+        return band([(composite >= edge, label) for edge, label in zip(p.risk_edges, labels, strict=True)], rest)
 
-    composite = weighted(inventory_score, "0.4") + weighted(revenue_score, "0.4") + weighted(volatility_score, "0.2")
     return {
         "composite": composite,
-        "risk_classification": band(
-            [(composite >= 90, "CRITICAL_RISK"), (composite >= 70, "HIGH_RISK"), (composite >= 50, "MODERATE_RISK")],
-            "LOW_RISK",
-        ),
-        "recommended_action": band(
-            [(composite >= 90, "IMMEDIATE_REORDER"), (composite >= 70, "REORDER_SOON"),
-             (composite >= 50, "MONITOR_CLOSELY")],
-            "STANDARD_REVIEW",
-        ),
+        "risk_classification": banded(*RISK_CLASSES),
+        "recommended_action": banded(*RISK_ACTIONS),
     }
 
 
@@ -397,11 +393,11 @@ def stockout_risk(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
         abc = core.abc_classification(wh, p).select(*SKU, "abc_classification", "revenue_percentage")
         df = cs.join(ra, SKU, "left").join(it, SKU, "left").join(abc, SKU, "left")
         scores = risk_scores(
-            F.col("inventory_level"), F.col("reorder_point"), F.col("revenue_percentage"), F.col("movement_type")
+            F.col("inventory_level"), F.col("reorder_point"), F.col("revenue_percentage"), F.col("movement_type"), p
         )
         scored = df.filter(F.col("avg_daily_sales") > 0).select("*", *[c.alias(k) for k, c in scores.items()])
         rating = risk_rating(
-            F.col("inventory_risk_score"), F.col("revenue_impact_score"), F.col("demand_volatility_score")
+            F.col("inventory_risk_score"), F.col("revenue_impact_score"), F.col("demand_volatility_score"), p
         )
         composite, risk, action = rating["composite"], rating["risk_classification"], rating["recommended_action"]
         return scored.select(

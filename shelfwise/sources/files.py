@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -13,3 +15,15 @@ def has_files(spark: SparkSession, path: str) -> bool:
     if not system.exists(folder):
         return False
     return any(not s.getPath().getName().startswith(("_", ".")) for s in system.listStatus(folder))
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of the names, lengths and write times of the files at ``paths`` (files or folders of files)."""
+    context = spark.sparkContext
+    digest = hashlib.sha1()
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = target.getFileSystem(context._jsc.hadoopConfiguration())
+        found = [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in system.listStatus(target)]
+        digest.update(repr(sorted(found)).encode())
+    return digest.hexdigest()

@@ -43,6 +43,8 @@ CATEGORY_BY_PARTKEY_MOD10 = [
 ]
 
 # Load order of staging rows (the INSERT IGNORE tie-break).
+#: Tables the feed is derived from.
+TABLES = ("lineitem", "part", "supplier", "nation", "region")
 LOAD_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",

@@ -14,7 +14,6 @@ prunes whole months and Parquet min/max statistics skip row groups.
 from __future__ import annotations
 
 import datetime
-import hashlib
 import tempfile
 import threading
 from dataclasses import dataclass, field, replace
@@ -27,9 +26,11 @@ from .. import schemas
 from ..operators import etl, sku_stats
 from ..operators.windowing import latest_per_key
 from . import tpch
-from .files import has_files
+from .files import fingerprint, has_files
 
 MONTH_KEY = "month_key"
+# of the written tables; tables of another layout are not reopened
+LAYOUT = "v2"
 
 
 def month_key(date_col) -> Column:
@@ -366,16 +367,21 @@ def from_tpch(
 ) -> Warehouse:
     """Warehouse over the driver's tables (see ``sources.tpch``).
 
-    With ``materialized`` the load runs once per Spark application and
-    source; later calls reuse the written tables.
+    With ``materialized`` the load runs once per source: the folder is named by
+    the source files' names, lengths and write times, so later calls and later
+    applications reopen the written tables, and a changed source is loaded anew.
+    Folders of old sources belong to the owner of ``spark.checkpoint.dir``.
     """
-    key = (_app_id(spark), sf_dir.rstrip("/"), product_modulus)
     if not materialized:
         return load(spark, tpch.staging_from_tpch(spark, sf_dir, product_modulus), order=tpch.LOAD_ORDER)
+    source = fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tpch.TABLES])
+    key = (_app_id(spark), source, product_modulus)
     with _REGISTRY_LOCK:  # one load per source, also when called from several threads
         if key not in _REGISTRY:
-            staging = tpch.staging_from_tpch(spark, sf_dir, product_modulus)
-            lazy = load(spark, staging, order=tpch.LOAD_ORDER)
-            digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-            _REGISTRY[key] = materialize(lazy, f"{shared_root(spark)}/shelfwise/{digest}")
+            location = f"{shared_root(spark)}/shelfwise/{source[:16]}-{product_modulus}-{LAYOUT}"
+            if has_files(spark, f"{location}/versions"):
+                _REGISTRY[key] = replace(open_written(spark, location), load_order=tpch.LOAD_ORDER)
+            else:
+                staging = tpch.staging_from_tpch(spark, sf_dir, product_modulus)
+                _REGISTRY[key] = materialize(load(spark, staging, order=tpch.LOAD_ORDER), location)
         return _REGISTRY[key]
