@@ -18,6 +18,8 @@ PROBES_OF_128 = 12
 #: Vectors of a block, and the fewest blocks, over which the work is dealt.
 BLOCK_ROWS = 500_000
 LEAST_BLOCKS = 12
+#: Greatest ratio of norms in a band, so that the component that fills them up stays small.
+BAND = 1.1
 QUERY_SLICE = 64
 
 
@@ -59,41 +61,88 @@ def probes(rotated: np.ndarray, count: int) -> np.ndarray:
     return np.argsort(-signed, axis=1, kind="stable")[:, :count]
 
 
-class BlockIndex:
-    """The tables of one block of vectors: rows in order of their code."""
+class Band:
+    """Rows of a block whose norms are within a factor BAND, with their tables: rows in order of their code.
+
+    A band with no more rows than a query has bucket lookups goes without tables and is read whole.
+    """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, spare: float, tables: int = TABLES) -> None:
-        self.ids, self.vectors = ids, vectors
-        self.turn = Rotations(vectors.shape[1] + (spare > 0), tables)
-        unit = _placed(vectors, spare)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, tables: int) -> None:
+        self.ids, self.vectors, self.most = ids, vectors, float(sizes.max())
+        self.spare = 0.0 if self.most - sizes.min() <= 1e-6 * self.most else self.most
+        self.turn = Rotations(vectors.shape[1] + (self.spare > 0), tables)
+        self.count = max(1, PROBES_OF_128 * 2 * self.turn.width // 128)
         self.order, self.bounds = [], []
+        if len(ids) <= tables * self.count:
+            return
+        unit = _placed(vectors, self.spare)
         for t in range(tables):
             code = np.concatenate([codes(self.turn(t, unit[a : a + 4096])) for a in range(0, len(unit), 4096)])
             order = np.argsort(code, kind="stable")
             self.order.append(order)
             self.bounds.append(np.searchsorted(code[order], np.arange(2 * self.turn.width + 1)))
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, spare: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, scores) of each query's best ``k`` among the rows its probes collect."""
-        unit = queries / np.linalg.norm(queries, axis=1)[:, None]
-        count = max(1, PROBES_OF_128 * 2 * self.turn.width // 128)
-        wanted = [probes(self.turn(t, unit), count) for t in range(len(self.order))]
-        for i, q in enumerate(queries):
-            hit = np.zeros(len(self.ids), bool)
+    def candidates(self, own: int, wanted: list[np.ndarray], k: int) -> np.ndarray:
+        """Rows in the probed buckets; further axes are probed in order until there are ``k`` rows or all."""
+        rest = self.ids != own
+        if not self.order:
+            return np.flatnonzero(rest)
+        hit = np.zeros(len(self.ids), bool)
+        done, upto = 0, self.count
+        while done < 2 * self.turn.width:
             for order, bounds, w in zip(self.order, self.bounds, wanted, strict=True):
-                for code in w[i]:
+                for code in w[done:upto]:
                     hit[order[bounds[code] : bounds[code + 1]]] = True
-            rows = np.flatnonzero(hit)
-            rows = rows[self.ids[rows] != ids[i]]
-            if len(rows) > 2 * k:
-                rough = self.vectors[rows] @ q
-                floor = np.partition(rough, len(rows) - k)[len(rows) - k]
-                rows = rows[rough >= floor - 1e-9 * max(1.0, abs(floor))]
-            score = np.zeros(len(rows))
-            for j in range(len(q)):  # one order of summation, so equal vectors have equal scores
-                score += self.vectors[rows, j].astype(float) * q[j]
-            best = np.lexsort((self.ids[rows], -score))[:k]
-            yield self.ids[rows[best]], score[best]
+            if np.count_nonzero(hit & rest) >= k:
+                break
+            done, upto = upto, upto + 1
+        return np.flatnonzero(hit & rest)
+
+
+class BlockIndex:
+    """One block of vectors in bands of similar norm, longest first, each with its own tables."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, tables: int = TABLES) -> None:
+        size = np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=float))
+        order = np.argsort(-size, kind="stable")
+        falling, self.bands, at = -size[order], [], 0
+        while at < len(order):
+            end = int(np.searchsorted(falling, falling[at] / BAND, side="right"))
+            rows = order[at:end]
+            self.bands.append(Band(ids[rows], vectors[rows], size[rows], tables))
+            at = end
+
+    def search(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of each query's best ``k`` among the rows its probes collect.
+
+        Every band yields ``k`` rows or all it has, so the block does; a band that not even its
+        greatest norm could bring among the best so far is left out.
+        """
+        lengths = np.linalg.norm(queries, axis=1)
+        unit = queries / lengths[:, None]
+        wanted: dict[int, list[np.ndarray]] = {}
+        for band in self.bands:
+            if band.order and band.turn.width not in wanted:
+                turn = band.turn
+                wanted[turn.width] = [probes(turn(t, unit), 2 * turn.width) for t in range(len(band.order))]
+        for i, q in enumerate(queries):
+            near, score = np.empty(0, np.int64), np.empty(0)
+            for band in self.bands:
+                if len(near) == k and band.most * lengths[i] * (1 + 1e-9) < score[-1]:
+                    break
+                asked = [w[i] for w in wanted[band.turn.width]] if band.order else []
+                rows = band.candidates(ids[i], asked, k)
+                if len(rows) > 2 * k:
+                    rough = band.vectors[rows] @ q
+                    floor = np.partition(rough, len(rows) - k)[len(rows) - k]
+                    rows = rows[rough >= floor - 1e-9 * max(1.0, abs(floor))]
+                own = np.zeros(len(rows))
+                for j in range(len(q)):  # one order of summation, so equal vectors have equal scores
+                    own += band.vectors[rows, j].astype(float) * q[j]
+                near, score = np.concatenate((near, band.ids[rows])), np.concatenate((score, own))
+                best = np.lexsort((near, -score))[:k]
+                near, score = near[best], score[best]
+            yield near, score
 
 
 def _placed(vectors: np.ndarray, spare: float) -> np.ndarray:
@@ -120,15 +169,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows found for each query, by inner product.
 
     Every usable row is indexed. Rows are dealt at random over blocks of bounded size, each with its
-    own tables; the stated queries go to all blocks, and each block returns its best ``k``. Rows
+    own tables; the stated queries go to all blocks, and each block returns its best ``k``, fewer
+    only if it has fewer, so a query gets fewer than ``k`` rows only where fewer exist. Rows
     with the query's vec_id are its own. Null, zero, null-holding and non-finite vectors and null
     ids take no part; vectors of different length are not compared. Ties go to the smaller vec_id;
     an id with several vectors asks with each of them, and equal rows ask once.
     """
     rows = usable(vectors)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    n, least, most = rows.agg(F.count("*"), F.min(norm), F.max(norm)).first()
-    spare = 0.0 if not n or most - least <= 1e-6 * most else float(most)
+    n = rows.count()
     blocks = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS))
     asked = usable(queries).distinct()
     dealt = rows.withColumns({"block": F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)), "asks": F.lit(False)})
@@ -144,11 +192,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         every, ids = flat.reshape(-1, width), found.column("vec_id").to_numpy()
         out: dict[str, list] = {"query_id": [], "probe": [], "vec_id": [], "score": []}
         if not asks.all() and asks.any():
-            index = BlockIndex(ids[~asks], every[~asks], spare)
+            index = BlockIndex(ids[~asks], every[~asks])
             q_ids, q = ids[asks], every[asks].astype(float)
             for a in range(0, len(q), QUERY_SLICE):
                 part = slice(a, a + QUERY_SLICE)
-                for i, vec, (near, score) in zip(q_ids[part], q[part], index.search(q_ids[part], q[part], spare, k), strict=True):
+                for i, vec, (near, score) in zip(q_ids[part], q[part], index.search(q_ids[part], q[part], k), strict=True):
                     out["query_id"].append(np.full(len(near), i))
                     out["probe"].append(np.full(len(near), _mark(vec)))
                     out["vec_id"].append(near)

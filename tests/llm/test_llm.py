@@ -239,6 +239,28 @@ def test_neighbours(spark):
     assert neighbours.search(table.limit(0), table.limit(0)).count() == 0
 
 
+def norms_of(kind, n, rng):
+    return {"mixed": np.exp(rng.normal(size=n)), "outlier": np.where(np.arange(n) == 1, 100.0, 1.0), "unit": np.ones(n)}[kind]
+
+
+@pytest.mark.parametrize("kind", ["mixed", "outlier", "unit"])
+@pytest.mark.parametrize("n", [15, 300, 6000])
+def test_neighbours_are_whole_at_any_norms(kind, n):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(n, 64))
+    x *= (norms_of(kind, n, rng) / np.linalg.norm(x, axis=1))[:, None]
+    asked = np.arange(min(n, 100))
+    hit = want = 0
+    for q, (near, score) in zip(asked, neighbours.BlockIndex(np.arange(n), x).search(asked, x[asked], 20), strict=True):
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = np.argsort(-s)[: min(20, n - 1)]
+        assert len(set(near)) == len(best) and q not in near
+        assert np.allclose(score, s[near])
+        hit, want = hit + len(set(near) & set(best)), want + len(best)
+    assert hit >= 0.9 * want, hit / want
+
+
 def brute_groups(rows, size):
     def shingles(t):
         w = (t or "").encode().lower().split()
