@@ -165,11 +165,51 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(finite & F.exists(v, lambda x: x != 0)).select("vec_id", v.alias("v"), F.size(v).alias("dim"))
 
 
+def _vectors_of(part: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    flat = part.column("v")
+    flat = (flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat).flatten()
+    return part.column("vec_id").to_numpy(), flat.to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+
+
+def near_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """One block's results: its rows come first and are indexed; the queries then pass a batch at a time."""
+    held: list[pa.RecordBatch] = []
+    index, late = None, False
+    for batch in batches:
+        asks = np.asarray(batch.column("asks"))
+        first = int(np.argmax(asks)) if asks.any() else len(asks)
+        if not asks[first:].all() or (late and first):
+            raise RuntimeError("a block's rows must come before its queries")
+        if first:
+            held.append(batch.slice(0, first))
+        if first == len(asks):
+            continue
+        late = True
+        if held:
+            index = BlockIndex(*_vectors_of(pa.Table.from_batches(held)))
+            held = []
+        if index is None:
+            continue
+        q_ids, q = _vectors_of(batch.slice(first))
+        for a in range(0, len(q), QUERY_SLICE):
+            part = q_ids[a : a + QUERY_SLICE], q[a : a + QUERY_SLICE].astype(float)
+            found = list(index.search(*part, k))
+            each = [len(near) for near, _ in found]
+            columns = {
+                "query_id": np.repeat(part[0], each),
+                "probe": np.repeat(np.array([_mark(vec) for vec in part[1]], np.int64), each),
+                "vec_id": np.concatenate([near for near, _ in found]),
+                "score": np.concatenate([score for _, score in found]),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows found for each query, by inner product.
 
     Every usable row is indexed. Rows are dealt at random over blocks of bounded size, each with its
-    own tables; the stated queries go to all blocks, and each block returns its best ``k``, fewer
+    own tables; the stated queries go to all blocks, where they pass in batches, so that a task holds
+    one block and one batch of them. Each block returns its best ``k``, fewer
     only if it has fewer, so a query gets fewer than ``k`` rows only where fewer exist. Rows
     with the query's vec_id are its own. Null, zero, null-holding and non-finite vectors and null
     ids take no part; vectors of different length are not compared. Ties go to the smaller vec_id;
@@ -185,26 +225,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     single = both.withColumn("v", F.col("v").cast("array<float>")) if _is_single(vectors) else both
     ship(vectors.sparkSession)
 
-    def block(found: pa.Table) -> pa.Table:
-        asks = found.column("asks").to_numpy()
-        width = found.column("dim")[0].as_py()
-        flat = found.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        every, ids = flat.reshape(-1, width), found.column("vec_id").to_numpy()
-        out: dict[str, list] = {"query_id": [], "probe": [], "vec_id": [], "score": []}
-        if not asks.all() and asks.any():
-            index = BlockIndex(ids[~asks], every[~asks])
-            q_ids, q = ids[asks], every[asks].astype(float)
-            for a in range(0, len(q), QUERY_SLICE):
-                part = slice(a, a + QUERY_SLICE)
-                for i, vec, (near, score) in zip(q_ids[part], q[part], index.search(q_ids[part], q[part], k), strict=True):
-                    out["query_id"].append(np.full(len(near), i))
-                    out["probe"].append(np.full(len(near), _mark(vec)))
-                    out["vec_id"].append(near)
-                    out["score"].append(score)
-        kinds = {"query_id": "i8", "probe": "i8", "vec_id": "i8", "score": "f8"}
-        return pa.table({c: np.concatenate(v).astype(kinds[c]) if v else np.empty(0, kinds[c]) for c, v in out.items()})
-
-    near = single.groupBy("block", "dim").applyInArrow(block, "query_id long, probe long, vec_id long, score double")
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return near_rows(batches, k)
+
+    # Rows before queries: the group's order is that of its sorted partition.
+    placed = single.repartition("block", "dim").sortWithinPartitions("block", "dim", "asks")
+    near = placed.groupBy("block", "dim").applyInArrow(block, "query_id long, probe long, vec_id long, score double")
     order = Window.partitionBy("query_id", "probe").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -11,6 +11,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as tokens
 import pytest
 
@@ -261,6 +262,25 @@ def test_neighbours_are_whole_at_any_norms(kind, n):
     assert hit >= 0.9 * want, hit / want
 
 
+def test_neighbours_take_queries_a_batch_at_a_time():
+    x = np.random.default_rng(4).normal(size=(900, 8))
+    pulled = []
+
+    def batches():
+        for asks, at in [(False, 0), (False, 450)] + [(True, a) for a in range(0, 900, 100)]:
+            ids = np.arange(at, at + (100 if asks else 450))
+            pulled.append(asks)
+            yield pa.RecordBatch.from_pydict({"asks": [asks] * len(ids), "vec_id": ids, "v": list(x[ids])})
+
+    got = Counter()
+    for part in neighbours.near_rows(batches(), 5):
+        got.update(part.column("query_id").to_pylist())
+        assert len(got) > 100 * (sum(pulled) - 1)  # earlier queries are answered before the next come
+    assert got == Counter({i: 5 for i in range(900)})
+    with pytest.raises(RuntimeError):
+        list(neighbours.near_rows(reversed(list(batches())), 5))
+
+
 def brute_groups(rows, size):
     def shingles(t):
         w = (t or "").encode().lower().split()
