@@ -10,11 +10,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, map_slices, table
+from shelfwise.llm.common import drop_work_table, map_slices, table, work_table
 from shelfwise.llm.html_tree import INLINE, RAW, Element, clean, parse
 
-#: Pages that the trees are fitted on (smallest key hashes first).
+#: Pages that the trees are fitted on (of those that mark their article the smallest key hashes).
 SAMPLE_PAGES = 300
+#: Pages with a mark that are parsed first to find them; the range of hashes then widens by WIDEN.
+LOOK_PAGES = 1200
+WIDEN = 16
 ROUNDS = 30
 DEPTH = 3
 RATE = 0.3
@@ -248,14 +251,26 @@ def _teacher(found: list[Node], article: set[int]) -> np.ndarray:
     return state
 
 
+def articles(found: list[Node]) -> list[Element]:
+    """The article and main elements; of nested ones only the outermost."""
+    inside, out = [False] * len(found), []
+    for i, n in enumerate(found):
+        mark = n.element.tag in ("article", "main")
+        above = n.parent >= 0 and inside[n.parent]
+        inside[i] = mark or above
+        if mark and not above:
+            out.append(n.element)
+    return out
+
+
 def _variant(root: Element, rng: random.Random) -> tuple[Element, set[int]]:
     """The page in another usual template: other tags and class names around the same texts, and
     the parts that the given pages lack (side columns, notices, forms, reader comments) filled with
     texts of the page, so that the trees do not hang on one template's marks."""
-    articles = [n.element for n in nodes(root) if n.element.tag in ("article", "main")]
-    if len(articles) != 1:
-        return root, {id(a) for a in articles}
-    article = articles[0]
+    marked = articles(nodes(root))
+    if len(marked) != 1:
+        return root, {id(a) for a in marked}
+    article = marked[0]
     texts = [clean(x) for n in nodes(article) for x in n.element.items if isinstance(x, str) and len(x) > 20] or ["text"]
 
     def piece() -> str:
@@ -296,21 +311,47 @@ def _variant(root: Element, rng: random.Random) -> tuple[Element, set[int]]:
     return root, {id(article)}
 
 
+def labelled(pages: DataFrame, sample: int) -> list[str]:
+    """The html of at most ``sample`` pages that mark exactly one article, those with the smallest key hashes.
+
+    Only pages with such a tag are parsed, in growing ranges of the hash until one holds enough of
+    them or the range is all, so the pages are the same as if all were parsed. Equal pages count once.
+    """
+    most = (1 << 63) - 1
+    key = F.shiftrightunsigned(F.xxhash64("page_id", "html"), 1)
+    known = pages.where("html is not null").where(F.col("html").rlike("(?i)<(article|main)")).select(key.alias("key"), "html")
+    n = known.count()
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        one = [len(articles(nodes(parse(h)))) == 1 for h in cols["html"]]
+        return {"key": [k for k, o in zip(cols["key"], one, strict=True) if o]}
+
+    look = max(LOOK_PAGES, 4 * sample)
+    while n:
+        limit = most if look >= n else most // n * look
+        marked = work_table(map_slices(known.where(F.col("key") <= limit), run, "key long", rows=64).distinct())
+        chosen = [r["key"] for r in marked.orderBy("key").limit(sample).collect()]
+        drop_work_table(marked)
+        if chosen and (limit == most or len(chosen) == sample):
+            return [r["html"] for r in known.where(F.col("key").isin(chosen)).dropDuplicates(["key"]).collect()]
+        if limit == most:
+            break
+        look *= WIDEN
+    return []
+
+
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> BoostedTrees | None:
     """Trees fitted on a bounded sample of pages that mark their article, each also in other templates.
 
-    Pages without exactly one article or main element teach nothing; without any, None.
+    Pages without exactly one article or main element (of nested ones the outermost) teach nothing
+    and are not sampled; where no page has one, None.
     """
-    known = pages.where("html is not null").select("page_id", "html")
-    rows = sorted(bounded_sample(known, ["page_id", "html"], sample).collect(), key=lambda r: r["html"])
     xs, ys, ws = [], [], []
     rng = random.Random(7)
-    for row in rows:
+    for html in sorted(labelled(pages, sample)):
         for copy in range(4):
-            root = parse(row["html"])
-            if sum(n.element.tag in ("article", "main") for n in nodes(root)) != 1:
-                break
-            root, article = _variant(root, rng) if copy else (root, {id(n.element) for n in nodes(root) if n.element.tag in ("article", "main")})
+            root = parse(html)
+            root, article = _variant(root, rng) if copy else (root, {id(a) for a in articles(nodes(root))})
             found = nodes(root)
             xs.append(features(found))
             ys.append(_teacher(found, article))
@@ -330,10 +371,10 @@ def _plain(found: list[Node]) -> list[int]:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row; no shuffle.
+    """(page_id, url, text, n_chars) of every row; pages are not shuffled.
 
     Null and empty html give an empty text; html without markup is one block and judged as such. Repeated and null
-    ids are rows like others. Where no page marks its article, all but marked surroundings is kept.
+    ids are rows like others. Where none of all pages marks one article, all but marked surroundings is kept.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     trees = pages.sparkSession.sparkContext.broadcast(fit(pages))

@@ -208,6 +208,21 @@ def test_main_text(spark):
         assert not (up == main_text.DROP and s != main_text.DROP) and not (up == main_text.MAIN and s == main_text.WRAP)
 
 
+def test_main_text_learns_from_rare_and_nested_marks(spark, monkeypatch):
+    monkeypatch.setattr(main_text, "LOOK_PAGES", 8)
+    bare = PAGE.replace("<article>", "<div>").replace("</article>", "</div>")
+    nested = PAGE.replace("<article>", "<MAIN id=m><article>").replace("</article>", "</article></MAIN>")
+    two = PAGE.replace("</article>", "</article><article>x</article>")
+    rows = [(i, None, bare.replace("First", f"First {i}")) for i in range(400)]
+    rows += [(1000 + i, None, two.replace("First", f"First {i}")) for i in range(400)]
+    rows += [(2000 + i, None, nested) for i in (1, 2, 3)] + [(2003, None, nested), (3000, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert main_text.labelled(pages, 2) == [nested] * 2
+    assert main_text.labelled(pages, 300) == [nested] * 3
+    assert main_text.labelled(pages.where("page_id < 2000"), 2) == []
+    assert main_text.fit(pages, 2) is not None
+
+
 def test_main_text_on_held_out_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     trees = main_text.fit(pages, sample=60)
