@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, map_slices, table, work_table
+from shelfwise.llm.common import bounded_sample, broadcast_if_small, drop_work_table, map_slices, table, work_table
 
 #: (rule, verdict): a host with its subdomains, and the start of the path.
 RULES = (
@@ -20,12 +20,9 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
-#: Words of the segmentation model: the most frequent of the pages' texts.
-WORDS = 50_000
 #: Most urls with a rule's verdict that the classifier is fitted on (those with the smallest hashes).
 SAMPLE_ROWS = 20_000
 LONGEST_WORD = 24
-_MEMO = 200_000
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -69,40 +66,20 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return map_slices(pages.select("html"), run, "word string, n long", rows=5000).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, words: int) -> DataFrame:
-    """The most frequent words, at most ``words``: those above the lowest class of counts that keeps the bound."""
-    level = F.floor(F.log2("n") * 16).cast("int")
-    left, lowest = words, 0
-    for r in sorted(counts.groupBy(level.alias("k")).count().collect(), key=lambda r: -r["k"]):
-        left -= r["count"]
-        if left < 0:
-            lowest = r["k"] + 1
-            break
-    return counts.where(level >= lowest)
-
-
 class Segmenter:
     """Best split of concatenated words under a unigram model (Viterbi).
 
     An unknown piece of k characters has probability 1 / (total * 10**k), so known words win where
-    they fit. Of equally good splits the one with the longest last word is taken.
+    they fit. Of equally good splits the one with the longest last word is taken. ``counts`` may hold
+    only the words within the texts to split, if ``total`` is that of all words and one.
     """
 
-    def __init__(self, counts: dict[str, int]) -> None:
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None) -> None:
+        total = total or sum(counts.values()) + 1
         self.log = {w: math.log(n / total) for w, n in counts.items() if len(w) <= LONGEST_WORD}
         self.unknown = -math.log(total)
-        self.memo: dict[str, tuple[str, ...]] = {}
 
     def split(self, name: str) -> tuple[str, ...]:
-        found = self.memo.get(name)
-        if found is None:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            found = self.memo[name] = self._best(name)
-        return found
-
-    def _best(self, name: str) -> tuple[str, ...]:
         best, back, log = [0.0], [0], self.log
         for end in range(1, len(name) + 1):
             top, where = -math.inf, 0
@@ -119,16 +96,25 @@ class Segmenter:
             end = back[end]
         return tuple(reversed(out))
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host (h:) and of the path (p:); a number counts by its digits and its first digit."""
-        out = []
-        for place, text in (("h:", host), ("p:", path.lower())):
-            for t in _TOKEN.findall(text):
-                if t.isdigit():
-                    out += [f"{place}#{len(t)}", f"{place}#{t[0]}x{len(t)}"]
-                else:
-                    out += [place + w for w in self.split(t)]
-        return out
+
+_PLACES = ("h:", "p:")
+
+
+def numbers(host: str, path: str) -> list[str]:
+    """Tokens of the numbers in the host (h:) and the path (p:): the digits' count, and with it the first digit."""
+    found = [(place, t) for place, text in zip(_PLACES, (host, path.lower()), strict=True) for t in _TOKEN.findall(text)]
+    return [x for place, t in found if t.isdigit() for x in (f"{place}#{len(t)}", f"{place}#{t[0]}x{len(t)}")]
+
+
+def names(host: str, path: str) -> list[tuple[str, str]]:
+    """(place, letters) of each piece to be split into words."""
+    pieces = zip(_PLACES, (host, path.lower()), strict=True)
+    return [(place, t) for place, text in pieces for t in _TOKEN.findall(text) if not t.isdigit()]
+
+
+def tokens(host: str, path: str, split: Callable[[str], Iterable[str]]) -> list[str]:
+    """Words of the host (h:) and of the path (p:), and those of the numbers."""
+    return numbers(host, path) + [place + w for place, name in names(host, path) for w in split(name)]
 
 
 class NaiveBayes:
@@ -144,42 +130,99 @@ class NaiveBayes:
             t: math.log((seen[True][t] + 1) / size[True]) - math.log((seen[False][t] + 1) / size[False]) for t in vocabulary
         }
 
-    def score(self, tokens: list[str]) -> float:
-        return self.prior + math.fsum(self.weight.get(t, 0.0) for t in tokens)
+    def score(self, tokens: list[str], weights: Iterable[float] = ()) -> float:
+        """Log odds by the tokens and by the weights of tokens looked up before; their order changes nothing."""
+        return self.prior + math.fsum([*(self.weight.get(t, 0.0) for t in tokens), *weights])
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """(row, place, name) of each piece of each url."""
 
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        out = [(r, *n) for r, h, p in zip(cols["row"], cols["host"], cols["path"], strict=True) for n in names(h, p)]
+        return {c: [x[i] for x in out] for i, c in enumerate(("row", "place", "name"))}
+
+    return map_slices(rows.select("row", "host", "path"), run, "row long, place string, name string", rows=2000)
+
+
+def segments(counts: DataFrame, each: DataFrame) -> DataFrame:
+    """(name, words): the best split of each different name, by the counts of all words.
+
+    A name meets only the counts of the words within it, by a join, so no task holds the vocabulary.
+    """
+    total = (counts.agg(F.sum("n")).first()[0] or 0) + 1
+    different = work_table(each.select("name").distinct())
+
+    def within(cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"name": [], "word": []}
+        for name in cols["name"]:
+            found = {name[a:b] for a in range(len(name)) for b in range(a + 1, min(len(name), a + LONGEST_WORD) + 1)}
+            out["name"] += [name] * len(found)
+            out["word"] += found
+        return out
+
+    def best(cols: dict[str, list]) -> dict[str, list]:
+        known = [{r["word"]: r["n"] for r in k or ()} for k in cols["known"]]
+        return {"name": cols["name"], "words": [Segmenter(k, total).split(t) for t, k in zip(cols["name"], known, strict=True)]}
+
+    short = counts.where(F.length("word") <= LONGEST_WORD)
+    met = map_slices(different, within, "name string, word string").join(broadcast_if_small(short, 64), "word")
+    known = met.groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    return work_table(map_slices(different.join(known, "name", "left"), best, "name string, words array<string>"))
 
-def fit(pages: DataFrame, ruled: DataFrame, words: int = WORDS, sample_rows: int = SAMPLE_ROWS) -> tuple[Segmenter, NaiveBayes]:
-    """The two models: word counts over all pages, the classifier on urls that a rule decides."""
-    segmenter = Segmenter({r["word"]: r["n"] for r in frequent(work_table(word_counts(pages)), words).collect()})
-    decided = ruled.where("decided is not null").select("host", "path", "decided")
-    known = bounded_sample(decided, ["host", "path"], sample_rows).collect()
-    return segmenter, NaiveBayes([(segmenter.tokens(r["host"], r["path"]), r["decided"] == "block") for r in known])
+
+def fit(split: DataFrame, rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> NaiveBayes:
+    """The classifier, on urls that a rule decides."""
+    decided = rows.where("decided is not null").select("row", "host", "path", "decided")
+    known = work_table(bounded_sample(decided, ["host", "path"], sample_rows))
+    needed = split.join(named(known).select("name").distinct(), "name")
+    words = {r["name"]: r["words"] for r in needed.collect()}
+    return NaiveBayes([(tokens(r["host"], r["path"], words.__getitem__), r["decided"] == "block") for r in known.collect()])
 
 
 def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every row; no shuffle of pages.
+    """(page_id, host, path, rule, verdict, score) of every row; html is read once and not shuffled.
 
     A rule's verdict stands; otherwise the classifier decides, allow at a score of 0 or less, and
     ``score`` is its log odds for block. Null and malformed urls have empty parts, no tokens and so
     the prior's verdict. Without any url that a rule decides the prior is even and all are allowed.
     """
     host, path = parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    ruled = rows.withColumns({"rule": rule, "decided": verdict})
+    plain = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = work_table(plain.withColumns({"rule": rule, "decided": verdict, "row": F.monotonically_increasing_id()}))
     kind = rows.schema["page_id"].dataType.simpleString()
-    models = pages.sparkSession.sparkContext.broadcast(fit(pages, ruled))
+    each = named(rows)
+    counts = work_table(word_counts(pages))
+    split = segments(counts, each)
+    drop_work_table(counts)
+    model = pages.sparkSession.sparkContext.broadcast(fit(split, rows))
+
+    def weigh(cols: dict[str, list]) -> dict[str, list]:
+        known = model.value.weight
+        out: dict[str, list] = {"place": [], "name": [], "weights": []}
+        for name, words in zip(cols["name"], cols["words"], strict=True):
+            for place in _PLACES:
+                if found := [known[place + w] for w in words if place + w in known]:
+                    for c, v in zip(out, (place, name, found), strict=True):
+                        out[c].append(v)
+        return out
+
+    weights = work_table(map_slices(split, weigh, "place string, name string, weights array<double>"))
+    met = each.join(broadcast_if_small(weights, 128), ["place", "name"])
+    per_row = met.groupBy("row").agg(F.flatten(F.collect_list("weights")).alias("weights"))
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        segmenter, bayes = models.value
+        bayes = model.value
         out = {c: cols[c] for c in ("page_id", "host", "path", "rule")} | {"verdict": [], "score": []}
-        for h, p, decided in zip(cols["host"], cols["path"], cols["decided"], strict=True):
-            score = bayes.score(segmenter.tokens(h, p))
+        for h, p, decided, found in zip(cols["host"], cols["path"], cols["decided"], cols["weights"], strict=True):
+            score = bayes.score(numbers(h, p), found or ())
             out["score"].append(score)
             out["verdict"].append(decided or ("block" if score > 0 else "allow"))
         return out
 
-    return map_slices(ruled, run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")
+    scored = rows.join(per_row, "row", "left").drop("row")
+    return map_slices(scored, run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +93,16 @@ def test_url_parts_rules_and_segments(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_rare_words_of_a_large_vocabulary_split_urls(spark):
+    rare = ["z" + "".join(x) for x in product("bcdfghjklm", repeat=5)][:60_000]
+    html = [" ".join(rare[a : a + 1000]) + " news shop" * 90 for a in range(0, len(rare), 1000)] + ["newsqqqqshop"]
+    urls = ["http://a.com/de/newsqqqqshop", "http://x.net/news", "http://x.net/newsqqqqshop", "http://x.net/", "http://b.org/"]
+    rows = [(i, urls[i] if i < len(urls) else None, h) for i, h in enumerate(html)]
+    got = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert got[1]["score"] == got[3]["score"] < got[2]["score"]
+
+
 def pages_of(spark):
     return spark.createDataFrame(
         [(1, "http://a", "x"), (2, "http://b\r\nX: y", "x"), (3, None, "x"), (4, "u", None), (5, "u", "é WARC/1.1\r\n\r\n"), (5, "u", "twin"), (5, "u", "twin")],
