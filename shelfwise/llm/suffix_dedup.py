@@ -240,15 +240,32 @@ def _without(data: bytes, spans: list[dict[str, int]] | None) -> tuple[bytes, in
     return b"".join(out), n
 
 
-def cut_repeats(docs: DataFrame, spans: DataFrame, keep: dict[str, str]) -> DataFrame:
-    """``keep`` columns (new name: old name) of each row with kept (binary), n_bytes, n_removed, n_spans."""
+def _whole_characters(data: bytes, spans: list[dict[str, int]] | None) -> list[dict[str, int]]:
+    """The spans widened to the edges of the UTF-8 characters that they cut."""
+    out = []
+    for s in spans or ():
+        a, b = s["a"], s["b"]
+        while a > 0 and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        out.append({"a": a, "b": b})
+    return out
+
+
+def cut_repeats(docs: DataFrame, spans: DataFrame, keep: dict[str, str], whole: bool = False) -> DataFrame:
+    """``keep`` columns (new name: old name) of each row with kept (binary), n_bytes, n_removed, n_spans.
+
+    With ``whole`` a character of which a part repeats goes as a whole, so kept is valid UTF-8.
+    """
     rows = _keyed(docs, *[F.col(old).alias(new) for new, old in keep.items()])
     met = rows.join(spans, ["k1", "k2"], "left").drop("k1", "k2")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         data = [t.encode("utf-8") for t in cols["text"]]
-        left = [_without(d, s) for d, s in zip(data, cols["spans"], strict=True)]
+        spans_ = [_whole_characters(d, s) if whole else s for d, s in zip(data, cols["spans"], strict=True)]
+        left = [_without(d, s) for d, s in zip(data, spans_, strict=True)]
         return {c: cols[c] for c in keep} | {
             "kept": [k for k, _ in left],
             "n_bytes": [len(d) for d in data],
@@ -266,10 +283,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     counts what is left. A null text becomes empty; no row goes.
     """
     keep = {f"__c{i}": c for i, c in enumerate(docs.columns) if c != "text"}
-    out = cut_repeats(docs, repeated_spans(docs), keep)
-    text = F.expr("try_validate_utf8(cast(kept as string))")
-    whole = F.when(F.col("n_removed") == 0, text).otherwise(_valid_characters("kept"))
-    out = out.withColumn("__text", F.coalesce(whole, _valid_characters("kept")))
+    out = cut_repeats(docs, repeated_spans(docs), keep, whole=True)
+    out = out.withColumn("__text", F.expr("validate_utf8(cast(kept as string))"))
     names = {old: F.col(new) for new, old in keep.items()}
     names["text"] = F.col("__text")
     if "n_chars" in docs.columns:
@@ -277,11 +292,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return out.select(*[names[c].alias(c) for c in docs.columns])
 
 
-def _valid_characters(column: str) -> Column:
-    """Bytes as text without broken characters (a replacement character stands for each and is dropped)."""
-    return F.replace(F.make_valid_utf8(F.col(column).cast("string")), F.lit("�"), F.lit(""))
-
-
 def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document loses, and the digest of what it keeps."""
     docs = table(spark, sf_dir, "documents")

@@ -181,6 +181,16 @@ def test_suffix_dedup_stage_keeps_rows_and_columns(docs, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_stage_keeps_replacement_characters(spark):
+    shared = "\u00a9" + "shared passage " * 20 + "\u00e9"  # c2 a9 ... c3 a9
+    rows = [(1, "a\ufffdb \u00e9" + shared[1:] + " end\ufffd"), (2, "c\ufffd \u00e9" + shared[1:-1] + "\u00c9 \ufffdz")]
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].count("\ufffd") for i in (1, 2)] == [2, 2]
+    assert "shared" not in got[1] + got[2]
+    data = "x\u00e9y\u00e9z".encode()
+    assert suffix_dedup._without(data, suffix_dedup._whole_characters(data, [{"a": 2, "b": 5}]))[0] == b"xz"
+
+
 def test_merged_classes_against_brute_force():
     import random
 
