@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
     bpe,
+    fill_middle,
+    hard_negatives,
     main_text,
     near_dup,
     neighbours,
@@ -15,6 +17,7 @@ from shelfwise.llm import (
     quality_rules,
     suffix_dedup,
     token_counts,
+    toxic_spans,
     url_filter,
     warc,
 )
@@ -30,9 +33,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_counts": token_counts.op8_trie_counts,
     "op9_concat_cut": packing.op9_concat_cut,
     "op10_decision_list": quality_rules.op10_decision_list,
+    "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_crf_toxicity": toxic_spans.op12_crf_toxicity,
+    "op13_threshold_negatives": hard_negatives.op13_threshold_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_fill_middle": fill_middle.ORACLE,
+    "op13_threshold_negatives": hard_negatives.ORACLE,
     "op3_warc": """
         with p as (
             select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
