@@ -12,12 +12,15 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterator
+from itertools import groupby, islice
 from typing import NamedTuple
 
-from pyspark import RDD
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from shelfwise.llm.common import ship, table
 
@@ -88,66 +91,91 @@ def parts(form: str, stream: Iterator[str]) -> Iterator[tuple[int, str]]:
         yield part, held
 
 
-def assembled(docs: DataFrame, length: int = PIECE, partitions: int | None = None) -> RDD:
-    """((document key, place in the output), (head, piece)) sorted by key within partitions.
+KEY = "home int, split int, at long, place int"
+DESCRIBED = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
+
+
+def assembled(docs: DataFrame, length: int = PIECE, partitions: int | None = None) -> DataFrame:
+    """Pieces (KEY, DESCRIBED, piece) sorted by document and place in the output within partitions.
 
-    ``head`` is (doc_id, plan) on a document's first piece, else None. A document's key is made of
-    its id and of the row's place in the input, so repeated rows and null ids stay apart. Its
-    partition follows from the id and the number of the input partition: it is the same when a lost
-    task runs again, and rows that share an id are spread as the input is.
+    A document's key is made of its id and of the row's place in the input, so repeated rows and null
+    ids stay apart. Its partition follows from the id and the number of the input partition: it is
+    the same when a lost task runs again, and rows that share an id are spread as the input is. The
+    description is on a document's first piece only. (``repartition`` and ``sortWithinPartitions``
+    are the DataFrame form of repartitionAndSortWithinPartitions: pieces are sorted by Spark, which spills.)
     """
     spark = docs.sparkSession
-    ship(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def cut(split: int, rows: Iterator) -> Iterator:
-        for at, row in enumerate(rows):
-            text = row["text"] or ""
-            p = plan(row["doc_id"], text)
-            home = zlib.crc32(f"{row['doc_id']}:{split}".encode())
-            key, head = (home, split, at), (row["doc_id"], tuple(p))
-            empty = True
-            for place, piece in enumerate(pieces(text, p, length)):
-                yield (key, place), (head if empty else None, piece)
-                empty = False
-            if empty:
-                yield (key, 0), (head, "")
+    def cut(part: dict[str, list]) -> Iterator[tuple]:
+        for doc_id, text, split, at in zip(*(part[c] for c in ("doc_id", "text", "split", "at")), strict=True):
+            text = text or ""
+            p = plan(doc_id, text)
+            key, told = (zlib.crc32(f"{doc_id}:{split}".encode()) & 0x7FFFFFFF, split, at), _told(doc_id, p)
+            for place, piece in enumerate(pieces(text, p, length) if text else ("",)):
+                yield *key, place, *told, piece
+                told = (None,) * len(told)
+
+    rows = docs.select(
+        "doc_id", "text", F.spark_partition_id().alias("split"), F.monotonically_increasing_id().alias("at")
+    )
+    emitted = _stream(rows, lambda batches: (r for b in batches for r in cut(b)), f"{KEY}, {DESCRIBED}, piece string")
+    return emitted.repartition(n, "home").sortWithinPartitions("home", "split", "at", "place")
+
+
+def _told(doc_id: int | None, p: Plan) -> tuple:
+    return (doc_id, p.n, p.form, None, None) if p.form == PLAIN else (doc_id, p.n, p.form, p.first, p.second - p.first)
+
+
+#: Rows that a task gathers for Spark at once, and rows of a slice it looks at.
+OUT_ROWS, IN_ROWS = 256, 256
+
+
+def _stream(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``fn`` gets a partition's rows as column lists of at most IN_ROWS rows, in order, and yields rows."""
+    ship(df.sparkSession)
+    wanted = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(wanted)
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, IN_ROWS):
+                part = batch.slice(at, IN_ROWS)
+                yield {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
 
-    rows = docs.select("doc_id", "text").rdd.mapPartitionsWithIndex(cut)
-    return rows.repartitionAndSortWithinPartitions(n, _home)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = fn(lists(batches))
+        while held := list(islice(rows, OUT_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow)], schema=arrow)
 
+    return df.mapInArrow(run, wanted)
 
-def _home(key: tuple) -> int:
-    return key[0][0]
+
+def _documents(batches: Iterator[dict], *columns: str) -> Iterator[Iterator[tuple]]:
+    """One iterator of rows (of ``columns``, after the key) for each document of a sorted partition."""
+    rows = (r for b in batches for r in zip(*(b[c] for c in ("home", "split", "at", *columns)), strict=True))
+    for _, run in groupby(rows, lambda r: r[:3]):
+        yield run
 
 
 def outputs(docs: DataFrame, length: int = PIECE, partitions: int | None = None) -> DataFrame:
-    """The transformed texts: doc_id, n, form, prefix_chars, middle_chars, place, piece.
+    """The transformed texts: doc_id, n, form, prefix_chars, middle_chars, row, place, piece.
 
     One row for each piece of at most ``length`` code points; joined in the order of ``place`` they
     are the output of one input row (``row`` tells rows of one id apart). Plain and empty texts have
     null prefix_chars and middle_chars, an empty text one empty piece. A null text counts as empty,
     other columns are ignored, and the table may be empty.
     """
+    told = [f.name for f in T.StructType.fromDDL(DESCRIBED)]
 
-    def listed(rows: Iterator) -> Iterator:
-        for key, run in groupby(rows, lambda r: r[0][0]):
-            for (_, place), (head, piece) in run:
-                if head is not None:
-                    told = _told(*head)
-                yield *told, ":".join(map(str, key)), place, piece
-
-    schema = f"{DESCRIBED}, row string, place int, piece string"
-    rows = assembled(docs, length, partitions).mapPartitions(listed)
-    return docs.sparkSession.createDataFrame(rows, schema, verifySchema=False)
-
-
-DESCRIBED = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
-
+    def listed(batches: Iterator[dict]) -> Iterator[tuple]:
+        for run in _documents(batches, "place", *told, "piece"):
+            head = None
+            for home, split, at, place, *its, piece in run:
+                head = head or its
+                yield *head, f"{home}:{split}:{at}", place, piece
 
-def _told(doc_id: int | None, p: tuple) -> tuple:
-    n, form, first, second = p
-    return (doc_id, n, form, None, None) if form == PLAIN else (doc_id, n, form, first, second - first)
+    return _stream(assembled(docs, length, partitions), listed, f"{DESCRIBED}, row string, place int, piece string")
 
 
 def digests(docs: DataFrame, length: int = PIECE, partitions: int | None = None) -> DataFrame:
@@ -155,40 +183,41 @@ def digests(docs: DataFrame, length: int = PIECE, partitions: int | None = None)
 
     Restoration gets the form and the output pieces, nothing else. Nulls, empty texts, repeated rows
     and further columns: see ``outputs``. The longest text bounds a task's memory in the scan that
-    reads it; after that a task holds pieces, which Spark's sorter spills.
+    reads it; after that a task holds pieces.
     """
-
-    def streamed(rows: Iterator) -> Iterator:
-        """Output digests and, keyed for the second sort, the pieces of the original."""
-        for key, run in groupby(rows, lambda r: r[0][0]):
-            sha = hashlib.sha256()
-            _, (head, piece) = next(run)
-
-            def passed(first=piece, rest=run, sha=sha):
-                sha.update(first.encode())
-                yield first
-                for _, (_, piece) in rest:
+    told = [f.name for f in T.StructType.fromDDL(DESCRIBED)]
+
+    def taken(batches: Iterator[dict]) -> Iterator[tuple]:
+        """The pieces of the originals, keyed for the second sort, and at part -1 the output's digest."""
+        for run in _documents(batches, *told, "piece"):
+            sha, heads = hashlib.sha256(), []
+
+            def passed(run=run, sha=sha, heads=heads) -> Iterator[str]:
+                for *row, piece in run:
+                    if not heads:
+                        heads.append(row)
+                        yield row[3 + told.index("form")]  # asked for before the first piece
                     sha.update(piece.encode())
                     yield piece
 
-            for at, (part, text) in enumerate(parts(head[1][1], passed())):
-                yield (key, part, at), text
-            yield (key, -1, 0), (head, sha.hexdigest())
+            stream = passed()
+            form = next(stream)
+            for at, (part, text) in enumerate(parts(form, stream)):
+                yield *heads[0][:3], part, at, *(None,) * len(told), text
+            yield *heads[0][:3], -1, 0, *heads[0][3:], sha.hexdigest()
 
-    def restored(rows: Iterator) -> Iterator:
-        for _, run in groupby(rows, lambda r: r[0][0]):
-            _, (head, output) = next(run)
+    def restored(batches: Iterator[dict]) -> Iterator[tuple]:
+        for run in _documents(batches, *told, "piece"):
+            *row, output = next(run)
             sha = hashlib.sha256()
-            for _, text in run:
+            for *_, text in run:
                 sha.update(text.encode())
-            yield *_told(*head), output, sha.hexdigest()
-
-    rows = assembled(docs, length, partitions)
-    back = rows.mapPartitions(streamed, preservesPartitioning=True)
-    # same partitioner as before: only the sort within partitions runs
-    back = back.repartitionAndSortWithinPartitions(rows.getNumPartitions(), _home).mapPartitions(restored)
-    schema = f"{DESCRIBED}, output_sha256 string, restored_sha256 string"
-    return docs.sparkSession.createDataFrame(back, schema, verifySchema=False)
+            yield *row[3:], output, sha.hexdigest()
+
+    schema = f"home int, split int, at long, part int, place int, {DESCRIBED}, piece string"
+    # a document's pieces stay in their partition: this sort moves nothing between tasks
+    back = _stream(assembled(docs, length, partitions), taken, schema).sortWithinPartitions("home", "split", "at", "part", "place")
+    return _stream(back, restored, f"{DESCRIBED}, output_sha256 string, restored_sha256 string")
 
 
 def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
