@@ -1,13 +1,19 @@
-"""Per-SKU statistics over two trailing windows in one aggregate.
+"""Per-SKU statistics over two trailing windows, in one aggregate or carried forward.
 
-One scan of the longer window and one shuffle (map-side partial sums, one
-row per SKU and map task crosses the network); the shorter window's sums are
-conditional.  Used lazily by the analyses, and written once per load as a
-SKU-grain table next to the fact.
+``window_stats``: one scan of the longer window and one shuffle (map-side partial sums, one
+row per SKU and map task crosses the network); the shorter window's sums are conditional. Used lazily
+by the analyses, and written once per load as a SKU-grain table next to the fact.
+
+All columns are counts and sums, so they can be carried from one latest date to another: ``slide``
+adds the rows that enter the windows and takes away the days that leave them.
 """
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,31 +23,76 @@ from ..functions.expr import count_if, net
 SKU = list(schemas.SKU)
 SALES_COLS = ["n", "s1", "s2", "s_level", "s_price", "s_net_units", "s_net_level"]
 ABC_COLS = ["abc_n", "abc_rev", "abc_units", "abc_net_price", "abc_level"]
+# the sums that need no window of their own, by the column that counts their rows
+COUNTED_BY = {**dict.fromkeys(SALES_COLS[1:], "n"), **dict.fromkeys(ABC_COLS[1:], "abc_n")}
+
+
+def measures() -> dict[str, Column]:
+    """What each summed column adds up, per fact row."""
+    u, lvl = F.col("units_sold").cast("bigint"), F.col("inventory_level").cast("bigint")
+    return {
+        "s1": u,
+        "s2": u * u,
+        "s_level": lvl,
+        "s_price": F.col("price"),
+        "s_net_units": net("units_sold"),
+        "s_net_level": net("inventory_level"),
+        "abc_rev": net("units_sold"),
+        "abc_units": u,
+        "abc_net_price": net(F.lit(1)),
+        "abc_level": lvl,
+    }
+
+
+def conditional_sums(rows: DataFrame, in_sales: Column, in_abc: Column) -> DataFrame:
+    """Counts and sums per SKU, each over the rows inside its window."""
+    inside = {"n": in_sales, "abc_n": in_abc}
+    sums = {name: F.sum(F.when(inside[COUNTED_BY[name]], x)) for name, x in measures().items()}
+    columns = {"n": count_if(in_sales), "abc_n": count_if(in_abc)} | sums
+    return rows.groupBy(*SKU).agg(*[columns[c].alias(c) for c in (*SALES_COLS, *ABC_COLS)])
 
 
 def window_stats(rows: DataFrame, latest: Column, sales_days: int, abc_days: int) -> DataFrame:
     """``rows`` must already be restricted to the longer trailing window."""
     in_sales = F.col("date") >= F.date_sub(latest, sales_days)
     in_abc = F.col("date") >= F.date_sub(latest, abc_days)
-    u, lvl = F.col("units_sold").cast("bigint"), F.col("inventory_level").cast("bigint")
+    return conditional_sums(rows, in_sales, in_abc)
+
+
+def added(parts: Sequence[tuple[DataFrame, int]], like: DataFrame) -> DataFrame:
+    """Signed sum of several statistics tables, as one aggregate of them all would have it.
+
+    A SKU without rows in a window has null sums there, and one without rows in either no row.
+    ``like`` gives the column types (sums of decimals widen with each aggregate).
+    """
+    columns = [*SALES_COLS, *ABC_COLS]
+    kinds = {f.name: f.dataType for f in like.schema.fields}
+    signed = [
+        t.select(*SKU, *[(F.col(c) if sign > 0 else -F.col(c)).cast(kinds[c]).alias(c) for c in columns]) for t, sign in parts
+    ]
+    rows = reduce(DataFrame.unionByName, signed)
+    total = rows.groupBy(*SKU).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in columns])
+    shown = [F.when(F.col(COUNTED_BY[c]) > 0, F.col(c)).alias(c) if c in COUNTED_BY else F.col(c) for c in columns]
+    return total.filter((F.col("n") > 0) | (F.col("abc_n") > 0)).select(*SKU, *shown)
+
+
+def slide(
+    stats: DataFrame, between: Callable[[Column, Column], DataFrame], entering: DataFrame,
+    before: datetime.date, after: datetime.date, windows: tuple[int, int],
+) -> DataFrame:
+    """``stats`` of the windows that end with ``before``, moved to ``after`` with the rows ``entering`` the fact.
 
-    def s(x):
-        return F.sum(F.when(in_sales, x))
-
-    def a(x):
-        return F.sum(F.when(in_abc, x))
-
-    return rows.groupBy(*SKU).agg(
-        count_if(in_sales).alias("n"),
-        s(u).alias("s1"),
-        s(u * u).alias("s2"),
-        s(lvl).alias("s_level"),
-        s(F.col("price")).alias("s_price"),
-        s(net("units_sold")).alias("s_net_units"),
-        s(net("inventory_level")).alias("s_net_level"),
-        count_if(in_abc).alias("abc_n"),
-        a(net("units_sold")).alias("abc_rev"),
-        a(u).alias("abc_units"),
-        a(net(F.lit(1))).alias("abc_net_price"),
-        a(lvl).alias("abc_level"),
-    )
+    ``between(start, end)`` reads the fact as it was. Of it only the days are read that leave a
+    window: none when the latest date stays, one day per window when it moves by one.
+    """
+    sales_days, abc_days = windows
+    longest = entering.filter(F.col("date") >= F.date_sub(F.lit(after), max(windows)))
+    parts = [(stats, 1), (window_stats(longest, F.lit(after), sales_days, abc_days), 1)]
+    moved = (after - before).days
+    never, always = F.lit(False), F.lit(True)
+    if moved > 0:
+        for days, flags in ((sales_days, (always, never)), (abc_days, (never, always))):
+            start = before - datetime.timedelta(days=days)
+            end = min(before, start + datetime.timedelta(days=moved - 1))
+            parts.append((conditional_sums(between(F.lit(start), F.lit(end)), *flags), -1))
+    return added(parts, stats)

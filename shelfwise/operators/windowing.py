@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,10 +73,31 @@ def cut_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column], **t
     return keyed.join(cuts, [*group, "_class"]).withColumn("_part", part).drop("_cuts", "_class")
 
 
+def range_parts(df: DataFrame, group: Sequence[str], order: Sequence[Column], path: str, **totals: Column) -> DataFrame:
+    """As ``cut_groups``, for rows that are written once: the parts are ranges of one sorted table.
+
+    Spark deals the rows by ranges of (group, order) whose bounds it samples, as many as the session has
+    shuffle partitions, merged by adaptive execution to its advisory size; so the number of parts
+    follows the data and a large group spans many. The rows are written to ``path`` with the number
+    of their range, which makes the parts the same for every later reader. Totals per group are added
+    up from one row per group and part.
+    """
+    keyed = df.withColumn("_order", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
+    placed = keyed.repartitionByRange(*group, "_order").withColumn("_part", F.spark_partition_id())
+    placed.write.mode("overwrite").parquet(path)
+    rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+    if not totals:
+        return rows
+    whole = Window.partitionBy(*group)
+    per_part = rows.groupBy(*group, "_part").agg(*[c.alias(k) for k, c in totals.items()])
+    sums = per_part.select(*group, "_part", *[F.sum(k).over(whole).alias(k) for k in totals])
+    return rows.join(sums, [*group, "_part"])
+
+
 def part_offsets(cut: DataFrame, group: Sequence[str], **sums: Column) -> DataFrame:
     """(group, _part, one column per sum): each sum over the earlier parts of the group.
 
-    The window runs over at most PARTS + 1 rows per group.
+    The window runs over one row per part of a group.
     """
     per_part = cut.groupBy(*group, "_part").agg(*[c.alias(k) for k, c in sums.items()])
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -89,22 +110,26 @@ def within_part(group: Sequence[str]):
 
 
 def group_rank(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], rank_col: str = "_rank", size_col: str = "_size"
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], rank_col: str = "_rank", size_col: str = "_size",
+    parts: Callable[..., DataFrame] = cut_groups,
 ) -> DataFrame:
-    """1-based rank inside ``group`` under ``order`` (see ``cut_groups``) and the group's size.
+    """1-based rank inside ``group`` under ``order`` and the group's size.
 
-    Lazy and the same plan at every size: rows are numbered inside a part, the
-    rows of earlier parts are added.
+    Rows are numbered inside a part (``parts``: ``cut_groups``, which is lazy, or ``range_parts``
+    with its path), the rows of earlier parts are added.
     """
-    cut = cut_groups(df, group, order, **{size_col: F.count(F.lit(1))})
+    cut = parts(df, group, order, **{size_col: F.count(F.lit(1))})
     before = part_offsets(cut, group, _before=F.count(F.lit(1)))
     out = cut.withColumn("_row", F.row_number().over(within_part(group))).join(before, [*group, "_part"])
     return out.withColumn(rank_col, F.col("_before") + F.col("_row")).drop("_part", "_order", "_row", "_before")
 
 
-def ntile_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], out_col: str, n: int = 4) -> DataFrame:
+def ntile_in_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], out_col: str, n: int = 4,
+    parts: Callable[..., DataFrame] = cut_groups,
+) -> DataFrame:
     """Add NTILE(n) over (PARTITION BY group ORDER BY order) as ``out_col``."""
-    ranked = group_rank(df, group, order)
+    ranked = group_rank(df, group, order, parts=parts)
     return ranked.withColumn(out_col, ntile_from_rank("_rank", "_size", n)).drop("_rank", "_size")
 
 
@@ -122,10 +147,3 @@ def pareto_class(cumulative, cutoffs=(80, 95), labels=("A", "B", "C")) -> Column
 
     c = F.col(cumulative) if isinstance(cumulative, str) else cumulative
     return band([(c <= cut, lab) for cut, lab in zip(cutoffs, labels)], labels[-1])
-
-
-def argmax_by(df: DataFrame, group: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``value`` per group, ties to the smallest
-    ``tie`` columns (partial top-1 before the shuffle)."""
-    w = Window.partitionBy(*group).orderBy(F.col(value).desc(), *[F.col(t).asc() for t in tie])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

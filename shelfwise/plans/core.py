@@ -17,11 +17,16 @@ Scale notes
 * Products are joined at product or SKU grain, never at row grain; the
   planner broadcasts the dimension when its file size allows it.
 * Ranks and running sums inside a category or a location are computed over
-  parts of it (``windowing.cut_groups``), so no group is one task's work.
+  parts of it, so no group is one task's work: once per written version, over ranges of a sorted
+  table (``windowing.range_parts``), and stored in ``sku_analysis``, which every later reader
+  projects; for other policy values or a lazy warehouse lazily (``windowing.cut_groups``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +53,7 @@ from ..operators.windowing import (
     ntile_in_group,
     pareto_class,
     part_offsets,
+    range_parts,
     share_of_total,
     within_part,
 )
@@ -69,6 +75,53 @@ def categories(wh: Warehouse) -> DataFrame:
     return wh.products.select("product_id", "category")
 
 
+# the policy values that the stored analysis depends on
+ANALYSIS_PARAMS = (
+    "critical_level", "low_level", "normal_level", "sales_window_days", "abc_window_days", "lead_time_days", "service_z",
+    "fallback_cv", "min_observations", "min_daily_sales", "days_per_year", "turnover_period_days",
+    "no_sales_days_of_supply", "abc_a_cutoff", "abc_b_cutoff",
+)
+
+
+def stored_analysis(wh: Warehouse, p: Params) -> bool:
+    """Whether the table written with the version answers for these policy values."""
+    same = all(getattr(p, f) == getattr(DEFAULT, f) for f in ANALYSIS_PARAMS)
+    return p.read_snapshots and same and wh.analysis is not None
+
+
+def _stored(wh: Warehouse, p: Params, view: str) -> DataFrame | None:
+    """One view out of the stored analysis: only its columns are read."""
+    if not stored_analysis(wh, p):
+        return None
+    return wh.analysis.filter(F.col(view).isNotNull()).select(*SKU, f"{view}.*")
+
+
+def sku_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
+    """Per SKU the columns of its stock, reorder, turnover and abc rows, as structs (null where it has none).
+
+    Every SKU of the other three has a stock row, so the joins from stock lose nothing.
+    """
+    if stored_analysis(wh, p):
+        return wh.analysis
+
+    def build():
+        views = {"stock": current_stock_levels, "reorder": reorder_analysis, "turnover": inventory_turnover,
+                 "abc": abc_classification}
+        out = None
+        for name, view in views.items():
+            rows = view(wh, p)
+            packed = rows.select(*SKU, F.struct(*[c for c in rows.columns if c not in SKU]).alias(name))
+            out = packed if out is None else out.join(packed, SKU, "left")
+        return out
+
+    return wh.memo(("sku_analysis", p), build)
+
+
+def _parts(wh: Warehouse, name: str) -> Callable[..., DataFrame]:
+    """How a rank cuts its groups: written ranges while a version is being written, else lazily."""
+    return partial(range_parts, path=f"{wh.rank_folder}/{name}") if wh.rank_folder else cut_groups
+
+
 def _units() -> F.Column:
     return F.col("units_sold").cast("bigint")
 
@@ -93,6 +146,8 @@ def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Latest row of every SKU over the whole history, with a stock band."""
 
     def build():
+        if (stored := _stored(wh, p, "stock")) is not None:
+            return stored
         df = latest_rows(wh, p).join(categories(wh), "product_id")
         lvl = F.col("inventory_level")
         status = band(
@@ -227,6 +282,8 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Safety stock, reorder point and a relative alert level per SKU."""
 
     def build():
+        if (stored := _stored(wh, p, "reorder")) is not None:
+            return stored
         n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
         stats = sales_stats(wh, p).filter(n >= p.min_observations)
         avg = mean(s1, n)
@@ -252,6 +309,7 @@ def reorder_analysis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             ["category"],
             [F.col("coverage_ratio"), *[F.col(c) for c in SKU]],
             "quartile_rank",
+            parts=_parts(wh, "reorder"),
         )
         labels, default = ALERT_LEVEL
         return ranked.select(
@@ -277,6 +335,8 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Annualised turnover and movement quartiles per SKU (trailing window)."""
 
     def build():
+        if (stored := _stored(wh, p, "turnover")) is not None:
+            return stored
         agg = sales_stats(wh, p).withColumnRenamed("s1", "s_units").join(categories(wh), "product_id")
         n = F.col("n")
         avg_sales, avg_level = mean("s_units", n), mean("s_level", n)
@@ -299,6 +359,7 @@ def inventory_turnover(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             ["category"],
             [*descending("inventory_turnover_ratio"), *[F.col(c) for c in SKU]],
             "quartile_rank",
+            parts=_parts(wh, "turnover"),
         )
         mv, mv_default = MOVEMENT_TYPE
         pf, pf_default = PERFORMANCE
@@ -320,8 +381,11 @@ def abc_classification(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """
 
     def build():
+        if (stored := _stored(wh, p, "abc")) is not None:
+            return stored
         agg = abc_stats(wh, p).join(categories(wh), "product_id")
-        parts = cut_groups(agg, LOC, [*descending("rev"), F.col("product_id")], _location_rev=F.sum("rev"))
+        cut = _parts(wh, "abc")
+        parts = cut(agg, LOC, [*descending("rev"), F.col("product_id")], _location_rev=F.sum("rev"))
         shared = parts.withColumn("revenue_percentage", share_of_total("rev", "_location_rev"))
         before = part_offsets(shared, LOC, _rows=F.count(F.lit(1)), _share=F.sum("revenue_percentage"))
         ordered = within_part(LOC)

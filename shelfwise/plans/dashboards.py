@@ -6,9 +6,8 @@ Scale notes
 * Distinct counts over the fact are two-level aggregations (group on the
   distinct key first, then count rows), so no COUNT(DISTINCT) row expansion
   runs at fact grain.
-* The views read by a dashboard are the memoised DataFrames of
-  ``plans.core``: inside one query plan the same subtree is planned once per
-  use and identical shuffles are reused.
+* What a dashboard needs of stock, reorder, turnover and ABC is one row per SKU of
+  ``core.sku_analysis``: on a written warehouse a single scan of a stored table, without rank or join.
 * One-row results are combined by a union and one aggregate, never a cross
   join; global ranks run over one row per store location or category.
 """
@@ -86,32 +85,26 @@ def executive_kpi_dashboard(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
             F.sum("units").alias("weekly_units_sold"),
         ).select("*", wh.latest_date().alias("data_updated_date"))
 
-        turn = core.inventory_turnover(wh, p)
-        mv = F.col("movement_type")
-        turnover = turn.agg(
-            mean(F.sum("inventory_turnover_ratio"), F.count(F.lit(1))).alias("avg_turnover_raw"),
+        mv, st, cls = F.col("turnover.movement_type"), F.col("stock.stock_status"), F.col("abc.abc_classification")
+        revenue = F.col("abc.total_revenue")
+        skus = core.sku_analysis(wh, p).agg(
+            mean(F.sum("turnover.inventory_turnover_ratio"), F.count("turnover")).alias("avg_turnover_raw"),
             count_if(mv == "FAST_MOVER").alias("fast_moving_products"),
             count_if(mv == "MEDIUM_MOVER").alias("medium_moving_products"),
             count_if(mv == "SLOW_MOVER").alias("slow_moving_products"),
             count_if(mv == "NON_MOVER").alias("non_moving_products"),
-        )
-        st = F.col("stock_status")
-        stock = core.current_stock_levels(wh, p).agg(
             count_if(st == "CRITICAL").alias("critical_stock_items"),
             count_if(st == "LOW").alias("low_stock_items"),
             F.count(F.lit(1)).alias("stock_items"),
-        )
-        cls = F.col("abc_classification")
-        abc = core.abc_classification(wh, p).agg(
             count_if(cls == "A").alias("class_a_products"),
             count_if(cls == "B").alias("class_b_products"),
             count_if(cls == "C").alias("class_c_products"),
-            sum_if(cls == "A", F.col("total_revenue")).alias("rev_a"),
-            sum_if(cls == "B", F.col("total_revenue")).alias("rev_b"),
-            sum_if(cls == "C", F.col("total_revenue")).alias("rev_c"),
-            F.sum("total_revenue").alias("rev_total"),
+            sum_if(cls == "A", revenue).alias("rev_a"),
+            sum_if(cls == "B", revenue).alias("rev_b"),
+            sum_if(cls == "C", revenue).alias("rev_c"),
+            F.sum(revenue).alias("rev_total"),
         )
-        row = one_row(current, turnover, stock, abc)
+        row = one_row(current, skus)
         avg_t = F.col("avg_turnover_raw")
         crit, total = F.col("critical_stock_items"), F.col("stock_items")
         crit_share = ratio(crit, total)
@@ -188,19 +181,24 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
         F.round(F.col("r"), 2).alias("total_revenue_90d"),
         bitmap_count(span).alias("days_count"),
     )
-    mv = F.col("movement_type")
-    turnover = core.inventory_turnover(wh, p).groupBy(*key).agg(
-        rnd(mean(F.sum("inventory_turnover_ratio"), F.count(F.lit(1))), 2).alias("avg_turnover"),
+    mv, st, cls = F.col("turnover.movement_type"), F.col("stock.stock_status"), F.col("abc.abc_classification")
+    rows = core.sku_analysis(wh, p)
+    if by_category:
+        rows = rows.withColumn("category", F.col("stock.category"))
+    skus = rows.groupBy(*key).agg(
+        rnd(mean(F.sum("turnover.inventory_turnover_ratio"), F.count("turnover")), 2).alias("avg_turnover"),
         count_if(mv == "FAST_MOVER").alias("fast_movers"),
         count_if(mv.isin("SLOW_MOVER", "NON_MOVER")).alias("slow_movers"),
-    )
-    st = F.col("stock_status")
-    stock = core.current_stock_levels(wh, p).groupBy(*key).agg(
         count_if(st == "CRITICAL").alias("critical_items"),
         count_if(st == "LOW").alias("low_items"),
         F.count(F.lit(1)).alias("total_items"),
+        count_if(cls == "A").alias("class_a_count"),
+        count_if(cls == "B").alias("class_b_count"),
+        count_if(cls == "C").alias("class_c_count"),
+        F.count("turnover").alias("_sold"),
     )
-    return snapshot.join(sales, key).join(turnover, key).join(stock, key)
+    # a group on the latest day has sold in the window that ends with it
+    return snapshot.join(sales, key).join(skus.filter(F.col("_sold") > 0).drop("_sold"), key)
 
 
 def _guard(p: Params) -> Column:
@@ -246,13 +244,6 @@ def store_performance(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 def category_performance(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
         s = _group_summary(wh, p, ["category"], by_category=True)
-        cls = F.col("abc_classification")
-        abc = core.abc_classification(wh, p).groupBy("category").agg(
-            count_if(cls == "A").alias("class_a_count"),
-            count_if(cls == "B").alias("class_b_count"),
-            count_if(cls == "C").alias("class_c_count"),
-        )
-        s = s.join(abc, "category")
         crit, total = F.col("critical_items"), F.col("total_items")
         daily_units = _per_day("units_90d", "days_count", p)
         return s.select(
@@ -385,13 +376,11 @@ def risk_rating(inventory_score, revenue_score, volatility_score, p: Params = DE
 
 def stockout_risk(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
-        cs = core.current_stock_levels(wh, p).select(*SKU, "category", "inventory_level")
-        ra = core.reorder_analysis(wh, p).select(
-            *SKU, "avg_daily_sales", "reorder_point", "safety_stock", "days_of_supply"
-        )
-        it = core.inventory_turnover(wh, p).select(*SKU, "inventory_turnover_ratio", "movement_type")
-        abc = core.abc_classification(wh, p).select(*SKU, "abc_classification", "revenue_percentage")
-        df = cs.join(ra, SKU, "left").join(it, SKU, "left").join(abc, SKU, "left")
+        df = core.sku_analysis(wh, p).select(
+            *SKU, "stock.category", "stock.inventory_level", "reorder.avg_daily_sales", "reorder.reorder_point",
+            "reorder.safety_stock", "reorder.days_of_supply", "turnover.inventory_turnover_ratio",
+            "turnover.movement_type", "abc.abc_classification", "abc.revenue_percentage",
+        )
         scores = risk_scores(
             F.col("inventory_level"), F.col("reorder_point"), F.col("revenue_percentage"), F.col("movement_type"), p
         )

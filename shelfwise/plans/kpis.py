@@ -7,8 +7,6 @@ for the same calculation date replaces exactly that date's partition.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,33 +28,26 @@ KPI_DEFAULTS = {
 def inventory_kpis(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """KPIs of every SKU as of the latest date of the data.
 
-    SKU list = every SKU with a current stock row; the other analyses are
-    left-joined at SKU grain (all sides are hash-partitioned by SKU). Under the
+    SKU list = every SKU with a current stock row, one row of ``core.sku_analysis`` each. Under the
     default parameters the table written with the warehouse version is read.
     """
-    if wh.kpis is not None and replace(p, fused_sku_stats=DEFAULT.fused_sku_stats) == DEFAULT:
+    if wh.kpis is not None and core.stored_analysis(wh, p) and p.kpi_service_level == DEFAULT.kpi_service_level:
         return wh.kpis
 
     def build():
-        skus = core.current_stock_levels(wh, p).select(*SKU)
-        turn = core.inventory_turnover(wh, p).select(
-            *SKU, "avg_daily_sales", "inventory_turnover_ratio", "days_of_supply", "movement_type"
-        )
-        reorder = core.reorder_analysis(wh, p).select(*SKU, "reorder_point", "safety_stock")
-        abc = core.abc_classification(wh, p).select(*SKU, "abc_classification")
-        df = skus.join(turn, SKU, "left").join(reorder, SKU, "left").join(abc, SKU, "left")
-        return df.select(
+        def known(view, column, default):
+            return F.coalesce(F.col(f"{view}.{column}"), F.lit(default))
+
+        return core.sku_analysis(wh, p).select(
             *SKU,
             wh.latest_date().alias("calculation_date"),
-            F.coalesce(F.col("avg_daily_sales"), F.lit(0)).cast("decimal(10,2)").alias("avg_daily_sales"),
-            F.coalesce(F.col("inventory_turnover_ratio"), F.lit(0)).cast("decimal(10,2)").alias("inventory_turnover"),
-            F.coalesce(F.col("days_of_supply"), F.lit(0)).cast("int").alias("days_of_supply"),
-            F.coalesce(F.col("reorder_point"), F.lit(0)).cast("int").alias("reorder_point"),
-            F.coalesce(F.col("safety_stock"), F.lit(0)).cast("int").alias("safety_stock"),
-            F.coalesce(F.col("abc_classification"), F.lit(KPI_DEFAULTS["abc_classification"])).alias(
-                "abc_classification"
-            ),
-            F.coalesce(F.col("movement_type"), F.lit(KPI_DEFAULTS["movement_type"])).alias("movement_type"),
+            known("turnover", "avg_daily_sales", 0).cast("decimal(10,2)").alias("avg_daily_sales"),
+            known("turnover", "inventory_turnover_ratio", 0).cast("decimal(10,2)").alias("inventory_turnover"),
+            known("turnover", "days_of_supply", 0).cast("int").alias("days_of_supply"),
+            known("reorder", "reorder_point", 0).cast("int").alias("reorder_point"),
+            known("reorder", "safety_stock", 0).cast("int").alias("safety_stock"),
+            known("abc", "abc_classification", KPI_DEFAULTS["abc_classification"]).alias("abc_classification"),
+            known("turnover", "movement_type", KPI_DEFAULTS["movement_type"]).alias("movement_type"),
             F.lit(p.kpi_service_level).cast("decimal(5,2)").alias("service_level"),
         )
 

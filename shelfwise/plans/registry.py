@@ -8,15 +8,17 @@ doubles, dates as ISO text, no month partition column).
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.expr import presentation
 from ..functions.params import DEFAULT, Params
-from ..operators import etl, integrity, quality
+from ..operators import etl, integrity, quality, rejects
 from ..sources import warehouse as whmod
 from ..sources.warehouse import Warehouse
 from . import core, dashboards, kpis
@@ -37,11 +39,24 @@ def _tables(wh: Warehouse, p: Params) -> dict[str, DataFrame]:
 
 
 def _fk(wh: Warehouse, p: Params) -> DataFrame:
-    return integrity.fk_violations(_fact(wh), wh.stores, wh.products, "inventory_data").unionByName(
+    """Of the fact's keys the staged rows that break them: the load drops these, so the fact itself has none."""
+    return integrity.fk_violations(etl.parse_staging(wh.staging), wh.stores, wh.products, "inventory_data").unionByName(
         integrity.fk_violations(kpis.inventory_kpis(wh, p), wh.stores, wh.products, "inventory_kpis")
     )
 
 
+def _rejects(wh: Warehouse, p: Params) -> DataFrame:
+    if wh.load_log is None:
+        raise ValueError("only a written warehouse has counted its loads")
+    return rejects.load_rejects(wh.load_log)
+
+
+def at_month_end(wh: Warehouse) -> Warehouse:
+    """The warehouse as it stood at the end of the month before its latest date."""
+    latest = wh.latest or wh.fact.agg(F.max("date")).first()[0]
+    return whmod.as_of(wh, latest.replace(day=1) - datetime.timedelta(days=1))
+
+
 def _pk(wh: Warehouse, p: Params) -> DataFrame:
     parsed = etl.parse_staging(wh.staging)
     return integrity.pk_violations(
@@ -81,6 +96,11 @@ QUERIES: dict[str, Callable[[Warehouse, Params], DataFrame]] = {
     "fk_violations": _fk,
     "pk_violations": _pk,
     "constraint_report": lambda wh, p: integrity.constraint_report(_fk(wh, p)),
+    "load_rejects": _rejects,
+    # an earlier date
+    "inventory_kpis_at_month_end": lambda wh, p: kpis.inventory_kpis(at_month_end(wh), p),
+    "stockout_risk_at_month_end": lambda wh, p: dashboards.stockout_risk(at_month_end(wh), p),
+    "executive_kpi_dashboard_at_month_end": lambda wh, p: dashboards.executive_kpi_dashboard(at_month_end(wh), p),
 }
 
 # Presentation order of each report (the reference's ORDER BY, with the key
@@ -101,14 +121,13 @@ ORDER_BY: dict[str, list] = {
     "dim_products": ["category", "product_id"],
     "fact_inventory": list(schemas.INVENTORY_KEY),
     "table_profile": ["table_name"],
+    "load_rejects": ["reason", "column_name"],
     "constraint_report": ["table_name", "column_name"],
 }
 
 
 def present(name: str, df: DataFrame) -> DataFrame:
     """Apply the report's presentation order (a global sort: use for export)."""
-    from pyspark.sql import functions as F
-
     keys = ORDER_BY.get(name)
     if not keys:
         return df

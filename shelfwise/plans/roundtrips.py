@@ -58,7 +58,59 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-QUERIES = {f.__name__: f for f in (csv_roundtrip, append_two_batches, kpi_upsert, export_roundtrip)}
+def _damaged(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    """A feed with bad dates, missing keys, missing measures, long texts and one product without a category, loaded."""
+    folder, order = _folder(spark), F.col("l_orderkey")
+    rows = warehouse.from_tpch(spark, sf_dir).staging.withColumns(
+        {
+            "Date": F.when(order % 11 == 0, F.lit("some day")).otherwise(F.col("Date").cast("string")),
+            "Store_ID": F.when(order % 13 != 0, F.col("Store_ID")),
+            "Units_Sold": F.when(order % 17 != 0, F.col("Units_Sold")),
+            "Holiday_Promotion": F.when(order % 19 == 0, F.repeat(F.lit("sale "), 12)).otherwise(F.col("Holiday_Promotion")),
+            "Category": F.when(F.col("Product_ID") != "P9", F.col("Category")),
+        }
+    )
+    feed.write_feed(rows, f"{folder}/feed", tpch.LOAD_ORDER)
+    return warehouse.materialize(warehouse.load(spark, feed.read_staging(spark, f"{folder}/feed")), f"{folder}/tables")
+
+
+def damaged_feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load of a damaged feed turned away or filled in."""
+    return registry.QUERIES["load_rejects"](_damaged(spark, sf_dir), DEFAULT)
+
+
+def damaged_feed_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rows of a damaged feed that break a foreign key."""
+    return registry.QUERIES["fk_violations"](_damaged(spark, sf_dir), DEFAULT)
+
+
+def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with malformed lines: how many were put aside by reason, and how many rows were loaded."""
+    folder, order = _folder(spark), F.col("l_orderkey")
+    rows = warehouse.from_tpch(spark, sf_dir).staging.orderBy(*tpch.LOAD_ORDER)
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(feed.NULL_MARK)) for c in schemas.STAGING.fieldNames()}
+    price = F.when(order % 29 == 0, F.lit("cheap")).otherwise(texts["Price"])
+    line = F.concat_ws(",", *(texts | {"Price": price}).values())
+    line = F.when(order % 23 == 0, F.concat(line, F.lit(",more"))).when(order % 31 == 0, F.lit("2022-01-01,S001")).otherwise(line)
+    rows.select(line.alias("value")).write.text(f"{folder}/feed")
+    wh = warehouse.load(spark, feed.read_staging(spark, f"{folder}/feed", quarantine=f"{folder}/bad", header=False))
+    bad = spark.read.parquet(f"{folder}/bad").groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    return bad.unionByName(wh.fact.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("lines")))
+
+
+_WAYS = (
+    csv_roundtrip, append_two_batches, kpi_upsert, export_roundtrip, damaged_feed_rejects, damaged_feed_violations,
+    quarantine_roundtrip,
+)
+QUERIES = {f.__name__: f for f in _WAYS}
+
+_DAMAGE = oracle.staged(
+    Date="CASE WHEN l_orderkey % 11 = 0 THEN 'some day' ELSE CAST(date AS VARCHAR) END",
+    Store_ID="CASE WHEN l_orderkey % 13 <> 0 THEN store_id END",
+    Units_Sold="CASE WHEN l_orderkey % 17 <> 0 THEN units_sold END",
+    Holiday_Promotion="CASE WHEN l_orderkey % 19 = 0 THEN repeat('sale ', 12) ELSE holiday_promotion END",
+    Category="CASE WHEN product_id <> 'P9' THEN category END",
+)
 
 ORACLE_SQL = {
     "csv_roundtrip": oracle.ORACLE_SQL["fact_inventory"],
@@ -68,4 +120,26 @@ ORACLE_SQL = {
     "kpi_upsert": "SELECT * REPLACE (CASE WHEN store_id < 'S002' THEN -1 ELSE safety_stock END AS safety_stock)"
     f" FROM ({oracle.ORACLE_SQL['inventory_kpis']})",
     "export_roundtrip": oracle.ORACLE_SQL["reorder_analysis"],
+    "damaged_feed_rejects": oracle.with_product_modulus("WITH" + oracle.BASE + _DAMAGE + oracle.REJECTS),
+    "damaged_feed_violations": oracle.with_product_modulus(
+        "WITH" + oracle.BASE + _DAMAGE + oracle.LOADABLE
+        + """
+        SELECT 'inventory_data' AS table_name, 'inventory_data_ibfk_1' AS constraint_name, 'stores' AS referenced_table,
+               COUNT(*) AS violating_rows FROM loadable ANTI JOIN parents USING (Store_ID, Region)
+        UNION ALL SELECT 'inventory_data', 'inventory_data_ibfk_2', 'products', COUNT(*)
+               FROM loadable ANTI JOIN goods USING (Product_ID)
+        UNION ALL SELECT 'inventory_kpis', 'inventory_kpis_ibfk_1', 'stores', 0
+        UNION ALL SELECT 'inventory_kpis', 'inventory_kpis_ibfk_2', 'products', 0
+        """
+    ),
+    "quarantine_roundtrip": oracle.with_product_modulus(
+        "WITH" + oracle.BASE
+        + """
+        , judged AS (SELECT *, CASE WHEN l_orderkey % 23 = 0 OR l_orderkey % 31 = 0 THEN 'fields'
+                                    WHEN l_orderkey % 29 = 0 THEN 'Price' END AS reason FROM src)
+        SELECT reason, COUNT(*) AS lines FROM judged WHERE reason IS NOT NULL GROUP BY reason
+        UNION ALL
+        SELECT 'loaded', COUNT(*) FROM (SELECT DISTINCT date, store_id, region, product_id FROM judged WHERE reason IS NULL)
+        """
+    ),
 }

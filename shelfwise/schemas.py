@@ -96,6 +96,18 @@ STAGING_TO_FACT = {
     "Seasonality": "seasonality",
 }
 
+# Longest values of the staging table's text columns (fixed values).
+TEXT_LIMITS = {
+    "Date": 20,
+    "Store_ID": 10,
+    "Product_ID": 10,
+    "Category": 50,
+    "Region": 50,
+    "Weather_Condition": 20,
+    "Holiday_Promotion": 50,
+    "Seasonality": 20,
+}
+
 # Table comments of the data model (fixed values, shown by table_profile).
 TABLE_COMMENTS = {
     "inventory_data": "Main fact table for daily inventory data",

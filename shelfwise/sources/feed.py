@@ -33,12 +33,42 @@ def parse_feed(raw: DataFrame) -> DataFrame:
     return raw.select(*columns, *place)
 
 
-def read_staging(spark: SparkSession, path: str) -> DataFrame:
+def read_staging(spark: SparkSession, path: str, quarantine: str | None = None, header: bool = True) -> DataFrame:
     """Read the daily feed: one CSV file or a folder of them (see ``parse_feed``).
 
-    A row with too many or too few fields fails the load (strict mode).
+    By default a row with too many or too few fields fails the load (strict mode), as text does that
+    is no number. With ``quarantine``, a folder, such lines are appended there as Parquet (see
+    ``split_feed``) and the rest is returned; that reads the feed once more.
     """
-    return parse_feed(spark.read.options(**CSV_OPTIONS).schema(RAW_SCHEMA).csv(path))
+    if quarantine is None:
+        return parse_feed(spark.read.options(**CSV_OPTIONS | {"header": header}).schema(RAW_SCHEMA).csv(path))
+    rows, bad = split_feed(spark, path, header)
+    bad.write.mode("append").parquet(quarantine)
+    return rows
+
+
+CORRUPT = "_corrupt"
+
+
+def split_feed(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(typed staging rows, malformed lines) of a feed read without failing.
+
+    A malformed line has too many or too few fields, or text that is no number of its column. It
+    is given as file, the start of its block in the file, reason (``fields`` or the column) and line.
+    """
+    options = CSV_OPTIONS | {"header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+    schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    raw = spark.read.options(**options).schema(schema).csv(path).select("*", "_metadata", *place)
+    numbers = [f for f in schemas.STAGING.fields if not isinstance(f.dataType, StringType)]
+    wrong = F.when(F.col(CORRUPT).isNotNull(), F.lit("fields"))
+    for f in numbers:
+        text = F.nullif(F.col(f.name), F.lit(NULL_MARK))
+        wrong = wrong.when(text.isNotNull() & text.try_cast(f.dataType).isNull(), F.lit(f.name))
+    judged = raw.withColumn("reason", wrong)
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*RAW_SCHEMA.fieldNames())))
+    bad = judged.filter(F.col("reason").isNotNull()).select("file", "block", "reason", line.alias("line"))
+    return parse_feed(judged.filter(F.col("reason").isNull())), bad
 
 
 def write_feed(staging: DataFrame, path: str, order: list[str]) -> None:

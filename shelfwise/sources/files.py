@@ -27,3 +27,10 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
         found = [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in system.listStatus(target)]
         digest.update(repr(sorted(found)).encode())
     return digest.hexdigest()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making with all it holds."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -16,6 +16,9 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # plans name their folders in full
+        .config("spark.sql.ui.retainedExecutions", "20")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

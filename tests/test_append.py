@@ -48,7 +48,7 @@ def test_stale_handle_and_replay_after_a_crash(spark, tmp_dir, monkeypatch):
     def crash(*args, **kwargs):
         raise RuntimeError("lost driver")
 
-    with monkeypatch.context() as m:  # the fact has the batch, the SKU tables have not
+    with monkeypatch.context() as m:  # the batch's folders are written, the SKU tables are not
         m.setattr(warehouse, "_derive", crash)
         with pytest.raises(RuntimeError):
             warehouse.append(wh, second, order=tpch.LOAD_ORDER)

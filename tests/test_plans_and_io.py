@@ -39,11 +39,11 @@ def test_trailing_windows_prune_months_and_push_filters(spark, name):
 
 
 def test_current_stock_reads_only_needed_columns(spark):
-    plan = _plan(registry.run("current_stock_levels", spark, SF))
-    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
-    assert not [s for s in scans if "inventory_data" in s]  # the SKU snapshot, not the history
-    snap = [s for s in scans if "sku_latest" in s][0]
-    assert "units_ordered" not in snap and "demand_forecast" not in snap
+    df = registry.run("current_stock_levels", spark, SF)
+    files = df.inputFiles()
+    assert files and all("/sku_analysis/" in f for f in files)  # the SKU table, not the history
+    scan, = [line for line in _plan(df).splitlines() if "FileScan parquet" in line]
+    assert "stock" in scan and "turnover" not in scan and "revenue_percentage" not in scan
     from shelfwise.functions.expr import decimals_to_double
 
     lazy = warehouse.from_tpch(spark, SF, materialized=False)
@@ -200,7 +200,7 @@ def test_month_clustered_write_keeps_rows_and_cuts_files(spark, tmp_dir):
     assert a.fact.exceptAll(b.fact).count() == 0 and a.fact.count() == b.fact.count()
 
     def files(name):
-        return len(glob.glob(os.path.join(tmp_dir, name, "inventory_data", "month_key=*", "*.parquet")))
+        return len(glob.glob(os.path.join(tmp_dir, name, "inventory_data", "part=*", "month_key=*", "*.parquet")))
 
     assert files("clustered") <= files("plain")
 

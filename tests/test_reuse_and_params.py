@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_same_source_is_reopened_and_a_changed_one_loaded(spark, tmp_dir, monkeypatch):
     for table in tpch.TABLES:
-        shutil.copy(f"{SF}/{table}.parquet", f"{tmp_dir}/{table}.parquet")
+        shutil.copyfile(f"{SF}/{table}.parquet", f"{tmp_dir}/{table}.parquet")
     first = warehouse.from_tpch(spark, tmp_dir)
     monkeypatch.setattr(warehouse, "_REGISTRY", {})  # as in another application
 
