@@ -33,6 +33,32 @@ def with_row_order(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ORDER, order).drop(FEED_FILE, FEED_BLOCK)
 
 
+KEY_TEXTS = ("Store_ID", "Region", "Product_ID", "Category")
+
+
+def one_spelling(staging: DataFrame, collation: str, known: DataFrame | None = None) -> DataFrame:
+    """Staging rows whose key texts that are equal under ``collation`` (e.g. UNICODE_CI_AI) are spelt alike.
+
+    The spelling in ``known``, rows with the same columns that are stored already, stands for its equals;
+    of new ones the first in binary order. So keys fall together in every later dedup, join and group,
+    which all stay binary. Per column the different spellings are grouped (a partial aggregate), and only
+    those that change are joined to the rows.
+    """
+    out = staging
+    for name in KEY_TEXTS:
+        spelt = staging.select(F.col(name).alias("spelt"), F.lit(1).alias("rank"))
+        if known is not None:
+            spelt = spelt.unionByName(known.select(F.col(name).alias("spelt"), F.lit(0).alias("rank")))
+        each = spelt.filter(F.col("spelt").isNotNull()).groupBy("spelt").agg(F.min("rank").alias("rank"))
+        alike = each.groupBy(F.collate("spelt", collation).alias("alike")).agg(
+            F.min(F.struct("rank", "spelt"))["spelt"].alias("stands"), F.collect_list("spelt").alias("all")
+        )
+        changes = alike.filter(F.size("all") > 1).select("stands", F.explode("all").alias("spelt")).filter("spelt <> stands")
+        changes = changes.select(F.col("spelt").alias(name), F.col("stands").alias("_stands"))
+        out = out.join(changes, name, "left").withColumn(name, F.coalesce("_stands", name)).drop("_stands")
+    return out.select(*staging.columns)
+
+
 def insert_ignore(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per ``key`` under ``order``; drop the others.
 

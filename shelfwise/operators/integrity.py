@@ -40,6 +40,19 @@ def pk_violations(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> Dat
     return out
 
 
+def suspects(rows: DataFrame, date: str, rest: Sequence[str]) -> DataFrame:
+    """Rows of the (``rest``, month) groups that hold more rows than different days.
+
+    Only these can break a key of ``date`` and ``rest``. One row per group and task crosses the network: a
+    count and a bitmap of the month's days, not the keys themselves. Where the key holds, nothing is left.
+    """
+    month = F.date_trunc("month", F.col(date)).alias("_month")
+    days = F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(date))))
+    crowded = rows.groupBy(*rest, month).agg(F.count(F.lit(1)).alias("_rows"), days.alias("_days"))
+    crowded = crowded.filter(F.col("_rows") > F.col("_days")).select(*rest, "_month")
+    return rows.withColumn("_month", month).join(crowded, [*rest, "_month"], "left_semi").drop("_month")
+
+
 def fk_violations(fact: DataFrame, stores: DataFrame, products: DataFrame, table: str = "inventory_data") -> DataFrame:
     """Rows of ``fact`` whose store location or product has no parent row.
 

@@ -62,7 +62,7 @@ def _pk(wh: Warehouse, p: Params) -> DataFrame:
     return integrity.pk_violations(
         [
             ("staging_inventory_data", parsed, schemas.INVENTORY_KEY),
-            ("inventory_data", _fact(wh), schemas.INVENTORY_KEY),
+            ("inventory_data", integrity.suspects(_fact(wh).select(*schemas.INVENTORY_KEY), "date", schemas.SKU), schemas.INVENTORY_KEY),
             ("stores", wh.stores, schemas.STORES_KEY),
             ("products", wh.products, schemas.PRODUCTS_KEY),
             ("inventory_kpis", kpis.inventory_kpis(wh, p), schemas.KPIS_KEY),

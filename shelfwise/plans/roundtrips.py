@@ -98,9 +98,24 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.unionByName(wh.fact.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("lines")))
 
 
+def collated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose keys are spelt in several ways, loaded under a collation without case and accents, in two batches."""
+    order = F.col("l_orderkey")
+    rows = warehouse.from_tpch(spark, sf_dir).staging.withColumns(
+        {
+            "Store_ID": F.when(order % 2 == 1, F.lower("Store_ID")).otherwise(F.col("Store_ID")),
+            "Region": F.when(F.col("l_linenumber") == 2, F.translate(F.initcap("Region"), "ae", "\u00e1\u00e9")).otherwise(F.col("Region")),
+            "Product_ID": F.when(order % 3 == 1, F.lower("Product_ID")).otherwise(F.col("Product_ID")),
+        }
+    )
+    even, odd = rows.filter(order % 2 == 0), rows.filter(order % 2 == 1)
+    first = warehouse.load(spark, even, order=tpch.LOAD_ORDER, key_collation="UNICODE_CI_AI")
+    return _fact(warehouse.append(warehouse.materialize(first, _folder(spark)), odd, order=tpch.LOAD_ORDER))
+
+
 _WAYS = (
     csv_roundtrip, append_two_batches, kpi_upsert, export_roundtrip, damaged_feed_rejects, damaged_feed_violations,
-    quarantine_roundtrip,
+    quarantine_roundtrip, collated_feed,
 )
 QUERIES = {f.__name__: f for f in _WAYS}
 
@@ -117,6 +132,9 @@ ORACLE_SQL = {
     "append_two_batches": oracle.ORACLE_SQL["fact_inventory"].replace(
         "ORDER BY l_orderkey, l_linenumber", "ORDER BY l_orderkey % 2, l_orderkey, l_linenumber"
     ),
+    "collated_feed": oracle.ORACLE_SQL["fact_inventory"].replace(
+        "ORDER BY l_orderkey, l_linenumber", "ORDER BY l_orderkey % 2, l_orderkey, l_linenumber"
+    ),
     "kpi_upsert": "SELECT * REPLACE (CASE WHEN store_id < 'S002' THEN -1 ELSE safety_stock END AS safety_stock)"
     f" FROM ({oracle.ORACLE_SQL['inventory_kpis']})",
     "export_roundtrip": oracle.ORACLE_SQL["reorder_analysis"],

@@ -42,6 +42,8 @@ class Version:
     derived: str
     latest_date: datetime.date | None
     windows: tuple[int, int]
+    # under which the keys of the feed are compared (None: as bytes)
+    collation: str | None = None
 
     def holding(self, table: str) -> list[str]:
         return [p.name for p in self.parts if table in p.tables]
@@ -78,7 +80,7 @@ def read(spark: SparkSession, location: str, number: int | None = None) -> Versi
     x = json.loads(text)
     latest = x["latest_date"] and datetime.date.fromisoformat(x["latest_date"])
     parts = tuple(Part(p["name"], tuple(p["tables"]), p["staging"]) for p in x["parts"])
-    return Version(x["number"], parts, x["derived"], latest, tuple(x["windows"]))
+    return Version(x["number"], parts, x["derived"], latest, tuple(x["windows"]), x.get("collation"))
 
 
 def publish(spark: SparkSession, location: str, v: Version) -> None:

@@ -55,6 +55,8 @@ class Warehouse:
     staging: DataFrame | None = None
     # staging columns ordering duplicate rows for INSERT IGNORE (None: input order)
     load_order: list[str] | None = None
+    # under which key texts were made alike (None: compared as bytes)
+    collation: str | None = None
     location: str | None = None
     # MAX(date) of a written (immutable) fact, recorded when it was written
     latest: datetime.date | None = None
@@ -130,12 +132,20 @@ class Warehouse:
 
 
 # ----------------------------------------------------------------------
-def load(spark: SparkSession, staging: DataFrame, order=None) -> Warehouse:
-    """Lazy load: dimensions and fact as DataFrames over the staging rows."""
+def load(spark: SparkSession, staging: DataFrame, order=None, key_collation: str | None = None) -> Warehouse:
+    """Lazy load: dimensions and fact as DataFrames over the staging rows.
+
+    ``key_collation`` (e.g. ``UNICODE_CI_AI``: neither case nor accents count) makes key texts that are equal
+    under it one key, see ``etl.one_spelling``; a written warehouse keeps it for its appends.
+    """
+    if key_collation is not None:
+        if order is None:  # the input order must be read off before rows are joined
+            staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
+        staging = etl.one_spelling(staging, key_collation)
     stores = etl.build_stores(staging)
     products = etl.build_products(staging)
     fact = etl.build_inventory(staging, stores, products, order=order)
-    return Warehouse(spark, stores, products, fact, staging=staging,
+    return Warehouse(spark, stores, products, fact, staging=staging, collation=key_collation,
                      load_order=list(order) if order is not None else None)
 
 
@@ -157,7 +167,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def materialize(
-    wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180), cluster_months: bool = False
+    wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180), cluster_months: bool = True
 ) -> Warehouse:
     """Write stores, products, fact to ``location``, publish them as a version and return its reader.
 
@@ -183,7 +193,7 @@ def materialize(
     if staging is not None:
         _log(staging, stores, products, rows, counted, location, name)
         tables += [STAGING, LOAD_LOG]
-    v = Version(number, (Part(name, tuple(tables), kind),), name, read_latest_date(rows), stats_windows)
+    v = Version(number, (Part(name, tuple(tables), kind),), name, read_latest_date(rows), stats_windows, wh.collation)
     out = _open(spark, location, v, derived=False)
     out.load_order = order
     _derive(out, latest_per_key(rows.select(*schemas.INVENTORY.fieldNames()), schemas.SKU, "date"), None)
@@ -231,14 +241,13 @@ def _read(spark: SparkSession, location: str, table: str, names: Sequence[str])
     return (reader.schema(schema) if schema is not None else reader).parquet(*paths).drop("part")
 
 
-def write_fact(fact: DataFrame, path: str, cluster_months: bool = False) -> None:
+def write_fact(fact: DataFrame, path: str, cluster_months: bool = True) -> None:
     """Write fact rows partitioned by month, sorted by key inside each file.
 
-    By default every write task writes one file per month it holds (no
-    extra shuffle).  ``cluster_months`` adds a REBALANCE on the month: one
-    more shuffle, after which adaptive execution splits large months and
-    merges small ones, so each file holds one month at about the advisory
-    partition size.
+    A REBALANCE on the month goes before: one shuffle, after which adaptive execution splits large
+    months and merges small ones, so each file holds one month at about the advisory partition
+    size. Without ``cluster_months`` every write task writes one file per month it holds, which
+    saves the shuffle and costs (tasks x months) files.
     """
     rows = fact.withColumn(MONTH_KEY, month_key(F.col("date")))
     if cluster_months:
@@ -302,6 +311,10 @@ def append(
     stats_windows = tuple(stats_windows or old.windows)
     stores_key, skey = list(schemas.STORES_KEY), list(schemas.INVENTORY_KEY)
     name = versions.new_name(old.number + 1)
+    if old.collation is not None:
+        if order is None:
+            staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
+        staging = etl.one_spelling(staging, old.collation, _known_keys(now))
     staging, order, kind, counted = _stage(staging, order, location, name)
     _write(etl.build_stores(staging).join(now.stores.select(*stores_key), stores_key, "left_anti"), location, STORES, name)
     _write(etl.build_products(staging).join(now.products.select("product_id"), ["product_id"], "left_anti"), location, PRODUCTS, name)
@@ -325,7 +338,8 @@ def append(
     fresh = read_latest_date(new_rows)
     latest = max((d for d in (old.latest_date, fresh) if d is not None), default=None)
     tables = [STORES, PRODUCTS, STAGING, LOAD_LOG, *([FACT, MONTHS] if fresh is not None else [])]
-    v = Version(old.number + 1, (*old.parts, Part(name, tuple(tables), kind)), name, latest, stats_windows)
+    parts = (*old.parts, Part(name, tuple(tables), kind))
+    v = replace(old, number=old.number + 1, parts=parts, derived=name, latest_date=latest, windows=stats_windows)
     out = _open(spark, location, v, derived=False)
     stats = None
     if now.sku_stats is not None and stats_windows == old.windows:
@@ -335,6 +349,14 @@ def append(
     return replace(_open(spark, location, v), load_order=wh.load_order)
 
 
+def _known_keys(wh: Warehouse) -> DataFrame:
+    """The key texts of the dimensions, in the columns of the feed."""
+    none = F.lit(None).cast("string")
+    stores = wh.stores.select(F.col("store_id").alias("Store_ID"), F.col("region").alias("Region"), none.alias("Product_ID"), none.alias("Category"))
+    goods = wh.products.select(none.alias("Store_ID"), none.alias("Region"), F.col("product_id").alias("Product_ID"), F.col("category").alias("Category"))
+    return stores.unionByName(goods)
+
+
 def compact(wh: Warehouse) -> Warehouse:
     """Rewrite the fact of the newest version as one part whose files hold one month each, and publish that.
 
@@ -344,7 +366,7 @@ def compact(wh: Warehouse) -> Warehouse:
     now = open_written(wh.spark, wh.location)
     old = now.published
     name = versions.new_name(old.number + 1)
-    write_fact(now.fact.drop(MONTH_KEY), f"{wh.location}/{FACT}/part={name}", cluster_months=True)
+    write_fact(now.fact.drop(MONTH_KEY), f"{wh.location}/{FACT}/part={name}")
     _write(sku_months.merged(now.months), wh.location, MONTHS, name)
     rest = tuple(replace(p, tables=tuple(t for t in p.tables if t not in (FACT, MONTHS))) for p in old.parts)
     v = replace(old, number=old.number + 1, parts=(*rest, Part(name, (FACT, MONTHS))))
@@ -364,7 +386,7 @@ def _open(spark: SparkSession, location: str, v: Version, derived: bool = True)
     """Reader of the folders that ``v`` names; without ``derived`` of the loaded tables alone."""
     tables = {t: _read(spark, location, t, v.holding(t)) for t in (STORES, PRODUCTS, FACT, MONTHS, LOAD_LOG)}
     out = Warehouse(spark, tables[STORES], tables[PRODUCTS], tables[FACT], staging=_staging(spark, location, v),
-                    location=location, latest=v.latest_date, months=tables[MONTHS], load_log=tables[LOAD_LOG], published=v)
+                    collation=v.collation, location=location, latest=v.latest_date, months=tables[MONTHS], load_log=tables[LOAD_LOG], published=v)
     if derived:
         base = f"{location}/derived/{v.derived}"
         out.sku_latest = spark.read.parquet(f"{base}/sku_latest")

@@ -194,7 +194,7 @@ def test_month_clustered_write_keeps_rows_and_cuts_files(spark, tmp_dir):
     import glob
 
     lazy = warehouse.from_tpch(spark, "/root/testdata/sf0.01", materialized=False)
-    a = warehouse.materialize(lazy, os.path.join(tmp_dir, "plain"))
+    a = warehouse.materialize(lazy, os.path.join(tmp_dir, "plain"), cluster_months=False)
     lazy = warehouse.from_tpch(spark, "/root/testdata/sf0.01", materialized=False)
     b = warehouse.materialize(lazy, os.path.join(tmp_dir, "clustered"), cluster_months=True)
     assert a.fact.exceptAll(b.fact).count() == 0 and a.fact.count() == b.fact.count()

@@ -271,3 +271,33 @@ def test_empty_batch_and_empty_load(spark, tmp_dir):
     same = warehouse.append(whole, rows.limit(0), order=tpch.LOAD_ORDER)
     a, b, c = state(filled), state(whole), state(same)
     assert a.pop("version") == c.pop("version") == 1 and b.pop("version") == 0 and a == b == c
+
+
+def test_keys_under_a_collation_fall_together(spark, tmp_dir):
+    def write(name, *lines):
+        with open(f"{tmp_dir}/{name}.csv", "w") as fh:
+            fh.write("\n".join([HEADER, *lines]) + "\n")
+        return feed.read_staging(spark, f"{tmp_dir}/{name}.csv")
+
+    one = write("a", GOOD.format(d=1, p=1).replace("S1", "s1"), GOOD.format(d=1, p=1).replace(",5,", ",6,"), GOOD.format(d=2, p=1).replace("North", "Nórth"))
+    two = write("b", GOOD.format(d=2, p=1).replace("P1", "p1"), GOOD.format(d=3, p=1).replace("North", "NORTH").replace("S1", "s1"))
+    wh = warehouse.materialize(warehouse.load(spark, one, key_collation="UNICODE_CI_AI"), f"{tmp_dir}/wh")
+    wh = warehouse.append(wh, two)
+    got = sorted((str(r["date"]), r["store_id"], r["region"], r["product_id"], r["inventory_level"]) for r in wh.fact.collect())
+    assert got == [(f"2024-01-0{d}", "S1", "North", "P1", 5) for d in (1, 2, 3)]
+    assert wh.stores.count() == wh.products.count() == 1 and wh.collation == "UNICODE_CI_AI"
+    plain = warehouse.load(spark, one)
+    assert plain.stores.count() == 3 and plain.fact.count() == 3
+
+
+def test_key_check_moves_no_keys_where_they_hold(spark):
+    from shelfwise.operators import integrity
+
+    wh = warehouse.from_tpch(spark, SF)
+    keys = wh.fact.select(*schemas.INVENTORY_KEY)
+    assert integrity.suspects(keys, "date", schemas.SKU).count() == 0
+    some = keys.filter("product_id = 'P1' and date between '2023-01-10' and '2023-01-20'")
+    doubled = keys.unionByName(some).unionByName(some.filter("store_id = 'S001'"))
+    a = integrity.pk_violations([("f", integrity.suspects(doubled, "date", schemas.SKU), schemas.INVENTORY_KEY)]).first()
+    b = integrity.pk_violations([("f", doubled, schemas.INVENTORY_KEY)]).first()
+    assert a == b and a["duplicate_keys"] == some.count() > 0
