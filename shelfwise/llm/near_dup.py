@@ -170,72 +170,94 @@ def _star_pairs(posted: DataFrame) -> DataFrame:
 
 
 def _split_groups(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """(main, node, root): classes on lists that the first round left in several components.
+    """(main, node, root, weight): classes on lists that the first round left in several components.
 
     ``main`` is the largest component of such a list; lists of one group of copies mostly agree in
     it, so a class stands here a few times, not once for each of its lists.
     """
     shared = posted.groupBy("element").agg(F.count("*").alias("__n")).where("__n > 2").drop("__n")
-    rows = posted.select("element", F.col("set_id").alias("node")).join(shared, "element", "left_semi")
-    rooted = work_table(rows.join(roots, "node", "left").select("element", "node", F.coalesce("root", "node").alias("root")))
+    rows = posted.select("element", F.col("set_id").alias("node"), "weight").join(shared, "element", "left_semi")
+    rooted = rows.join(roots, "node", "left").select("element", "node", F.coalesce("root", "node").alias("root"), "weight")
+    rooted = work_table(rooted)
     sizes = rooted.groupBy("element", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("element").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
     main = main.where("roots > 1").drop("roots")
     met = salted_lookup(rooted, main, "element", SALTS, F.xxhash64("node")).where("main is not null")
-    split = work_table(met.select("main", "node", "root").distinct())
+    split = work_table(met.select("main", "node", "root", "weight").distinct())
     drop_work_table(rooted)
     return split
 
 
-def _reach(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, n, lo, hi): the set sizes with which a class can be linked at all.
+def _differences(split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(main, node, root, n, s, u): how each class differs from its group's representative R.
 
-    Shingles that no other of ``sets`` has cannot be common with a partner. With c others among n, a
-    link to a set of size m needs (100 + percent) * c >= percent * (n + m).
+    R is the group's main-component class of most weight. With d(x) the symmetric difference of x and R, x
+    and y differ in |d(x)| + |d(y)| - 2 |d(x) & d(y)| shingles, and are linked if that is at most
+    (100 - percent) / (100 + percent) of the sum of their sizes. So with s(x) = (100 + percent) |d(x)| -
+    (100 - percent) n(x) they are linked exactly if s(x) + s(y) <= 2 (100 + percent) |d(x) & d(y)|. Of d(x)
+    only what other classes of the group have in theirs can be common: u(x) is the largest s that a
+    partner of x can have.
     """
-
-    def spread(cols: dict[str, list]) -> dict[str, list]:
-        values = [np.frombuffer(v, "<i8") for v in cols["value"]]
-        nodes = [x for x, v in zip(cols["set_id"], values, strict=True) for _ in range(len(v))]
-        return {"h": np.concatenate(values), "node": nodes}
-
-    each = map_slices(sets.select("set_id", "value"), spread, "h long, node binary", rows=64)
-    own = each.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
-    own = own.groupBy("node").agg(F.count("*").alias("own"))
-    n, c = F.col("n_shingles"), F.col("n_shingles") - F.coalesce("own", F.lit(0))
-    return (
-        sets.select(F.col("set_id").alias("node"), "n_shingles")
-        .join(own, "node", "left")
-        .select(
-            "node",
-            n.alias("n"),
-            F.ceil(n * percent / 100).alias("lo"),
-            F.least(F.floor(n * 100 / percent), F.floor(c * (100 + percent) / percent) - n).alias("hi"),
-        )
-    )
-
-
-def _cross_pairs(split: DataFrame, reach: DataFrame) -> DataFrame:
-    """Pairs around one main component that the first round left apart and that can be linked.
-
-    The main component is only met by the others, and a class only meets sizes within its reach,
-    looked up by size bins. So a group of near copies costs little however large it is: most of its
-    copies are with the original, and most of the far ones cannot be linked with one another.
+    reps = split.where("root = main").groupBy("main").agg(F.max(F.struct("weight", "node"))["node"].alias("rep"))
+    values = sets.select(F.col("set_id").alias("rep"), F.col("value").alias("center"))
+    centers = reps.join(values, "rep").select("main", "center")
+    mine = sets.select(F.col("set_id").alias("node"), "value", F.col("n_shingles").alias("n"))
+    rows = split.select("main", "node", "root").join(mine, "node")
+
+    def differ(cols: dict[str, list]) -> dict[str, list]:
+        pairs = zip(cols["value"], cols["center"], strict=True)
+        d = [np.setxor1d(np.frombuffer(v, "<i8"), np.frombuffer(c, "<i8"), assume_unique=True) for v, c in pairs]
+        return {c: cols[c] for c in ("main", "node", "root", "n")} | {"d": d}
+
+    met = skewed_lookup(rows, centers, "main", F.xxhash64("node")).select("main", "node", "root", "n", "value", "center")
+    schema = "main binary, node binary, root binary, n long, d array<long>"
+    apart = work_table(map_slices(met, differ, schema, rows=64))
+    each = apart.select("main", "node", F.explode("d").alias("h"))
+    own = each.groupBy("main", "h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+    own = own.groupBy("main", "node").agg(F.count("*").alias("own"))
+    whole, part = 100 + percent, 100 - percent
+    size, common = F.size("d"), F.size("d") - F.coalesce("own", F.lit(0))
+    told = apart.join(own, ["main", "node"], "left").select("main", "node", "root", "n", (whole * size - part * F.col("n")).alias("s"), common.alias("c"))
+    told = work_table(told.withColumn("u", 2 * whole * F.col("c") - F.col("s")).drop("c"))
+    drop_work_table(apart)
+    return told
+
+
+def _cross_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """Pairs around one main component that the first round left apart and that can be linked (see ``_differences``).
+
+    The class of least s is linked with every class whose s it outweighs, and so is any pair that are linked
+    by their s alone: one pair for each of them. In any other pair one class is far, that is not linked so,
+    and each must be able to have the other's s. Far copies whose
+    edits are their own can have no partner's, so they are compared with nothing, however many they
+    are. What is left meets by size bins within one group.
     """
 
     def bin_(n: Column) -> Column:
         return F.floor(F.log(F.greatest(n, F.lit(1))) / float(np.log(1.01))).cast("int")
 
-    rows = work_table(split.join(reach, "node").where("lo <= hi").withColumn("bin", bin_(F.col("n"))))
+    least = F.min(F.struct("s", "node", "root")).alias("m")
+    whole = told.groupBy("main").agg(least, F.max("u").alias("max_u"))
+    told = salted_lookup(told, whole, "main", SALTS, F.xxhash64("node")).withColumn("far", F.col("s") + F.col("m.s") > 0)
+    stars = told.where("not far and root != m.root").select("node", F.col("m.node").alias("x"))
+    far = told.where("far").groupBy("main").agg(F.min("s").alias("far_s"), F.max("u").alias("far_u"))
+    # a far class needs any partner, any other class a far one
+    able = salted_lookup(told, far, "main", SALTS, F.xxhash64("node")).where(
+        "if(far, s <= max_u and u >= m.s, s <= far_u and u >= far_s)"
+    )
+    rows = work_table(able.select("main", "node", "root", "n", "far", "s", "u", bin_(F.col("n")).alias("bin")))
+    lo, hi = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
     strays = rows.where("root != main").select(
-        "main", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("lo").alias("lox"),
-        F.col("hi").alias("hix"), F.explode(F.sequence(bin_(F.col("lo")), bin_(F.col("hi")))).alias("bin"),
+        "main", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("far").alias("fx"),
+        F.col("s").alias("sx"), F.col("u").alias("ux"), F.explode(F.sequence(bin_(lo), bin_(hi))).alias("bin"),
     )
     possible = strays.join(rows.select("main", "bin").distinct(), ["main", "bin"], "left_semi")
     met = rows.join(work_table(possible), ["main", "bin"]).where(
-        "root != rx and (root = main or node < x) and n between lox and hix and nx between lo and hi"
+        f"root != rx and (root = main or node < x) and (far or fx) and s <= ux and sx <= u "
+        f"and 100 * least(n, nx) >= {percent} * greatest(n, nx)"
     )
-    return met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    pairs = met.select("node", "x").unionByName(stars)
+    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
 def _checked(pairs: DataFrame, columns: DataFrame, test: Callable[[bytes, bytes, int, int], bool]) -> DataFrame:
@@ -291,7 +313,7 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     join; each pair that agrees in MATCHES coordinates is confirmed on the whole sets:
     100 * intersection >= percent * union. Lists are never expanded into all their pairs: the first
     round links each class with its list's most typical one, the second compares what is still apart
-    and can be linked by its size.
+    and can be linked by its size and by what it has in common with others beyond a representative.
     """
     rows = work_table(described(docs, size))
     classes = work_table(
@@ -331,10 +353,10 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> tuple[Data
     roots = work_table(components(first))
     split = _split_groups(posted, roots)
     drop_work_table(posted)
-    apart = split.select(F.col("node").alias("set_id")).distinct()
-    reach = work_table(_reach(work_table(sets.join(apart, "set_id", "left_semi")), percent))
-    second = links(_cross_pairs(split, reach), sets)
+    told = _differences(split, sets, percent)
     drop_work_table(split)
+    second = links(_cross_pairs(told, percent), sets)
+    drop_work_table(told)
     drop_work_table(sets)
     if not second.isEmpty():
         roots = work_table(components(first.unionByName(second)))
