@@ -6,10 +6,11 @@ import html
 import re
 from dataclasses import dataclass, field
 
-_PIECE = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S
-)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_SPACE = re.compile(r"[\s/]*")
+_ATTRIBUTE_NAME = re.compile(r"[^\s/>=][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
 _TOKEN = re.compile(r"[a-z]+")
 
 # Element names of the HTML standard.
@@ -24,6 +25,7 @@ CLOSES_PARAGRAPH = frozenset(
 )
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
+LISTS = frozenset("ul ol dl table select".split())
 SCOPE = frozenset("article aside body div footer form header html main nav ol section table td th ul".split())
 
 
@@ -39,58 +41,146 @@ class Element:
         return [x for x in self.items if isinstance(x, Element)]
 
 
+def _tag_end(source: str, at: int) -> tuple[int, list[tuple[str, str]], bool]:
+    """(place behind the tag, attributes, ends itself) of a tag whose name ends at ``at``.
+
+    Quotes count only right after an equals sign. Place -1: the tag never closes. The place only moves forward.
+    """
+    found: list[tuple[str, str]] = []
+    n, slash = len(source), False
+    while True:
+        space = _SPACE.match(source, at)
+        slash = "/" in space[0]
+        at = space.end()
+        if at >= n:
+            return -1, found, False
+        if source[at] == ">":
+            return at + 1, found, slash
+        name = _ATTRIBUTE_NAME.match(source, at)
+        if name is None:  # an equals sign where a name should be
+            at += 1
+            continue
+        at, value = name.end(), ""
+        equals = _EQUALS.match(source, at)
+        if equals:
+            at = equals.end()
+            if at < n and source[at] in "\"'":
+                end = source.find(source[at], at + 1)
+                if end < 0:
+                    return -1, found, False
+                value, at = source[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(source, at)
+                value, at = bare[0], bare.end()
+                if value.endswith("/") and source[at : at + 1] == ">":
+                    value, slash = value[:-1], True
+                    found.append((name[0].lower(), value))
+                    return at + 1, found, True
+        found.append((name[0].lower(), value))
+
+
 def parse(source: str) -> Element:
     """The tree of ``source``; end tags without a start are ignored, elements left open end with their parent.
 
-    Comments and declarations go. Scripts, styles and other raw elements are kept without content.
+    One forward pass: a tag, comment or declaration that never closes becomes text up to the next
+    ``<`` and is not looked into again, and nothing behind it is taken to close it. Comments and declarations
+    go. Scripts, styles and other raw elements are kept without content. Character references are
+    decoded in each run of text on its own, so none is put together from two elements.
     """
     root = Element("#root")
-    stack, at, n = [root], 0, len(source)
+    open_, at, n = _Open(root), 0, len(source)
+    stack = open_.stack
+    last = source.rfind(">")  # nothing closes behind it
+
+    def text(start: int, end: int) -> None:
+        if end > start:
+            stack[-1].items.append(html.unescape(source[start:end]))
+
+    raw_end: dict[str, int] = {}
     while at < n:
-        m = _PIECE.search(source, at)
-        if m is None:
-            stack[-1].items.append(source[at:])
+        start = source.find("<", at)
+        if start < 0 or start > last:
+            text(at, n)
             break
-        if m.start() > at:
-            stack[-1].items.append(source[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        text(at, start)
+        at = start
+        follows = source[start + 1 : start + 2]
+        if follows == "!" and source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = end + 3 if end >= 0 else n  # an open comment hides the rest
+            continue
+        if follows in ("!", "?"):
+            at = source.index(">", start) + 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            _close(stack, {tag})
+        closing = follows == "/"
+        name = _NAME.match(source, start + 1 + closing)
+        if name is None:
+            at = start + 1
+            stack[-1].items.append("<")
+            continue
+        if closing:
+            end, attributes, itself = source.find(">", name.end()) + 1, [], False
+        else:
+            end, attributes, itself = _tag_end(source, name.end())
+        if end <= 0:  # never closes: text as far as it was read, which is to the end
+            text(start, n)
+            break
+        at, tag = end, name[0].lower()
+        if closing:
+            open_.close({tag})
             continue
         if tag in CLOSES_PARAGRAPH:
-            _close(stack, {"p"}, SCOPE)
+            open_.close({"p"}, SCOPE)
         if tag in SAME_KIND:
-            _close(stack, SAME_KIND[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
-        element = Element(tag, _tokens(m[3]))
+            open_.close(SAME_KIND[tag], LISTS)
+        element = Element(tag, _tokens(attributes))
         stack[-1].items.append(element)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-            at = end.end() if end else n
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append(element)
+            if raw_end.get(tag, 0) is not None:
+                found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                raw_end[tag] = found and found.end()
+            at = raw_end[tag] or n
+        elif tag not in VOID and not itself:
+            open_.push(element)
     return root
 
 
-def _close(stack: list[Element], tags: set[str], scope: frozenset[str] = frozenset()) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in scope:
-            return
+class _Open:
+    """The open elements, with the places of each tag, so that looking for one costs the same at any depth."""
+
+    def __init__(self, root: Element) -> None:
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        self.stack.append(element)
 
+    def _last(self, tags: set[str] | frozenset[str]) -> int:
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
 
-def _tokens(attributes: str) -> frozenset[str]:
+    def close(self, tags: set[str], scope: frozenset[str] = frozenset()) -> None:
+        """Close the innermost of ``tags`` and all within it, unless an element of ``scope`` stands between."""
+        at = self._last(tags)
+        if at and at >= self._last(scope):
+            for element in self.stack[at:]:
+                self.places[element.tag].pop()
+            del self.stack[at:]
+
+
+def _tokens(attributes: list[tuple[str, str]]) -> frozenset[str]:
     out: set[str] = set()
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role", "itemprop", "aria-label"):
-            out.update(_TOKEN.findall((a or b or c).lower()))
+    for name, value in attributes:
+        if name in ("class", "id", "role", "itemprop", "aria-label"):
+            out.update(_TOKEN.findall(value.lower()))
     return frozenset(out)
 
 
+def squeezed(text: str) -> str:
+    """White space as single spaces, trimmed."""
+    return " ".join(text.split())
+
+
 def clean(text: str) -> str:
-    """Character references decoded, white space as single spaces, trimmed."""
-    return " ".join(html.unescape(text).split())
+    """Character references of raw text decoded, then ``squeezed``; what ``parse`` returns is decoded already."""
+    return squeezed(html.unescape(text))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import drop_work_table, map_slices, table, work_table
-from shelfwise.llm.html_tree import INLINE, RAW, Element, clean, parse
+from shelfwise.llm.html_tree import INLINE, RAW, Element, parse, squeezed
 
 #: Pages that the trees are fitted on (of those that mark their article the smallest key hashes).
 SAMPLE_PAGES = 300
@@ -208,7 +208,7 @@ def text_of(found: list[Node], states: list[int]) -> str:
     open_: list[str] = []
 
     def flush() -> None:
-        block = clean("".join(open_))
+        block = squeezed("".join(open_))
         if block:
             out.append(block)
         open_.clear()
@@ -238,7 +238,7 @@ def _teacher(found: list[Node], article: set[int]) -> np.ndarray:
     inside, part = [False] * len(found), [0] * len(found)
     for i, n in enumerate(found):
         up = inside[n.parent] if n.parent >= 0 else False
-        own_drop = n.element.tag in OTHER_TAGS or bool(n.element.tokens & OTHER_TOKENS) or "x-drop" in n.element.tokens
+        own_drop = n.element.tag in OTHER_TAGS or bool(n.element.tokens & OTHER_TOKENS)
         inside[i] = (up or id(n.element) in article) and not own_drop
         part[i] = n.own if inside[i] else 0
     for i in range(len(found) - 1, 0, -1):
@@ -271,7 +271,7 @@ def _variant(root: Element, rng: random.Random) -> tuple[Element, set[int]]:
     if len(marked) != 1:
         return root, {id(a) for a in marked}
     article = marked[0]
-    texts = [clean(x) for n in nodes(article) for x in n.element.items if isinstance(x, str) and len(x) > 20] or ["text"]
+    texts = [squeezed(x) for n in nodes(article) for x in n.element.items if isinstance(x, str) and len(x) > 20] or ["text"]
 
     def piece() -> str:
         t = rng.choice(texts)
