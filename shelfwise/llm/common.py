@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -22,12 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is absent a local session takes a temporary folder (tests, a laptop);
     any other session must name the folder, since a machine-local one would lose data there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="shelfwise-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-llm-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
@@ -95,6 +95,16 @@ def map_slices(
     rows: int = 256,
 ) -> DataFrame:
     """Apply ``fn`` to column lists of at most ``rows`` rows; memory stays bounded by the slice."""
+    return expand_slices(df, lambda part: (fn(part),), schema, rows)
+
+
+def expand_slices(
+    df: DataFrame,
+    fn: Callable[[dict[str, list]], Iterable[dict[str, list]]],
+    schema: str | T.StructType,
+    rows: int = 256,
+) -> DataFrame:
+    """As ``map_slices`` where a slice may become much more rows: ``fn`` gives them in portions of its own size."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ship(df.sparkSession)
@@ -105,8 +115,8 @@ def map_slices(
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                out = fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                for out in fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}):
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, wanted)
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounded_sample, broadcast_if_small, drop_work_table, map_slices, table, work_table
+from shelfwise.llm.common import bounded_sample, drop_work_table, expand_slices, map_slices, skewed_lookup, table, work_table
 
 #: (rule, verdict): a host with its subdomains, and the start of the path.
 RULES = (
@@ -20,9 +20,14 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
-#: Most urls with a rule's verdict that the classifier is fitted on (those with the smallest hashes).
+#: Most different urls with a rule's verdict that the classifier is fitted on (those with the smallest
+#: hashes), each with the number of its rows.
 SAMPLE_ROWS = 20_000
 LONGEST_WORD = 24
+#: Counts of words of up to so many letters, 18,278 at most, go to all tasks; longer words are joined.
+SHORT_WORD = 3
+#: Letters of a name whose substrings a task puts out at once.
+PORTION = 2_000
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -118,11 +123,15 @@ def tokens(host: str, path: str, split: Callable[[str], Iterable[str]]) -> list[
 
 
 class NaiveBayes:
-    """Multinomial, add-one smoothing; ``score`` above 0 speaks for block."""
-
-    def __init__(self, rows: list[tuple[list[str], bool]]) -> None:
-        n = Counter(blocked for _, blocked in rows)
-        seen = {b: Counter(t for tokens, blocked in rows if blocked == b for t in tokens) for b in (True, False)}
+    """Multinomial, add-one smoothing; ``score`` above 0 speaks for block. Rows: tokens, blocked, how often."""
+
+    def __init__(self, rows: list[tuple[list[str], bool, int]]) -> None:
+        n: Counter[bool] = Counter()
+        seen: dict[bool, Counter[str]] = {True: Counter(), False: Counter()}
+        for tokens, blocked, times in rows:
+            n[blocked] += times
+            for t in tokens:
+                seen[blocked][t] += times
         vocabulary = set(seen[True]) | set(seen[False])
         size = {b: sum(seen[b].values()) + len(vocabulary) for b in (True, False)}
         self.prior = math.log((n[True] + 1) / (n[False] + 1))
@@ -142,42 +151,60 @@ def named(rows: DataFrame) -> DataFrame:
         out = [(r, *n) for r, h, p in zip(cols["row"], cols["host"], cols["path"], strict=True) for n in names(h, p)]
         return {c: [x[i] for x in out] for i, c in enumerate(("row", "place", "name"))}
 
-    return map_slices(rows.select("row", "host", "path"), run, "row long, place string, name string", rows=2000)
+    return map_slices(rows.select("row", "host", "path"), run, "row long, place string, name string", rows=256)
+
+
+def substrings(name: str) -> Iterator[set[str]]:
+    """The different substrings of SHORT_WORD + 1 to LONGEST_WORD letters, by portions of their starts."""
+    for at in range(0, len(name) - SHORT_WORD, PORTION):
+        starts = range(at, min(at + PORTION, len(name) - SHORT_WORD))
+        yield {name[a:b] for a in starts for b in range(a + SHORT_WORD + 1, min(len(name), a + LONGEST_WORD) + 1)}
 
 
 def segments(counts: DataFrame, each: DataFrame) -> DataFrame:
     """(name, words): the best split of each different name, by the counts of all words.
 
-    A name meets only the counts of the words within it, by a join, so no task holds the vocabulary.
+    A name meets only the counts of the words within it, by a join, so no task holds the vocabulary; a
+    name travels once, its substrings carry a number for it. Only counts of words of at most
+    SHORT_WORD letters, a bounded number, are known to all tasks.
     """
     total = (counts.agg(F.sum("n")).first()[0] or 0) + 1
-    different = work_table(each.select("name").distinct())
-
-    def within(cols: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"name": [], "word": []}
-        for name in cols["name"]:
-            found = {name[a:b] for a in range(len(name)) for b in range(a + 1, min(len(name), a + LONGEST_WORD) + 1)}
-            out["name"] += [name] * len(found)
-            out["word"] += found
-        return out
+    length = F.length("word")
+    short = {r["word"]: r["n"] for r in counts.where(length <= SHORT_WORD).collect()}
+    different = work_table(each.select("name").distinct().withColumn("id", F.monotonically_increasing_id()))
 
-    def best(cols: dict[str, list]) -> dict[str, list]:
-        known = [{r["word"]: r["n"] for r in k or ()} for k in cols["known"]]
-        return {"name": cols["name"], "words": [Segmenter(k, total).split(t) for t, k in zip(cols["name"], known, strict=True)]}
+    def within(cols: dict[str, list]) -> Iterator[dict[str, list]]:
+        for number, name in zip(cols["id"], cols["name"], strict=True):
+            for found in substrings(name):
+                yield {"id": [number] * len(found), "word": list(found)}
 
-    short = counts.where(F.length("word") <= LONGEST_WORD)
-    met = map_slices(different, within, "name string, word string").join(broadcast_if_small(short, 64), "word")
-    known = met.groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    return work_table(map_slices(different.join(known, "name", "left"), best, "name string, words array<string>"))
+    def best(cols: dict[str, list]) -> dict[str, list]:
+        words = []
+        for name, joined in zip(cols["name"], cols["known"], strict=True):
+            starts = range(len(name))
+            known = {w: short[w] for k in range(1, SHORT_WORD + 1) for w in {name[a : a + k] for a in starts} if w in short}
+            words.append(Segmenter(known | {r["word"]: r["n"] for r in joined or ()}, total).split(name))
+        return {"name": cols["name"], "words": words}
+
+    pieces = work_table(expand_slices(different, within, "id long, word string", rows=64))
+    long = counts.where((length > SHORT_WORD) & (length <= LONGEST_WORD))
+    met = skewed_lookup(pieces, long, "word", F.xxhash64("id"))
+    known = met.groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    split = work_table(map_slices(different.join(known, "id", "left"), best, "name string, words array<string>"))
+    drop_work_table(pieces)
+    drop_work_table(different)
+    return split
 
 
 def fit(split: DataFrame, rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> NaiveBayes:
-    """The classifier, on urls that a rule decides."""
-    decided = rows.where("decided is not null").select("row", "host", "path", "decided")
-    known = work_table(bounded_sample(decided, ["host", "path"], sample_rows))
+    """The classifier, on different urls that a rule decides and how often each occurs."""
+    decided = rows.where("decided is not null").groupBy("host", "path", "decided").agg(F.count("*").alias("n"))
+    known = work_table(bounded_sample(decided, ["host", "path"], sample_rows).withColumn("row", F.monotonically_increasing_id()))
     needed = split.join(named(known).select("name").distinct(), "name")
     words = {r["name"]: r["words"] for r in needed.collect()}
-    return NaiveBayes([(tokens(r["host"], r["path"], words.__getitem__), r["decided"] == "block") for r in known.collect()])
+    found = [(tokens(r["host"], r["path"], words.__getitem__), r["decided"] == "block", r["n"]) for r in known.collect()]
+    drop_work_table(known)
+    return NaiveBayes(found)
 
 
 def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES) -> DataFrame:
@@ -192,7 +219,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES) -> DataFra
     plain = pages.select("page_id", host.alias("host"), path.alias("path"))
     rows = work_table(plain.withColumns({"rule": rule, "decided": verdict, "row": F.monotonically_increasing_id()}))
     kind = rows.schema["page_id"].dataType.simpleString()
-    each = named(rows)
+    each = work_table(named(rows).withColumn("key", F.concat("place", "name")))
     counts = work_table(word_counts(pages))
     split = segments(counts, each)
     drop_work_table(counts)
@@ -200,16 +227,16 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES) -> DataFra
 
     def weigh(cols: dict[str, list]) -> dict[str, list]:
         known = model.value.weight
-        out: dict[str, list] = {"place": [], "name": [], "weights": []}
+        out: dict[str, list] = {"key": [], "weights": []}
         for name, words in zip(cols["name"], cols["words"], strict=True):
             for place in _PLACES:
                 if found := [known[place + w] for w in words if place + w in known]:
-                    for c, v in zip(out, (place, name, found), strict=True):
-                        out[c].append(v)
+                    out["key"].append(place + name)
+                    out["weights"].append(found)
         return out
 
-    weights = work_table(map_slices(split, weigh, "place string, name string, weights array<double>"))
-    met = each.join(broadcast_if_small(weights, 128), ["place", "name"])
+    weights = work_table(map_slices(split, weigh, "key string, weights array<double>"))
+    met = skewed_lookup(each, weights, "key", F.xxhash64("row"))
     per_row = met.groupBy("row").agg(F.flatten(F.collect_list("weights")).alias("weights"))
 
     def run(cols: dict[str, list]) -> dict[str, list]:

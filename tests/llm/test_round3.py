@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import re
+import time
 from collections import Counter, defaultdict
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import pytest
 
 from shelfwise.llm import fill_middle as fim
+from shelfwise.llm import html_tree, main_text, near_dup, url_filter
 from shelfwise.llm import hard_negatives as hard
 from shelfwise.llm import toxic_spans as tox
 
@@ -241,3 +245,175 @@ def test_sample_stays_within_its_bound(spark):
         got = sum(r["w"] for r in tox.sample_within(rows, "k", "w", bound).collect())
         total = 9000 + sum(1 + i % 3 for i in range(9000, 20_000))
         assert got <= bound and (got >= 0.95 * bound - 3 or got >= total or bound < 9000)
+
+
+# ------------------------------------------------------------- url filter
+def best_split(name, counts, total):
+    """All splits: the likeliest, of equal ones the one with the longest last word, then the next to last."""
+    unknown = -math.log(total)
+    splits = []
+    for cuts in product((0, 1), repeat=len(name) - 1):
+        words, start = [], 0
+        for i, cut in enumerate((*cuts, 1), 1):
+            if cut:
+                words.append(name[start:i])
+                start = i
+        if max(map(len, words)) <= url_filter.LONGEST_WORD:
+            score = sum(math.log(counts[w] / total) if w in counts else unknown - 2.302585 * len(w) for w in words)
+            splits.append((round(score, 9), [len(w) for w in reversed(words)], words))
+    return max(splits)[2]
+
+
+def test_url_verdicts_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["news", "shop", "the", "best", "of", "sport", "casino", "a", "in", "go", "golf", "cat", "online"]
+    hosts = ["".join(rng.choice(vocabulary, size=rng.integers(1, 4))) for _ in range(60)]
+    html = ["<p class=x>" + " ".join(rng.choice(vocabulary, size=30, p=None)) + "</p>" for _ in range(300)]
+    ends = ["com/de/", "com/fr/", "org/", "net/", "com/", "net/shop"]
+    urls = [f"http://{hosts[int(rng.integers(0, 60))]}.{ends[int(rng.integers(0, 6))]}{rng.choice(vocabulary)}{i % 7}?q" for i in range(298)]
+    urls += [None, "nothing"]
+    rows = [(i, u, h, "x", 1, "y") for i, (u, h) in enumerate(zip(urls, html, strict=True))] + [(0, urls[0], "", "x", 1, "y")] * 50
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, row long, verdict string")
+    got = Counter(tuple(r) for r in url_filter.judge(df).select("page_id", "host", "path", "rule", "verdict").collect())
+
+    counts = Counter(w for r in rows for w in re.findall("[a-z]+", re.sub("<[^>]*>", " ", r[2]).lower()))
+    total = sum(counts.values()) + 1
+    split = functools.lru_cache(None)(lambda name: best_split(name, counts, total))
+
+    def parts(url):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    def rule(host, path):
+        fits = [(len(t), t, v) for t, v in url_filter.RULES
+                if (host == t.split("/")[0] or host.endswith("." + t.split("/")[0])) and path.startswith(t[t.index("/"):])]
+        return max(fits)[1:] if fits else (None, None)
+
+    def features(host, path):
+        out = []
+        for place, text in (("h:", host), ("p:", path.lower())):
+            for t in re.findall("[a-z]+|[0-9]+", text):
+                out += [f"{place}#{len(t)}", f"{place}#{t[0]}x{len(t)}"] if t.isdigit() else [place + w for w in split(t)]
+        return out
+
+    judged = [(r[0], *parts(r[1]), *rule(*parts(r[1]))) for r in rows]
+    taught = [(features(h, p), v) for _, h, p, _, v in judged if v]
+    tokens = {v: Counter(t for f, w in taught if w == v for t in f) for v in ("allow", "block")}
+    n = Counter(v for _, v in taught)
+    vocab = set(tokens["allow"]) | set(tokens["block"])
+    size = {v: sum(tokens[v].values()) + len(vocab) for v in tokens}
+    want = Counter()
+    for i, h, p, name, verdict in judged:
+        score = math.log((n["block"] + 1) / (n["allow"] + 1)) + math.fsum(
+            math.log((tokens["block"][t] + 1) / size["block"]) - math.log((tokens["allow"][t] + 1) / size["allow"]) for t in features(h, p) if t in vocab
+        )
+        want[i, h, p, name, verdict or ("block" if score > 0 else "allow")] += 1
+    assert got == want and len({k[4] for k in got if k[3] is None}) == 2
+    assert all(split(x) == list(url_filter.Segmenter(counts).split(x)) for x in ("newsshop", "goinacat", "xnewsx", "ofgolfofthe"))
+
+
+def test_long_urls_and_hot_urls(spark):
+    letters = "".join(chr(97 + i * i % 26) for i in range(4000))
+    rows = [(i, f"http://a{letters[i:] + letters[:i]}.com/x", "news shop") for i in range(300)]
+    rows += [(1000, "http://b.net/" + letters * 20, "the news"), (1001, "http://c.com/de/news", "news"), (1002, "http://c.org/shop", "shop")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert url_filter.judge(df).count() == len(rows)
+    pieces = set().union(*url_filter.substrings(letters[:70]))
+    assert pieces == {letters[a:b] for a in range(70) for b in range(a + 4, min(70, a + 24) + 1)}
+
+
+# ------------------------------------------------------------- html
+def shown(e):
+    return "".join(x if isinstance(x, str) else shown(x) for x in e.items)
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<p title=don't>Eins zwei</p><p>it's drei</p>", "Eins zweiit's drei"), ("a < b <i>c</i> <", "a < b c <"),
+    ("&am<b>p;</b>T &amp;lt; &lt;x", "&amp;T &lt; <x"), ("<a href='x>y'>z</a>", "z"), ("x<!-- c > d -->y<!d>z<?q?>w", "xyzw"),
+    ("<script>a<b</script>c<SCRIPT>d</script >e", "ce"), ("<p =x a = 'b' c>t</p>", "t"), ("one <p title='never closed", "one <p title='never closed"),
+    ("<i", "<i"), ("</", "</"), ("a<!-- open <p>x", "a"), ("<img src=a.png/>q", "q"),
+])
+def test_odd_markup(source, text):
+    assert shown(html_tree.parse(source)) == text
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<p title='x ", "<", "<a b='c", "<div>", "<!", "<p>", "<script>", "</a", "<b></x>", "<li><ul><b>", "<p><b><hr>", "<script>x</style>"])
+def test_a_megabyte_of_odd_markup_is_read_in_linear_time(unit):
+    source = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    html_tree.parse(source)
+    assert time.process_time() - began < 6
+
+
+def test_attribute_tokens_and_split_references(spark):
+    e, = html_tree.parse("<div class=\"Menu bar\" id=nav data-x='class' role = banner>t</div>").elements()
+    assert e.tokens == {"menu", "bar", "nav", "banner"}
+    page = "<html><body><article><p>One sentence, here it's.</p><p title=don't>Fish &amp; chips &am<b>p;</b> more text.</p></article></body></html>"
+    rows = [(i, "u", page, 1, "z") for i in range(3)] + [(9, None, None, 1, "z"), (9, None, "", 1, "z"), (None, "u", "<a " * 10_000, 1, "z")]
+    got = main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")).collect()
+    assert len(got) == 6 and {r["text"] for r in got if r["page_id"] == 9} == {""}
+    assert {r["text"] for r in got if r["page_id"] in (0, 1, 2)} == {"One sentence, here it's. Fish & chips &amp; more text."}
+
+
+# ------------------------------------------------------------- near duplicates
+def near_expected(texts, size, percent=80):
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in combinations(range(len(texts)), 2):
+        if sets[a] and sets[b]:
+            common = len(sets[a] & sets[b])
+            if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for at in rng.choice(len(out), size=edits, replace=False):
+        out[at] = f"x{rng.integers(0, 10**9)}"
+    return out
+
+
+def test_near_duplicates_of_one_text_with_far_copies_and_common_edits(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in rng.integers(0, 5000, 120)]
+    common = edited(rng, words, 9)  # an edit that many copies share
+    texts = [" ".join(words)]
+    texts += [" ".join(edited(rng, words, int(rng.integers(1, 4)))) for _ in range(120)]
+    texts += [" ".join(edited(rng, words, int(rng.integers(4, 14)))) for _ in range(90)]  # mostly below 0.8
+    texts += [" ".join(edited(rng, common, int(rng.integers(0, 4)))) for _ in range(60)]
+    texts += [" ".join(words[: len(words) - int(k)]) for k in rng.integers(5, 70, 60)]  # chains of ever shorter copies
+    texts += [" ".join(words[int(k) :] + [f"end{i}" for i in range(int(k) // 3)]) for k in rng.integers(5, 60, 40)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for size in (4, 5):
+        got = {r["doc_id"]: r["component_id"] for r in near_dup.groups(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()}
+        assert [got[i] for i in range(len(texts))] == near_expected(texts, size)
+    assert len(set(near_expected(texts, 4))) > 20
+
+
+def test_far_copies_with_edits_of_their_own_meet_no_other(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(200)]
+    made = []
+    real = near_dup._cross_pairs
+
+    def counted(told, percent):
+        out = real(told, percent)
+        made.append((told.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(near_dup, "_cross_pairs", counted)
+    for n in (200, 400):
+        texts = [" ".join(words)] + [" ".join(edited(rng, words, 3 if i % 3 else 11)) for i in range(n)]
+        near_dup.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4).count()
+    assert all(pairs <= nodes for nodes, pairs in made), made
