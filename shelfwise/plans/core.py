@@ -174,6 +174,10 @@ def current_stock_levels(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q2
+def stats_windows(p: Params) -> tuple[int, int, int]:
+    return p.sales_window_days, p.abc_window_days, p.kpi_window_days
+
+
 def sku_window_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """Per-SKU sums over the sales window and the ABC window (one aggregate).
 
@@ -184,11 +188,11 @@ def sku_window_stats(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     """
 
     def build():
-        windows = (p.sales_window_days, p.abc_window_days)
+        windows = stats_windows(p)
         if p.read_snapshots and wh.sku_stats is not None and wh.sku_stats_windows == windows:
             return wh.sku_stats
         rows = wh.trailing_days(max(windows))
-        return sku_stats.window_stats(rows, wh.latest_date(), *windows)
+        return sku_stats.window_stats(rows, wh.latest_date(), windows)
 
     return wh.memo(("sku_window_stats", p), build)
 

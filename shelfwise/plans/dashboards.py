@@ -3,9 +3,8 @@ category performance, seasonality summary, stockout risk.
 
 Scale notes
 -----------
-* Distinct counts over the fact are two-level aggregations (group on the
-  distinct key first, then count rows), so no COUNT(DISTINCT) row expansion
-  runs at fact grain.
+* Everything is aggregated from SKU-grain tables, distinct days by merging day bitmaps; on a written
+  warehouse no dashboard but the seasonality summary reads the fact.
 * What a dashboard needs of stock, reorder, turnover and ABC is one row per SKU of
   ``core.sku_analysis``: on a written warehouse a single scan of a stored table, without rank or join.
 * One-row results are combined by a union and one aggregate, never a cross
@@ -23,19 +22,16 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.expr import (
     band,
-    bitmap_count,
     count_if,
-    day_bitmaps,
-    merge_bitmaps,
     greatest_strict,
     mean,
-    net,
     ratio,
     rnd,
     rnd_int,
     sum_if,
 )
 from ..functions.params import DEFAULT, Params
+from ..operators import sku_stats
 from ..operators.windowing import descending
 from ..sources.warehouse import Warehouse
 from . import core
@@ -69,20 +65,15 @@ def _fill_rate(total: Column, critical: Column) -> Column:
 # ---------------------------------------------------------------- Q6
 def executive_kpi_dashboard(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
     def build():
-        week = wh.trailing_days(p.kpi_window_days)
-        per_sku = week.groupBy(*SKU).agg(
-            F.sum(F.col("inventory_level").cast("bigint")).alias("lvl"),
-            F.sum(net("inventory_level")).alias("val"),
-            F.sum(F.col("units_sold").cast("bigint")).alias("units"),
-        )
-        current = per_sku.agg(
+        week = core.sku_window_stats(wh, p).filter(F.col("week_n") > 0)
+        current = week.agg(
             F.count_distinct(F.concat(F.col("store_id"), F.lit("-"), F.col("region"))).alias(
                 "total_store_locations"
             ),
             F.count_distinct("product_id").alias("total_products"),
-            F.sum("lvl").alias("total_inventory_units"),
-            F.round(F.sum("val"), 2).alias("total_inventory_value_usd"),
-            F.sum("units").alias("weekly_units_sold"),
+            F.sum("week_level").alias("total_inventory_units"),
+            F.round(F.sum("week_net_level"), 2).alias("total_inventory_value_usd"),
+            F.sum("week_units").alias("weekly_units_sold"),
         ).select("*", wh.latest_date().alias("data_updated_date"))
 
         mv, st, cls = F.col("turnover.movement_type"), F.col("stock.stock_status"), F.col("abc.abc_classification")
@@ -145,41 +136,23 @@ def executive_kpi_dashboard(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
 
 # ------------------------------------------------- shared for Q7 and Q8
 def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool) -> DataFrame:
-    """Snapshot, 90-day sales, turnover and stock counts per ``key``."""
-    snap_rows = wh.on_latest_date()
+    """Snapshot, 90-day sales, turnover and stock counts per ``key``, all from SKU-grain tables."""
+    days = p.sales_window_days
+    stats = core.sku_window_stats(wh, p).filter(F.col("n") > 0)
     if by_category:
-        snap_rows = snap_rows.join(core.categories(wh), "product_id")  # one day of rows
-    snapshot = snap_rows.groupBy(*key).agg(
-        F.count_distinct("product_id").alias("unique_products"),
-        F.sum(F.col("inventory_level").cast("bigint")).alias("current_inventory_units"),
-        F.round(F.sum(net("inventory_level")), 2).alias("current_inventory_value_usd"),
-        F.max("date").alias("data_updated_date"),
+        stats = stats.join(core.categories(wh), "product_id")
+    today = F.col("day_n") > 0
+    sales = stats.groupBy(*key).agg(
+        F.count_distinct(F.when(today, F.col("product_id"))).alias("unique_products"),
+        F.sum("day_level").alias("current_inventory_units"),
+        F.round(F.sum("day_net_level"), 2).alias("current_inventory_value_usd"),
+        F.sum("s1").alias("units_90d"),
+        F.round(F.sum("s_net_units"), 2).alias("total_revenue_90d"),
+        *sku_stats.merged_days(days),
     )
-    # distinct days as bitmaps over the window: hash aggregates whose shuffle
-    # carries one row per group and task.  By category, rows are first
-    # aggregated per product and the category joined at product grain.
-    start = F.date_sub(wh.latest_date(), p.sales_window_days)
-    span = p.sales_window_days + 1
-    sales_rows = wh.trailing_days(p.sales_window_days).withColumn("_day", F.datediff(F.col("date"), start))
-    measures = [
-        F.sum(F.col("units_sold").cast("bigint")).alias("u"),
-        F.sum(net("units_sold")).alias("r"),
-        *day_bitmaps("_day", span),
-    ]
-    if by_category:  # per product first, the category joined at product grain
-        sales = (
-            sales_rows.groupBy("product_id").agg(*measures)
-            .join(core.categories(wh), "product_id")
-            .groupBy(*key)
-            .agg(F.sum("u").alias("u"), F.sum("r").alias("r"), *merge_bitmaps(span))
-        )
-    else:
-        sales = sales_rows.groupBy(*key).agg(*measures)
-    sales = sales.select(
-        *key,
-        F.col("u").alias("units_90d"),
-        F.round(F.col("r"), 2).alias("total_revenue_90d"),
-        bitmap_count(span).alias("days_count"),
+    # only groups with rows on the latest day have a snapshot
+    sales = sales.filter(F.col("unique_products") > 0).withColumns(
+        {"days_count": sku_stats.day_count(days), "data_updated_date": wh.latest_date()}
     )
     mv, st, cls = F.col("turnover.movement_type"), F.col("stock.stock_status"), F.col("abc.abc_classification")
     rows = core.sku_analysis(wh, p)
@@ -197,8 +170,7 @@ def _group_summary(wh: Warehouse, p: Params, key: list[str], by_category: bool)
         count_if(cls == "C").alias("class_c_count"),
         F.count("turnover").alias("_sold"),
     )
-    # a group on the latest day has sold in the window that ends with it
-    return snapshot.join(sales, key).join(skus.filter(F.col("_sold") > 0).drop("_sold"), key)
+    return sales.join(skus.filter(F.col("_sold") > 0).drop("_sold"), key)
 
 
 def _guard(p: Params) -> Column:

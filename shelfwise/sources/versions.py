@@ -41,7 +41,7 @@ class Version:
     # folder of the SKU-grain tables, and what they were computed for
     derived: str
     latest_date: datetime.date | None
-    windows: tuple[int, int]
+    windows: tuple[int, ...]
     # under which the keys of the feed are compared (None: as bytes)
     collation: str | None = None
 

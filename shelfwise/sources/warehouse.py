@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from .. import schemas
+from ..functions.params import DEFAULT
 from ..operators import etl, integrity, rejects, sku_months, sku_stats
 from ..operators.windowing import latest_per_key
 from . import tpch, versions
@@ -35,10 +36,12 @@ from .versions import Part, Version
 
 MONTH_KEY = "month_key"
 # of the written tables; tables of another layout are not reopened
-LAYOUT = "v3"
+LAYOUT = "v4"
 #: Tables that grow by a folder with every load and append.
 FACT, STORES, PRODUCTS, STAGING = "inventory_data", "stores", "products", "staging_inventory_data"
 MONTHS, LOAD_LOG = "sku_months", "load_log"
+# days of the (sales, ABC, week) windows that the written statistics are for
+DEFAULT_WINDOWS = (DEFAULT.sales_window_days, DEFAULT.abc_window_days, DEFAULT.kpi_window_days)
 FACT_SCHEMA = StructType([*schemas.INVENTORY.fields]).add("part", StringType()).add(MONTH_KEY, IntegerType())
 
 
@@ -63,9 +66,9 @@ class Warehouse:
     # latest fact row per SKU, written with the fact (None: compute it)
     sku_latest: DataFrame | None = None
     # per-SKU trailing-window statistics written with the fact, and the
-    # (sales, abc) window lengths they were computed for
+    # (sales, abc, week) window lengths they were computed for
     sku_stats: DataFrame | None = None
-    sku_stats_windows: tuple[int, int] | None = None
+    sku_stats_windows: tuple[int, ...] | None = None
     # stock, reorder, turnover and ABC columns per SKU under the default parameters, written with the fact
     analysis: DataFrame | None = None
     # KPI row per SKU under the default parameters, written with the fact
@@ -167,7 +170,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def materialize(
-    wh: Warehouse, location: str, stats_windows: tuple[int, int] = (90, 180), cluster_months: bool = True
+    wh: Warehouse, location: str, stats_windows: tuple[int, ...] = DEFAULT_WINDOWS, cluster_months: bool = True
 ) -> Warehouse:
     """Write stores, products, fact to ``location``, publish them as a version and return its reader.
 
@@ -272,7 +275,7 @@ def _derive(out: Warehouse, latest_rows: DataFrame, stats: DataFrame | None) ->
         return
     if stats is None:
         days = out.published.windows
-        stats = sku_stats.window_stats(out.trailing_days(max(days)), out.latest_date(), *days)
+        stats = sku_stats.window_stats(out.trailing_days(max(days)), out.latest_date(), days)
     stats.write.mode("overwrite").parquet(f"{base}/sku_window_stats")
     out.sku_stats, out.sku_stats_windows = spark.read.parquet(f"{base}/sku_window_stats"), out.published.windows
     out.rank_folder = f"{base}/ranks"
@@ -287,7 +290,7 @@ def _derive(out: Warehouse, latest_rows: DataFrame, stats: DataFrame | None) ->
 
 
 def append(
-    wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, int] | None = None
+    wh: Warehouse, staging: DataFrame, order=None, stats_windows: tuple[int, ...] | None = None
 ) -> Warehouse:
     """Load a new batch into a written warehouse with INSERT IGNORE semantics.
 
