@@ -22,6 +22,10 @@ PREFIX = COORDINATES - MATCHES + 1
 #: Counters of the frequency table that orders coordinates; each is one long.
 COUNTERS = 1 << 18
 SALTS = 16
+#: Longs of a bitmap of difference elements.
+BITMAP = 16
+#: Classes from which a group's elements are counted, to tell which a class has alone.
+LARGE_GROUP = 64
 _MEMO_WORDS = 500_000
 
 _rng = np.random.default_rng(20240607)
@@ -189,36 +193,48 @@ def _split_groups(posted: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _differences(split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(main, node, root, n, s, u): how each class differs from its group's representative R.
+    """(main, node, root, n, size, bits, s, u): how each class differs from its group's representative R.
 
     R is the group's main-component class of most weight. With d(x) the symmetric difference of x and R, x
     and y differ in |d(x)| + |d(y)| - 2 |d(x) & d(y)| shingles, and are linked if that is at most
     (100 - percent) / (100 + percent) of the sum of their sizes. So with s(x) = (100 + percent) |d(x)| -
     (100 - percent) n(x) they are linked exactly if s(x) + s(y) <= 2 (100 + percent) |d(x) & d(y)|. Of d(x)
     only what other classes of the group have in theirs can be common: u(x) is the largest s that a
-    partner of x can have.
+    partner of x can have. ``size`` is |d(x)|; ``bits`` has a bit for each element's hash, so a bit that only one
+    of two classes has stands for an element at least that they do not share.
     """
     reps = split.where("root = main").groupBy("main").agg(F.max(F.struct("weight", "node"))["node"].alias("rep"))
     values = sets.select(F.col("set_id").alias("rep"), F.col("value").alias("center"))
     centers = reps.join(values, "rep").select("main", "center")
     mine = sets.select(F.col("set_id").alias("node"), "value", F.col("n_shingles").alias("n"))
-    rows = split.select("main", "node", "root").join(mine, "node")
+    # classes of a large group are dealt over tasks before their sets are joined
+    large = split.groupBy("main").agg(F.count("*").alias("__n")).where(f"__n > {LARGE_GROUP}").select("main", F.lit(True).alias("large"))
+    placed = salted_lookup(split.select("main", "node", "root"), large, "main", SALTS, F.xxhash64("node"))
+    spot = F.when(F.col("large"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
+    spots = F.when(F.col("large"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    centers = centers.join(large, "main", "left").select("main", "center", F.explode(spots).alias("spot"))
 
     def differ(cols: dict[str, list]) -> dict[str, list]:
         pairs = zip(cols["value"], cols["center"], strict=True)
         d = [np.setxor1d(np.frombuffer(v, "<i8"), np.frombuffer(c, "<i8"), assume_unique=True) for v, c in pairs]
-        return {c: cols[c] for c in ("main", "node", "root", "n")} | {"d": d}
-
-    met = skewed_lookup(rows, centers, "main", F.xxhash64("node")).select("main", "node", "root", "n", "value", "center")
-    schema = "main binary, node binary, root binary, n long, d array<long>"
+        bits = np.zeros((len(d), BITMAP), np.uint64)
+        for row, x in zip(bits, d, strict=True):
+            np.bitwise_or.at(row, (x >> 6) % BITMAP, np.uint64(1) << (x & 63).astype(np.uint64))
+        out = {c: cols[c] for c in ("main", "node", "root", "n", "large")} | {"size": [len(x) for x in d]}
+        return out | {"d": [x if big else [] for x, big in zip(d, cols["large"], strict=True)], "bits": bits.view(np.int64).tolist()}
+
+    met = placed.withColumn("spot", spot).join(mine, "node").join(centers, ["main", "spot"])
+    schema = "main binary, node binary, root binary, n long, large boolean, size long, d array<long>, bits array<long>"
+    met = met.select("main", "node", "root", "n", "large", "value", "center")
     apart = work_table(map_slices(met, differ, schema, rows=64))
-    each = apart.select("main", "node", F.explode("d").alias("h"))
+    # in a small group all of d(x) may count as common
+    each = apart.where("large").select("main", "node", F.explode("d").alias("h"))
     own = each.groupBy("main", "h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
     own = own.groupBy("main", "node").agg(F.count("*").alias("own"))
     whole, part = 100 + percent, 100 - percent
-    size, common = F.size("d"), F.size("d") - F.coalesce("own", F.lit(0))
-    told = apart.join(own, ["main", "node"], "left").select("main", "node", "root", "n", (whole * size - part * F.col("n")).alias("s"), common.alias("c"))
-    told = work_table(told.withColumn("u", 2 * whole * F.col("c") - F.col("s")).drop("c"))
+    told = apart.drop("d", "large").join(own, ["main", "node"], "left")
+    told = told.withColumn("s", whole * F.col("size") - part * F.col("n"))
+    told = work_table(told.withColumn("u", 2 * whole * (F.col("size") - F.coalesce("own", F.lit(0))) - F.col("s")).drop("own"))
     drop_work_table(apart)
     return told
 
@@ -230,7 +246,8 @@ def _cross_pairs(told: DataFrame, percent: int) -> DataFrame:
     by their s alone: one pair for each of them. In any other pair one class is far, that is not linked so,
     and each must be able to have the other's s. Far copies whose
     edits are their own can have no partner's, so they are compared with nothing, however many they
-    are. What is left meets by size bins within one group.
+    are. What is left meets by size bins within one group, and stays a pair only if enough elements can be
+    common by the bitmaps.
     """
 
     def bin_(n: Column) -> Column:
@@ -245,16 +262,19 @@ def _cross_pairs(told: DataFrame, percent: int) -> DataFrame:
     able = salted_lookup(told, far, "main", SALTS, F.xxhash64("node")).where(
         "if(far, s <= max_u and u >= m.s, s <= far_u and u >= far_s)"
     )
-    rows = work_table(able.select("main", "node", "root", "n", "far", "s", "u", bin_(F.col("n")).alias("bin")))
+    rows = work_table(able.select("main", "node", "root", "n", "size", "bits", "far", "s", "u", bin_(F.col("n")).alias("bin")))
     lo, hi = F.ceil(F.col("n") * percent / 100), F.floor(F.col("n") * 100 / percent)
     strays = rows.where("root != main").select(
         "main", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("far").alias("fx"),
-        F.col("s").alias("sx"), F.col("u").alias("ux"), F.explode(F.sequence(bin_(lo), bin_(hi))).alias("bin"),
+        F.col("s").alias("sx"), F.col("u").alias("ux"), F.col("size").alias("sizex"), F.col("bits").alias("bitsx"), F.explode(F.sequence(bin_(lo), bin_(hi))).alias("bin"),
     )
     possible = strays.join(rows.select("main", "bin").distinct(), ["main", "bin"], "left_semi")
+    apart, apartx = (
+        " + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in range(BITMAP)) for a, b in (("bits", "bitsx"), ("bitsx", "bits"))
+    )
     met = rows.join(work_table(possible), ["main", "bin"]).where(
         f"root != rx and (root = main or node < x) and (far or fx) and s <= ux and sx <= u "
-        f"and 100 * least(n, nx) >= {percent} * greatest(n, nx)"
+        f"and s + sx <= {2 * (100 + percent)} * least(size - ({apart}), sizex - ({apartx})) and 100 * least(n, nx) >= {percent} * greatest(n, nx)"
     )
     pairs = met.select("node", "x").unionByName(stars)
     return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
@@ -420,3 +440,28 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
     )
+
+
+ORACLE = """
+    with recursive words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') as w
+        from documents
+    ), shingles as (
+        select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+            else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) end) as s
+        from words
+    ), sizes as (select doc_id, count(*) as n from shingles group by doc_id
+    ), common as (
+        select a.doc_id as a, b.doc_id as b, count(*) as c
+        from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+    ), links as (
+        select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+    ), steps as (select a, b from links union all select b, a from links
+    ), reached as (
+        select doc_id as a, doc_id as b from documents
+        union select r.a, s.b from reached r join steps s on r.b = s.a
+    ), least as (select a as doc_id, min(b) as component_id from reached group by a)
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+    from least left join sizes using (doc_id)
+"""

@@ -41,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op11_fill_middle": fill_middle.ORACLE,
     "op13_threshold_negatives": hard_negatives.ORACLE,
+    "op7_minhash": near_dup.ORACLE,
     "op3_warc": """
         with p as (
             select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
