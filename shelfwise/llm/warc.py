@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import salted_lookup, shared_folder, ship, table
+from shelfwise.llm.common import map_slices, salted_lookup, shared_folder, ship, table
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
@@ -21,7 +22,14 @@ MEMBER = b"\x1f\x8b\x08"
 DELIMITER = b"\r\n\r\n"
 #: Tasks over which one payload's copies are dealt.
 SALTS = 32
-RECORDS_PER_ARCHIVE = 2000
+#: Records in a file, and the payload from which a record gets a file of its own: so a file, which one
+#: task reads whole, holds at most their product or one record.
+RECORDS_PER_ARCHIVE = 500
+LARGE_BYTES = 1 << 20
+#: A gzip member of nothing, between the members of records.
+EMPTY_MEMBER = bytes.fromhex("1f8b080000000000000303000000000000000000")
+#: Bytes that the reader hands to the decompressor at once.
+CHUNK = 1 << 16
 
 
 def sha1_base32(data: Column) -> Column:
@@ -76,19 +84,27 @@ def record(date: str = DATE) -> Column:
 
 
 def write_archives(planned: DataFrame, path: str, compression: str = "gzip", date: str = DATE) -> None:
-    """Write the records below ``path``, at most RECORDS_PER_ARCHIVE to a file.
+    """Write the records below ``path``, through Spark's committer and on any store Spark can write to.
 
-    A WARC record ends with two line ends, so the text sink with that separator writes archives as
-    they should be, through Spark's committer and on any store Spark can write to. ``none`` keeps
-    every version line findable after damage; ``gzip`` makes one member of each file.
+    A file holds at most RECORDS_PER_ARCHIVE records of up to LARGE_BYTES, or one larger record. With
+    ``none`` the text sink's separator is the two line ends that close a WARC record, and every version line
+    stays findable after damage. With ``gzip`` each record is a member of its own, so damage to one leaves
+    the others: the sink writes a string column's bytes as they are, and its separator, an empty member,
+    keeps the file a valid sequence of members.
     """
-    (
-        planned.select(record(date).alias("value"))
-        .write.option("lineSep", "\r\n\r\n")
-        .option("compression", compression)
-        .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE)
-        .text(path)
-    )
+    rows = planned.select("payload_bytes", "refers_to", record(date).alias("value"))
+    text = {"compression": "none", "lineSep": DELIMITER.decode()}
+    if compression == "gzip":
+        rows = map_slices(rows, _members, "payload_bytes long, refers_to long, value binary", rows=64)
+        rows = rows.withColumn("value", F.col("value").cast("string"))
+        text |= {"encoding": "ISO-8859-1", "lineSep": EMPTY_MEMBER.decode("latin-1")}
+    large = F.col("refers_to").isNull() & (F.col("payload_bytes") > LARGE_BYTES)
+    for name, some, records in (("records", ~large, RECORDS_PER_ARCHIVE), ("large", large, 1)):
+        rows.where(some).select("value").write.options(maxRecordsPerFile=records, **text).text(f"{path}/{name}")
+
+
+def _members(cols: dict[str, list]) -> dict[str, list]:
+    return cols | {"value": [gzip.compress(v.encode("utf-8") + DELIMITER, 6, mtime=0) for v in cols["value"]]}
 
 
 def _plain(data: bytes, base: int) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
@@ -148,36 +164,31 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str],
             return
     at, n = 0, len(data)
     while at < n:
-        opener = zlib.decompressobj(31)
-        try:
-            content = opener.decompress(data[at:])
-            whole = opener.eof
-        except zlib.error:
-            content, whole = _readable(data[at:]), False
-        end = n - len(opener.unused_data) if whole else n
+        content, end = _member(data, at)
         yield from _plain(content, 0)
-        if not whole:
+        if end is None:
             end = _next_member(data, at + 1)
             yield at, end, "member", {}, b""
         at = end
 
 
-def _readable(data: bytes) -> bytes:
-    """What can be decompressed before a member breaks."""
-    opener, out = zlib.decompressobj(31), []
+def _member(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """(what can be decompressed of the member at ``at``, its end; None if it breaks)."""
+    opener, out, view = zlib.decompressobj(31), [], memoryview(data)
     try:
-        for i in range(0, len(data), 1024):
-            out.append(opener.decompress(data[i : i + 1024]))
+        while at < len(data) and not opener.eof:
+            out.append(opener.decompress(view[at : at + CHUNK]))
+            at += CHUNK
     except zlib.error:
-        pass
-    return b"".join(out)
+        return b"".join(out), None
+    return b"".join(out), min(at, len(data)) - len(opener.unused_data) if opener.eof else None
 
 
 def _next_member(data: bytes, at: int) -> int:
     """The next place where a gzip member can be opened and starts with a version line."""
     while (at := data.find(MEMBER, at)) >= 0:
         try:
-            if VERSION.match(zlib.decompressobj(31).decompress(data[at : at + 65536], 64)):
+            if VERSION.match(zlib.decompressobj(31).decompress(data[at : at + CHUNK], 64)):
                 return at
         except zlib.error:
             pass
@@ -210,7 +221,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield _batch(rows, arrow)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     return files.mapInArrow(run, READ_SCHEMA)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gzip
 import hashlib
 import math
 import re
@@ -14,7 +15,7 @@ import numpy as np
 import pytest
 
 from shelfwise.llm import fill_middle as fim
-from shelfwise.llm import html_tree, main_text, near_dup, url_filter
+from shelfwise.llm import html_tree, main_text, near_dup, url_filter, warc
 from shelfwise.llm import hard_negatives as hard
 from shelfwise.llm import toxic_spans as tox
 
@@ -417,3 +418,34 @@ def test_far_copies_with_edits_of_their_own_meet_no_other(spark, monkeypatch):
         texts = [" ".join(words)] + [" ".join(edited(rng, words, 3 if i % 3 else 11)) for i in range(n)]
         near_dup.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4).count()
     assert all(pairs <= nodes for nodes, pairs in made), made
+
+
+# ------------------------------------------------------------- warc
+def test_one_damaged_byte_loses_one_record(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", f"page {i} " + "é<p>" * (i % 90)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.plan_records(df), str(tmp_path / "w"))
+    files = sorted(f for f in (tmp_path / "w").rglob("part-*") if f.stat().st_size)
+    assert len(files) >= 3
+    data = files[0].read_bytes()
+    whole = [r for r in warc.salvage(data) if r[2] is None]
+    assert len(whole) > 300 and gzip.decompress(data).count(b"WARC/1.1") == len(whole)
+    for at in (len(data) // 10, len(data) // 2, 40):
+        bad = data[:at] + bytes([data[at] ^ 0x5A]) + data[at + 1 :]
+        found = list(warc.salvage(bad))
+        kept = [r for r in found if r[2] is None]
+        assert len(kept) >= len(whole) - 2 and any(r[2] is not None for r in found) or len(kept) == len(whole)
+        assert {r[4] for r in kept} <= {r[4] for r in whole}
+    got = warc.described(warc.read_archives(spark, str(tmp_path / "w"))).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(1200))
+
+
+def test_large_records_get_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE_BYTES", 1000)
+    rows = [(i, "u", "z" * (2000 if i < 3 else 10) + str(i), 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, payload_bytes int").coalesce(1)
+    for compression in ("gzip", "none"):
+        path = tmp_path / compression
+        warc.write_archives(warc.plan_records(df), str(path), compression)
+        assert len([f for f in (path / "large").glob("part-*") if f.stat().st_size]) == 3
+        assert warc.described(warc.read_archives(spark, str(path))).count() == 20
