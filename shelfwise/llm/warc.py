@@ -92,19 +92,21 @@ def write_archives(planned: DataFrame, path: str, compression: str = "gzip", dat
     the others: the sink writes a string column's bytes as they are, and its separator, an empty member,
     keeps the file a valid sequence of members.
     """
-    rows = planned.select("payload_bytes", "refers_to", record(date).alias("value"))
     text = {"compression": "none", "lineSep": DELIMITER.decode()}
     if compression == "gzip":
-        rows = map_slices(rows, _members, "payload_bytes long, refers_to long, value binary", rows=64)
-        rows = rows.withColumn("value", F.col("value").cast("string"))
         text |= {"encoding": "ISO-8859-1", "lineSep": EMPTY_MEMBER.decode("latin-1")}
-    large = F.col("refers_to").isNull() & (F.col("payload_bytes") > LARGE_BYTES)
-    for name, some, records in (("records", ~large, RECORDS_PER_ARCHIVE), ("large", large, 1)):
-        rows.where(some).select("value").write.options(maxRecordsPerFile=records, **text).text(f"{path}/{name}")
+    carried = F.col("refers_to").isNull()
+    large = F.col("payload_bytes") > LARGE_BYTES
+    # the condition on the payload comes first, so that only large ones are shuffled a second time
+    for name, some, records in (("records", ~large | ~carried, RECORDS_PER_ARCHIVE), ("large", large & carried, 1)):
+        rows = planned.where(some).select(record(date).alias("value"))
+        if compression == "gzip":
+            rows = map_slices(rows, _members, "value binary", rows=64).select(F.col("value").cast("string"))
+        rows.write.options(maxRecordsPerFile=records, **text).text(f"{path}/{name}")
 
 
 def _members(cols: dict[str, list]) -> dict[str, list]:
-    return cols | {"value": [gzip.compress(v.encode("utf-8") + DELIMITER, 6, mtime=0) for v in cols["value"]]}
+    return {"value": [gzip.compress(v.encode("utf-8") + DELIMITER, 6, mtime=0) for v in cols["value"]]}
 
 
 def _plain(data: bytes, base: int) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
