@@ -36,26 +36,44 @@ def with_row_order(df: DataFrame) -> DataFrame:
 KEY_TEXTS = ("Store_ID", "Region", "Product_ID", "Category")
 
 
-def one_spelling(staging: DataFrame, collation: str, known: DataFrame | None = None) -> DataFrame:
-    """Staging rows whose key texts that are equal under ``collation`` (e.g. UNICODE_CI_AI) are spelt alike.
+#: Changed spellings of a column up to which they go to all tasks (about 10 MB).
+FEW_SPELLINGS = 100_000
+
+
+def other_spellings(staging: DataFrame, collation: str, known: DataFrame | None = None) -> DataFrame:
+    """(name, spelt, stands): key texts by column that are equal under ``collation`` (e.g. UNICODE_CI_AI) to another, which stands for them.
 
     The spelling in ``known``, rows with the same columns that are stored already, stands for its equals;
-    of new ones the first in binary order. So keys fall together in every later dedup, join and group,
-    which all stay binary. Per column the different spellings are grouped (a partial aggregate), and only
-    those that change are joined to the rows.
+    of new ones the first in binary order. One pass over the rows groups the different spellings of all
+    columns (a partial aggregate).
+    """
+
+    def texts(rows, rank):
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("spelt")) for c in KEY_TEXTS]))
+        return rows.select(each.alias("text")).select("text.*", F.lit(rank).alias("rank"))
+
+    spelt = texts(staging, 1) if known is None else texts(staging, 1).unionByName(texts(known, 0))
+    each = spelt.filter(F.col("spelt").isNotNull()).groupBy("name", "spelt").agg(F.min("rank").alias("rank"))
+    alike = each.groupBy("name", F.collate("spelt", collation).alias("alike")).agg(
+        F.min(F.struct("rank", "spelt"))["spelt"].alias("stands"), F.collect_list("spelt").alias("all")
+    )
+    pairs = alike.filter(F.size("all") > 1).select("name", F.explode("all").alias("spelt"), "stands")
+    return pairs.filter("spelt <> stands")
+
+
+def one_spelling(staging: DataFrame, changes: DataFrame) -> DataFrame:
+    """Staging rows in which the spellings that ``changes`` names (written ``other_spellings``) are replaced.
+
+    So keys fall together in every later dedup, join and group, which all stay binary. A column has few
+    different texts, so rows shuffled by one would gather in as few tasks: a column without changes
+    is not joined, and up to ``FEW_SPELLINGS`` changes go to the rows, which stay where they are.
     """
+    found = {r["name"]: r["count"] for r in changes.groupBy("name").count().collect()}
     out = staging
-    for name in KEY_TEXTS:
-        spelt = staging.select(F.col(name).alias("spelt"), F.lit(1).alias("rank"))
-        if known is not None:
-            spelt = spelt.unionByName(known.select(F.col(name).alias("spelt"), F.lit(0).alias("rank")))
-        each = spelt.filter(F.col("spelt").isNotNull()).groupBy("spelt").agg(F.min("rank").alias("rank"))
-        alike = each.groupBy(F.collate("spelt", collation).alias("alike")).agg(
-            F.min(F.struct("rank", "spelt"))["spelt"].alias("stands"), F.collect_list("spelt").alias("all")
-        )
-        changes = alike.filter(F.size("all") > 1).select("stands", F.explode("all").alias("spelt")).filter("spelt <> stands")
-        changes = changes.select(F.col("spelt").alias(name), F.col("stands").alias("_stands"))
-        out = out.join(changes, name, "left").withColumn(name, F.coalesce("_stands", name)).drop("_stands")
+    for name in sorted(found, key=KEY_TEXTS.index):
+        one = changes.filter(F.col("name") == name).select(F.col("spelt").alias(name), F.col("stands").alias("_stands"))
+        one = F.broadcast(one) if found[name] <= FEW_SPELLINGS else one
+        out = out.join(one, name, "left").withColumn(name, F.coalesce("_stands", name)).drop("_stands")
     return out.select(*staging.columns)
 
 

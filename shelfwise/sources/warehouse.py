@@ -139,12 +139,13 @@ def load(spark: SparkSession, staging: DataFrame, order=None, key_collation: str
     """Lazy load: dimensions and fact as DataFrames over the staging rows.
 
     ``key_collation`` (e.g. ``UNICODE_CI_AI``: neither case nor accents count) makes key texts that are equal
-    under it one key, see ``etl.one_spelling``; a written warehouse keeps it for its appends.
+    under it one key, see ``_one_spelling``, for which the key texts are read once here; a written warehouse
+    keeps it for its appends.
     """
     if key_collation is not None:
         if order is None:  # the input order must be read off before rows are joined
             staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
-        staging = etl.one_spelling(staging, key_collation)
+        staging = _one_spelling(spark, staging, key_collation)
     stores = etl.build_stores(staging)
     products = etl.build_products(staging)
     fact = etl.build_inventory(staging, stores, products, order=order)
@@ -317,7 +318,7 @@ def append(
     if old.collation is not None:
         if order is None:
             staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
-        staging = etl.one_spelling(staging, old.collation, _known_keys(now))
+        staging = _one_spelling(spark, staging, old.collation, _known_keys(now))
     staging, order, kind, counted = _stage(staging, order, location, name)
     _write(etl.build_stores(staging).join(now.stores.select(*stores_key), stores_key, "left_anti"), location, STORES, name)
     _write(etl.build_products(staging).join(now.products.select("product_id"), ["product_id"], "left_anti"), location, PRODUCTS, name)
@@ -352,6 +353,14 @@ def append(
     return replace(_open(spark, location, v), load_order=wh.load_order)
 
 
+def _one_spelling(spark: SparkSession, staging: DataFrame, collation: str, known: DataFrame | None = None) -> DataFrame:
+    """Staging rows whose key texts that are equal under ``collation`` are spelt alike; the changes are written first and counted."""
+    path = f"{shared_root(spark)}/shelfwise/spellings-{uuid.uuid4().hex}"
+    changes = etl.other_spellings(staging, collation, known)
+    changes.write.parquet(path)
+    return etl.one_spelling(staging, spark.read.schema(changes.schema).parquet(path))
+
+
 def _known_keys(wh: Warehouse) -> DataFrame:
     """The key texts of the dimensions, in the columns of the feed."""
     none = F.lit(None).cast("string")

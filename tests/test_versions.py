@@ -303,3 +303,27 @@ def test_key_check_moves_no_keys_where_they_hold(spark):
     a = integrity.pk_violations([("f", integrity.suspects(doubled, "date", schemas.SKU), schemas.INVENTORY_KEY)]).first()
     b = integrity.pk_violations([("f", doubled, schemas.INVENTORY_KEY)]).first()
     assert a == b and a["duplicate_keys"] == some.count() > 0
+
+
+def test_collated_rows_are_not_shuffled_by_a_key_text(spark, monkeypatch):
+    from shelfwise.operators import etl
+
+    # two spellings of a store in a third of the rows each; regions and categories that nothing changes
+    store, goods = "CASE id % 3 WHEN 0 THEN 's1' WHEN 1 THEN 'S1' END AS Store_ID", "IF(id % 2 = 0, 'p1', 'P1') AS Product_ID"
+    rest = ["'Toys' AS Category", "'North' AS Region", "CAST(id AS INT) AS Inventory_Level", "1 AS Units_Sold", "0 AS Units_Ordered"]
+    money = [f"CAST(1 AS DECIMAL(10,2)) AS {c}" for c in ("Demand_Forecast", "Price", "Competitor_Pricing")] + ["CAST(0 AS DECIMAL(5,2)) AS Discount"]
+    texts = ["'Sunny' AS Weather_Condition", "'None' AS Holiday_Promotion", "'Winter' AS Seasonality"]
+    rows = spark.range(600).selectExpr("id", "'2024-01-01' AS Date", store, goods, *rest, *money, *texts)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = warehouse.load(spark, rows, order=["id"], key_collation="UNICODE_CI_AI")
+        assert "Exchange hashpartitioning" not in wh.staging._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(etl, "FEW_SPELLINGS", 0)  # more changes than go to all tasks: the same rows by a shuffle
+        shuffled = warehouse.load(spark, rows, order=["id"], key_collation="UNICODE_CI_AI").staging
+        for got in (wh.staging, shuffled):
+            found = {(r["Store_ID"], r["Product_ID"], r["Region"], r["Category"]): r["count"]
+                     for r in got.groupBy("Store_ID", "Product_ID", "Region", "Category").count().collect()}
+            assert found == {("S1", "P1", "North", "Toys"): 400, (None, "P1", "North", "Toys"): 200}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
