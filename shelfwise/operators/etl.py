@@ -82,11 +82,17 @@ def insert_ignore(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
 
     ``row_number() == 1`` plans as a partial ``WindowGroupLimit`` before the
     shuffle and a final one after it, so a key with millions of copies is cut
-    down to one row per map task before anything moves: heavy duplicate
+    down to one row per map task before anything moves to its key: heavy duplicate
     groups do not skew the shuffle.
+
+    The partial step sorts all rows of its task. A split of a well compressed file holds
+    millions, so the rows are dealt out before, by a digest of the key: a REBALANCE, whose parts
+    are of about the advisory partition size. Copies of a key mostly meet there; a part that one
+    key makes too large is split, which it could not be if it were dealt by the key itself.
     """
     w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    dealt = df.withColumn("_deal", F.xxhash64(*key)).hint("rebalance", "_deal")
+    return dealt.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_deal")
 
 
 def build_stores(staging: DataFrame) -> DataFrame:

@@ -62,3 +62,25 @@ def test_hot_sku_and_hot_duplicate_group(spark):
         etl.with_row_order(staging), ["Date", "Store_ID", "Region", "Product_ID"], [etl.ROW_ORDER]
     )
     assert kept.count() == fact.count()
+
+
+def test_rows_of_a_large_split_are_dealt_out_before_they_are_sorted(spark):
+    # a third of the rows has one key; the tasks that read them hold far more than a partition should
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("id", "IF(id % 3 = 0, 'hot', concat('k', id % 9000)) AS key", "sha2(string(id), 256) AS payload")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.enabled": "true"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept = etl.insert_ignore(rows, ["key"], ["id"])
+        got = {r["key"]: r["id"] for r in kept.collect()}
+        plan = _plan(kept).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "_deal" not in kept.columns and "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "skewed" in plan and _partial_before_exchange(plan, "Partial")
+    first = {}
+    for i in range(40_000):
+        first.setdefault("hot" if i % 3 == 0 else f"k{i % 9000}", i)
+    assert got == first
