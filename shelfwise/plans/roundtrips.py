@@ -87,12 +87,12 @@ def damaged_feed_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed with malformed lines: how many were put aside by reason, and how many rows were loaded."""
     folder, order = _folder(spark), F.col("l_orderkey")
-    rows = warehouse.from_tpch(spark, sf_dir).staging.orderBy(*tpch.LOAD_ORDER)
+    rows = warehouse.from_tpch(spark, sf_dir).staging
     texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(feed.NULL_MARK)) for c in schemas.STAGING.fieldNames()}
     price = F.when(order % 29 == 0, F.lit("cheap")).otherwise(texts["Price"])
     line = F.concat_ws(",", *(texts | {"Price": price}).values())
     line = F.when(order % 23 == 0, F.concat(line, F.lit(",more"))).when(order % 31 == 0, F.lit("2022-01-01,S001")).otherwise(line)
-    rows.select(line.alias("value")).write.text(f"{folder}/feed")
+    feed.write_lines(rows, line, f"{folder}/feed", tpch.LOAD_ORDER)
     wh = warehouse.load(spark, feed.read_staging(spark, f"{folder}/feed", quarantine=f"{folder}/bad", header=False))
     bad = spark.read.parquet(f"{folder}/bad").groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
     return bad.unionByName(wh.fact.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("lines")))

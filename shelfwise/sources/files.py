@@ -1,12 +1,47 @@
-"""Questions about stored files."""
+"""Questions about stored files, and what writing them leaves behind."""
 
 from __future__ import annotations
 
 import hashlib
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+# sessions in which writes are running: how many, and what the session's own setting was
+_WRITING: dict[str, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """A write in here leaves no shuffle files: they are deleted when it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and the shuffles of
+    a load and of later writes add up on disk. Only for writes: a DataFrame that is itself run twice
+    would have to be shuffled again. The session's setting is put back by the last of concurrent writes.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _LOCK:
+        writers, own = _WRITING.get(session) or (0, spark.conf.get(RELEASE, None))
+        _WRITING[session] = (writers + 1, own)
+        spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        with _LOCK:
+            writers, own = _WRITING.pop(session)
+            if writers > 1:
+                _WRITING[session] = (writers - 1, own)
+            elif own is None:
+                spark.conf.unset(RELEASE)
+            else:
+                spark.conf.set(RELEASE, own)
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists and holds anything but hidden entries; storage errors are raised."""
     context = spark.sparkContext

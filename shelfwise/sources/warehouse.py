@@ -31,7 +31,7 @@ from ..functions.params import DEFAULT
 from ..operators import etl, integrity, rejects, sku_months, sku_stats
 from ..operators.windowing import latest_per_key
 from . import tpch, versions
-from .files import delete_folder, fingerprint
+from .files import delete_folder, fingerprint, released_shuffles
 from .versions import Part, Version
 
 MONTH_KEY = "month_key"
@@ -217,7 +217,8 @@ def _stage(staging: DataFrame | None, order, location: str, name: str):
         staging, order = etl.with_row_order(staging), [etl.ROW_ORDER]
     counted = Observation(f"load {name}")
     path = f"{location}/{STAGING}/part={name}"
-    staging.observe(counted, *rejects.counters(staging)).write.mode("overwrite").parquet(path)
+    with released_shuffles(staging.sparkSession):
+        staging.observe(counted, *rejects.counters(staging)).write.mode("overwrite").parquet(path)
     written = staging.sparkSession.read.parquet(path)
     return written, list(order), written.schema.json(), counted
 
@@ -256,7 +257,9 @@ def write_fact(fact: DataFrame, path: str, cluster_months: bool = True) -> None:
     rows = fact.withColumn(MONTH_KEY, month_key(F.col("date")))
     if cluster_months:
         rows = rows.hint("rebalance", MONTH_KEY)
-    rows.sortWithinPartitions(MONTH_KEY, *schemas.INVENTORY_KEY).write.mode("overwrite").partitionBy(MONTH_KEY).parquet(path)
+    rows = rows.sortWithinPartitions(MONTH_KEY, *schemas.INVENTORY_KEY)
+    with released_shuffles(rows.sparkSession):
+        rows.write.mode("overwrite").partitionBy(MONTH_KEY).parquet(path)
 
 
 def _derive(out: Warehouse, latest_rows: DataFrame, stats: DataFrame | None) -> None:
